@@ -4,6 +4,7 @@ from .columns import (
     is_priced,
     money_sum,
     percent_text,
+    round_sig,
     round_to_long,
     safe_ratio,
     ticker_code,
@@ -15,6 +16,7 @@ __all__ = [
     "is_priced",
     "money_sum",
     "percent_text",
+    "round_sig",
     "round_to_long",
     "safe_ratio",
     "ticker_code",

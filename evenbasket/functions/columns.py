@@ -48,7 +48,7 @@ def currency_text(c: str | Column) -> Column:
 def percent_text(c: str | Column, times_100: bool = True) -> Column:
     """'12.34%' with two decimals, no grouping; optionally scales a fraction by 100."""
     x = col_(c) * 100 if times_100 else col_(c)
-    return F.concat(F.format_number(x, "0.00"), F.lit("%"))
+    return F.concat(F.call_function("format_number", x, F.lit("0.00")), F.lit("%"))
 
 
 def action_display_class(c: str | Column) -> Column:
@@ -56,3 +56,24 @@ def action_display_class(c: str | Column) -> Column:
     x = col_(c)
     # Display style per action tag.
     return F.when(x == ACTION_ADD, F.lit("color: green")).when(x == ACTION_REMOVE, F.lit("color: red")).otherwise(F.lit(""))
+
+
+# Significant-digit tiers used to compare accumulated doubles between engines:
+# |ref| >= 10^k rounds to (digits - 1 - k) decimals.
+SIG_TIERS = range(9, -13, -1)
+
+
+def round_sig(c: str | Column, ref: str | Column | None = None, digits: int = 9) -> Column:
+    """Round ``c`` to about ``digits`` significant digits of ``ref`` (default ``c``).
+
+    Spark's ``round`` takes a literal scale only, so the scale is picked from a
+    fixed ladder of magnitudes. Use ``ref`` for differences (e.g. a share change
+    rounded at the precision of the holding it changes).
+    """
+    x = col_(c)
+    r = F.abs(col_(ref) if ref is not None else x)
+    out = None
+    for k in SIG_TIERS:
+        branch = F.round(x, digits - 1 - k)
+        out = F.when(r >= 10.0**k, branch) if out is None else out.when(r >= 10.0**k, branch)
+    return out.otherwise(F.round(x, digits + 12))

@@ -21,7 +21,9 @@ def supplier_month_bars(lineitem: DataFrame, key: str = "l_suppkey", prefix: str
     """Fixture F1: one bar per (month of ship date, supplier).
 
     close = VWAP (exact decimal sums), high/low = extreme unit price,
-    open = mean unit price, volume = units, market_cap = dollar volume.
+    open = unit price of the month's first shipment (ship date, then order
+    key, line number and price break ties), volume = units,
+    market_cap = dollar volume.
     ``key='l_partkey'`` gives the sparse variant.
     """
     unit = F.col("l_extendedprice") / F.col("l_quantity")
@@ -32,10 +34,11 @@ def supplier_month_bars(lineitem: DataFrame, key: str = "l_suppkey", prefix: str
             "l_extendedprice",
             "l_quantity",
             unit.alias("unit_price"),
+            F.struct("l_shipdate", "l_orderkey", "l_linenumber", unit.alias("p")).alias("seq"),
         )
         .groupBy("date", "ticker")
         .agg(
-            F.avg("unit_price").alias("open"),
+            F.min_by("unit_price", "seq").alias("open"),
             F.max("unit_price").alias("high"),
             F.min("unit_price").alias("low"),
             money_sum("l_extendedprice").alias("market_cap"),
