@@ -184,22 +184,42 @@ def trade_log(cons: DataFrame, prev_pos: DataFrame) -> DataFrame:
     )
 
 
+def _reliable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's checkpoint folder and read it back.
+
+    Cuts lineage: later stages (and retries after a lost executor) start from
+    the written files instead of re-running the scan and shuffles behind them.
+    """
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 @dataclass
 class EqualWeightIndex:
-    """Lazily composed DataFrames of one index definition over ``bars``."""
+    """DataFrames of one index definition over ``bars``.
+
+    With ``materialize=True`` the three inputs that several outputs share are
+    checkpointed once: the projected bars (the only table that grows with the
+    ticker count), the members (dates x N) and the date-grain performance.
+    Without it everything stays lazy, and each output re-derives them.
+    """
 
     bars: DataFrame
     n: int = DEFAULT_MEMBERS
     base: float = BASE_INDEX_VALUE
     notional: float = INITIAL_NOTIONAL
+    materialize: bool = False
 
     def __post_init__(self) -> None:
-        self.bars = self.bars.select("date", "ticker", "close", "market_cap")
+        keep = _reliable if self.materialize else (lambda df: df)
+        self.bars = keep(self.bars.select("date", "ticker", "close", "market_cap"))
         self.calendar = trading_calendar(self.bars)
-        self.members = select_members(self.bars, self.n)
+        self.members = keep(select_members(self.bars, self.n))
         self.reval = revaluation(self.members, self.calendar, self.bars)
         self.growth = growth_by_date(self.reval)
-        self.perf = chain_performance(self.calendar, self.growth, self.base, self.notional)
+        self.perf = keep(chain_performance(self.calendar, self.growth, self.base, self.notional))
         self.cons = holdings(self.members, self.perf)
 
     def performance(self) -> DataFrame:
@@ -235,5 +255,6 @@ def equal_weight_index(
     n: int = DEFAULT_MEMBERS,
     base: float = BASE_INDEX_VALUE,
     notional: float = INITIAL_NOTIONAL,
+    materialize: bool = False,
 ) -> EqualWeightIndex:
-    return EqualWeightIndex(bars, n, base, notional)
+    return EqualWeightIndex(bars, n, base, notional, materialize)

@@ -53,11 +53,11 @@ def f2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def f1_index(spark: SparkSession, sf: str, n: int = N_MEMBERS):
-    return equal_weight_index(f1(spark, sf), n=n)
+    return equal_weight_index(f1(spark, sf), n=n, materialize=True)
 
 
 def f2_index(spark: SparkSession, sf: str, n: int = N_MEMBERS):
-    return equal_weight_index(f2(spark, sf), n=n)
+    return equal_weight_index(f2(spark, sf), n=n, materialize=True)
 
 
 # -- output shaping ----------------------------------------------------------
