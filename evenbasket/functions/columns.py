@@ -15,13 +15,24 @@ def col_(c: str | Column) -> Column:
 
 
 def ticker_code(prefix: str, key: str | Column, width: int = 6) -> Column:
-    """'S' || lpad(key, 6, '0') style ticker symbols for integer keys."""
-    return F.concat(F.lit(prefix), F.lpad(col_(key).cast("string"), width, "0"))
+    """Ticker symbol for an integer key: prefix + key zero-padded to at least
+    ``width`` digits (never truncated, so keys stay distinct at any scale)."""
+    return F.format_string(f"{prefix}%0{width}d", col_(key))
+
+
+def cents(c: str | Column) -> Column:
+    """Money as whole cents (BIGINT); exact for 2-decimal amounts."""
+    return F.rint(col_(c) * 100.0).cast("bigint")
+
+
+def cents_sum(c: str | Column) -> Column:
+    """Exact, order-independent sum of money in cents (BIGINT, hash-aggregatable)."""
+    return F.sum(cents(c))
 
 
 def money_sum(c: str | Column) -> Column:
     """Exact, order-independent sum of 2-decimal money, returned as DOUBLE."""
-    return F.sum(col_(c).cast(MONEY)).cast("double")
+    return cents_sum(c).cast("double") / 100.0
 
 
 def safe_ratio(num: str | Column, den: str | Column) -> Column:

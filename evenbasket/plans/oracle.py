@@ -30,7 +30,7 @@ def with_(*ctes: str) -> str:
 def f1_bars(name: str = "bars", key: str = "l_suppkey", prefix: str = "S") -> str:
     return f"""{name} AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
-         '{prefix}' || lpad(CAST({key} AS VARCHAR), 6, '0') AS ticker,
+         printf('{prefix}%06d', {key}) AS ticker,
          arg_min(l_extendedprice / l_quantity,
                  (l_shipdate, l_orderkey, l_linenumber, l_extendedprice / l_quantity)) AS open,
          max(l_extendedprice / l_quantity) AS high,
@@ -46,7 +46,7 @@ def f1_bars(name: str = "bars", key: str = "l_suppkey", prefix: str = "S") -> st
 def f2_bars(name: str = "bars") -> str:
     return f"""{name} AS (
   SELECT CAST(ts AS DATE) AS date,
-         'U' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS ticker,
+         printf('U%06d', user_id) AS ticker,
          arg_min(value, event_id) AS open,
          max(value) AS high,
          min(value) AS low,
@@ -204,8 +204,8 @@ def upsert_sql() -> str:
 def refresh_sql() -> str:
     ctes = [
         f1_bars("landed"),
-        "universe AS (SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS ticker FROM supplier)",
-        "good AS (SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS ticker FROM supplier WHERE s_acctbal > 0)",
+        "universe AS (SELECT printf('S%06d', s_suppkey) AS ticker FROM supplier)",
+        "good AS (SELECT printf('S%06d', s_suppkey) AS ticker FROM supplier WHERE s_acctbal > 0)",
         f"""existing AS (SELECT * FROM landed WHERE date < {d(R.REFRESH_STORED_BEFORE)}
   AND ticker IN (SELECT ticker FROM good))""",
         "unseen AS (SELECT ticker FROM universe EXCEPT SELECT ticker FROM existing)",
@@ -283,11 +283,11 @@ FROM bars WHERE date = {d(R.SLICE_DATE)}"""
     q["universe_semi"] = (
         with_(f1_bars())
         + f"""SELECT {BARS_COLS} FROM bars WHERE ticker IN (
-  SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') FROM supplier WHERE s_acctbal > 0)"""
+  SELECT printf('S%06d', s_suppkey) FROM supplier WHERE s_acctbal > 0)"""
     )
     q["unseen_tickers_anti"] = (
         with_(f1_bars("pbars", "l_partkey", "P"))
-        + f"""SELECT 'P' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') AS ticker FROM part
+        + f"""SELECT printf('P%06d', p_partkey) AS ticker FROM part
 EXCEPT SELECT ticker FROM pbars WHERE date < {d(R.STORED_BEFORE)}"""
     )
     q["distinct_tickers"] = with_(f1_bars()) + "SELECT DISTINCT ticker FROM bars"
@@ -313,7 +313,7 @@ EXCEPT SELECT ticker FROM pbars WHERE date < {d(R.STORED_BEFORE)}"""
   SELECT 1 FROM log l WHERE l.action_type = 'REMOVE' AND l.date = b.date AND l.ticker = b.ticker)"""
     )
     q["refresh_bars"] = refresh_sql()
-    q["duplicate_keys"] = """SELECT 'S' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS ticker,
+    q["duplicate_keys"] = """SELECT printf('S%06d', l_suppkey) AS ticker,
   CAST(l_shipdate AS DATE) AS date, count(*) AS duplicate_count
 FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
     q["quality_report"] = (

@@ -243,10 +243,9 @@ def q_refresh_bars(spark, sf):
 def q_duplicate_keys(spark, sf):
     from ..functions.columns import ticker_code
 
-    raw = read_table(spark, sf, "lineitem").select(
-        F.to_date("l_shipdate").alias("date"), ticker_code("S", "l_suppkey").alias("ticker")
-    )
-    return duplicate_keys(raw)
+    raw = read_table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date"), "l_suppkey")
+    dups = duplicate_keys(raw, keys=("l_suppkey", "date"))
+    return dups.select(ticker_code("S", "l_suppkey").alias("ticker"), "date", "duplicate_count")
 
 
 def q_quality_report(spark, sf):

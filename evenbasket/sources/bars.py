@@ -1,8 +1,11 @@
 """Bar tables derived from the shared test tables.
 
-Both adapters are one partial/final hash aggregation over a fact table: the
-map side combines rows per (date, ticker) before the shuffle, so a hot ticker
-or date costs one combined row per map task, not its raw rows.
+Both adapters are one partial/final hash aggregation over a fact table,
+grouped by the integer key: the map side combines rows per (date, key) before
+the shuffle, so a hot ticker or date costs one combined row per map task, not
+its raw rows. Money is summed as whole cents (BIGINT), which is exact and keeps
+the aggregation on the fixed-width hash path; ticker symbols are formatted
+after the aggregation, once per bar instead of once per fact row.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, money_sum, ticker_code
+from ..functions.columns import cents_sum, ticker_code
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,41 +23,42 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def supplier_month_bars(lineitem: DataFrame, key: str = "l_suppkey", prefix: str = "S") -> DataFrame:
     """Fixture F1: one bar per (month of ship date, supplier).
 
-    close = VWAP (exact decimal sums), high/low = extreme unit price,
+    close = VWAP (exact sums), high/low = extreme unit price,
     open = unit price of the month's first shipment (ship date, then order
     key, line number and price break ties), volume = units,
-    market_cap = dollar volume.
-    ``key='l_partkey'`` gives the sparse variant.
+    market_cap = dollar volume. ``key='l_partkey'`` gives the sparse variant.
     """
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    return (
+    first_shipment = F.struct("l_shipdate", "l_orderkey", "l_linenumber", unit.alias("p"))
+    bars = (
         lineitem.select(
             F.trunc(F.to_date("l_shipdate"), "MM").alias("date"),
-            ticker_code(prefix, key).alias("ticker"),
+            F.col(key).alias("_key"),
             "l_extendedprice",
             "l_quantity",
             unit.alias("unit_price"),
-            F.struct("l_shipdate", "l_orderkey", "l_linenumber", unit.alias("p")).alias("seq"),
+            first_shipment.alias("seq"),
         )
-        .groupBy("date", "ticker")
+        .groupBy("date", "_key")
         .agg(
             F.min_by("unit_price", "seq").alias("open"),
             F.max("unit_price").alias("high"),
             F.min("unit_price").alias("low"),
-            money_sum("l_extendedprice").alias("market_cap"),
-            F.sum(F.col("l_quantity").cast(MONEY)).cast("double").alias("units"),
-        )
-        .select(
-            "date",
-            "ticker",
-            "open",
-            "high",
-            "low",
-            (F.col("market_cap") / F.col("units")).alias("close"),
-            F.col("units").cast("bigint").alias("volume"),
-            "market_cap",
+            cents_sum("l_extendedprice").alias("cap_cents"),
+            F.sum(F.rint("l_quantity").cast("bigint")).alias("volume"),
         )
     )
+    market_cap = F.col("cap_cents").cast("double") / 100.0
+    return bars.select(
+        "date",
+        ticker_code(prefix, "_key").alias("ticker"),
+        "open",
+        "high",
+        "low",
+        (market_cap / F.col("volume").cast("double")).alias("close"),
+        "volume",
+        market_cap.alias("market_cap"),
+    )
 
 
 def user_day_bars(events: DataFrame) -> DataFrame:
@@ -63,31 +67,27 @@ def user_day_bars(events: DataFrame) -> DataFrame:
     market_cap = exact sum of values, volume = event count, close = mean value,
     open = value of the first event of the day (lowest event_id).
     """
-    return (
-        events.select(
-            F.to_date("ts").alias("date"),
-            ticker_code("U", "user_id").alias("ticker"),
-            "event_id",
-            "value",
-        )
-        .groupBy("date", "ticker")
+    bars = (
+        events.select(F.to_date("ts").alias("date"), "user_id", "event_id", "value")
+        .groupBy("date", "user_id")
         .agg(
             F.min_by("value", "event_id").alias("open"),
             F.max("value").alias("high"),
             F.min("value").alias("low"),
-            money_sum("value").alias("market_cap"),
+            cents_sum("value").alias("cap_cents"),
             F.count(F.lit(1)).alias("volume"),
         )
-        .select(
-            "date",
-            "ticker",
-            "open",
-            "high",
-            "low",
-            (F.col("market_cap") / F.col("volume").cast("double")).alias("close"),
-            "volume",
-            "market_cap",
-        )
+    )
+    market_cap = F.col("cap_cents").cast("double") / 100.0
+    return bars.select(
+        "date",
+        ticker_code("U", "user_id").alias("ticker"),
+        "open",
+        "high",
+        "low",
+        (market_cap / F.col("volume").cast("double")).alias("close"),
+        "volume",
+        market_cap.alias("market_cap"),
     )
 
 
