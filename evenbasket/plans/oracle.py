@@ -426,4 +426,16 @@ FROM perf p LEFT JOIN (
   SELECT date, string_agg(ticker, ', ' ORDER BY rank) AS lst FROM members GROUP BY date) l ON l.date = p.date"""
     )
     q["log_preview"] = ix1 + f"SELECT {LOG_COLS} FROM (SELECT * FROM log ORDER BY date, ticker LIMIT 10) x"
+    q["csv_roundtrip"] = q["performance"]
+    q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
+    q["table_upsert"] = q["upsert_bars"]
+    q["stream_upsert"] = q["upsert_bars"]
+    q["ddl_lifecycle"] = (
+        with_(f1_bars(), *index_ctes(), *v1_changes("trading"))
+        + """SELECT 'constituents' AS table_name, count(*) AS row_count FROM cons
+UNION ALL SELECT 'index_composition_log', count(*) FROM changes
+UNION ALL SELECT 'performance', count(*) FROM perf
+UNION ALL SELECT 'rebalancing_log', count(*) FROM log
+UNION ALL SELECT 'stock_data', count(*) FROM bars"""
+    )
     return q

@@ -398,5 +398,80 @@ def q_log_preview(spark, sf):
     return log_out(M.log_preview(f1_index(spark, sf).rebalancing_log(), 10))
 
 
+# -- sources and sinks on files (scratch folders under the checkpoint dir) ---------
+
+def _scratch(spark, name):
+    import uuid
+
+    from ..session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def q_csv_roundtrip(spark, sf):
+    from ..schemas import PERFORMANCE
+    from ..sources.tables import export_csv, read_csv_export
+
+    path = _scratch(spark, "csv")
+    export_csv(f1_index(spark, sf).performance(), path, order=["date"])
+    return perf_out(read_csv_export(spark, path, PERFORMANCE))
+
+
+def q_json_landing(spark, sf):
+    from ..sources.landing import read_json_days, write_json_days
+
+    path = _scratch(spark, "json")
+    write_json_days(f2(spark, sf), path)
+    return read_json_days(spark, path)
+
+
+def _store(spark):
+    from ..sources.tables import TableStore
+    import uuid
+
+    store = TableStore(spark, _scratch(spark, "store"), f"eb_{uuid.uuid4().hex[:12]}")
+    store.create_all()
+    return store
+
+
+def q_ddl_lifecycle(spark, sf):
+    from ..plans.build import build_index_tables, build_legacy_tables
+
+    store = _store(spark)
+    bars = f1(spark, sf)
+    store.overwrite("stock_data", bars)
+    build_index_tables(store, n=N_MEMBERS)
+    build_legacy_tables(store, n=N_MEMBERS, days=None, align="trading")
+    store.drop("index_performance")
+    names = [t.name for t in spark.catalog.listTables(store.namespace)]
+    counts = [store.read(t).select(F.lit(t).alias("table_name")) for t in sorted(names)]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_table_upsert(spark, sf):
+    store = _store(spark)
+    bars = f2(spark, sf)
+    store.overwrite("stock_data", bars)
+    store.upsert("stock_data", upsert_batch(bars), keys=["date", "ticker"], order="_seq")
+    return bars_out(store.read("stock_data"))
+
+
+def q_stream_upsert(spark, sf):
+    from ..streaming.ingest import ingest_available
+
+    store = _store(spark)
+    landing = _scratch(spark, "landing")
+    bars = f2(spark, sf)
+    bars.withColumn("seq", F.lit(-1).cast("bigint")).write.parquet(f"{landing}/drop=1")
+    upsert_batch(bars).withColumnRenamed("_seq", "seq").withColumn("seq", F.col("seq").cast("bigint")).write.parquet(
+        f"{landing}/drop=2"
+    )
+    ingest_available(spark, f"{landing}/*", store, _scratch(spark, "stream-ckpt"), max_files=None)
+    return bars_out(store.read("stock_data"))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
