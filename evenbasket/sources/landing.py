@@ -48,13 +48,17 @@ def read_json_days(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_json_days(bars: DataFrame, path: str, per_file_key: str = "date") -> None:
-    """Lay bars out as vendor JSON envelopes, one envelope per ``per_file_key`` value.
-
-    Each envelope holds one day's records (bounded by the ticker count of a day).
-    """
-    records = bars.select(
-        per_file_key,
+def write_json_days(bars: DataFrame, path: str, page_size: int = 1000) -> None:
+    """Lay bars out as vendor JSON envelopes ``{"results": [...]}``, paged like
+    a vendor API: each date is split into ceil(rows / page_size) pages by a hash
+    of the ticker, so an envelope holds about ``page_size`` records however many
+    tickers a date has (no date lands whole in one task or one record)."""
+    per_date = bars.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
+    pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint")
+    paged = bars.join(per_date, "date").withColumn("_page", F.pmod(F.xxhash64("ticker"), pages))
+    records = paged.select(
+        "date",
+        "_page",
         F.struct(
             "ticker",
             F.date_format("date", "yyyy-MM-dd").alias("date"),
@@ -63,5 +67,5 @@ def write_json_days(bars: DataFrame, path: str, per_file_key: str = "date") -> N
             "market_cap",
         ).alias("r"),
     )
-    envelopes = records.groupBy(per_file_key).agg(F.collect_list("r").alias("results")).select("results")
+    envelopes = records.groupBy("date", "_page").agg(F.collect_list("r").alias("results")).select("results")
     envelopes.write.mode("overwrite").json(path)
