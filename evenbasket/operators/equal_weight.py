@@ -59,7 +59,11 @@ def revaluation(members: DataFrame, calendar: DataFrame, bars: DataFrame) -> Dat
         )
     )
     prices = bars.select("date", "ticker", F.col("close").alias("cur_price"))
-    return carried.join(prices, ["date", "ticker"], "left").withColumn(
+    # Inner join first: the held side (dates x N) is the one AQE can broadcast,
+    # so bars stream past it without a shuffle. A LEFT join straight onto bars
+    # could only build on the bars side and would shuffle all of them.
+    priced = carried.select("date", "ticker").join(prices, ["date", "ticker"])
+    return carried.join(priced, ["date", "ticker"], "left").withColumn(
         "ratio", F.coalesce(safe_ratio("cur_price", "prev_price"), F.lit(0.0))
     )
 

@@ -47,15 +47,43 @@ def select_members(bars: DataFrame, n: int) -> DataFrame:
     )
 
 
+def global_row_number(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """1-based position of every row under a total ``order``, computed without
+    moving all rows into one task.
+
+    A range-partitioned sort places rows in order across partitions;
+    ``monotonically_increasing_id`` then carries (partition, position) of each
+    row; one row per partition is counted and turned into offsets (a window
+    over partitions only), which are broadcast back. The tagged rows are
+    written once to a reliable checkpoint, so the counts and the rows come from
+    the same physical layout (ids depend on it).
+    """
+    from .equal_weight import _reliable
+
+    ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    tagged = _reliable(
+        ordered.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
+            "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+        )
+    )
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select(
+        "_part",
+        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
+    )
+    return (
+        tagged.join(F.broadcast(offsets), "_part")  # one row per partition
+        .withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_pos") + 1).cast("bigint"))
+        .drop("_mid", "_part", "_pos", "_off")
+    )
+
+
 def ranked_on_date(bars: DataFrame, date: str) -> DataFrame:
-    """All tickers of one date with their rank (a listing, not a selection)."""
-    day = bars.where(F.col("date") == F.lit(date).cast("date"))
-    return day.select(
-        "ticker",
-        F.col("close").alias("price"),
-        "market_cap",
-        F.row_number().over(Window.partitionBy("date").orderBy(*rank_order())).cast("bigint").alias("rank"),
+    """All tickers of one date in rank order with their rank (a listing, not a selection)."""
+    day = bars.where(F.col("date") == F.lit(date).cast("date")).select(
+        "ticker", F.col("close").alias("price"), "market_cap"
     )
+    return global_row_number(day, rank_order())
 
 
 def top_n_on_date(bars: DataFrame, date: str, n: int) -> DataFrame:

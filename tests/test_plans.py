@@ -45,3 +45,22 @@ def test_upsert_merges_with_an_aggregate_not_a_window(spark):
     p = plan(upsert(bars, bars))
     assert "Window" not in p
     assert "Aggregate" in p
+
+
+def test_global_row_number_matches_a_sort(spark):
+    from pyspark.sql import functions as F
+
+    from evenbasket.operators.selection import global_row_number, rank_order
+
+    df = spark.range(5000).select(
+        F.format_string("T%05d", "id").alias("ticker"), (F.col("id") % 37).cast("double").alias("market_cap")
+    ).repartition(7)
+    got = {r.ticker: r.rank for r in global_row_number(df, rank_order()).collect()}
+    pdf = df.toPandas().sort_values(["market_cap", "ticker"], ascending=[False, True]).reset_index(drop=True)
+    assert got == {t: i + 1 for i, t in enumerate(pdf["ticker"])}
+
+
+def test_revaluation_streams_bars_past_the_held_side(spark):
+    ix = equal_weight_index(monthly_bars(spark, SF_MID), n=20)
+    text = ix.reval._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" in text and "Inner" in text  # inner join onto bars, outer join of small sides
