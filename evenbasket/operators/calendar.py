@@ -11,6 +11,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def date_grain(df: DataFrame) -> DataFrame:
+    """Broadcast hint for a frame with at most one row per date.
+
+    Its size is bounded by the calendar (366 rows a year), not by the number
+    of tickers or bars, so shipping it to every task is always cheap.
+    """
+    return F.broadcast(df)
+
+
 def trading_calendar(bars: DataFrame) -> DataFrame:
     """(date, prev_date, next_date, day_number) over the dates present in ``bars``.
 

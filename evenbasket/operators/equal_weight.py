@@ -36,7 +36,7 @@ from ..schemas import (
     INITIAL_NOTIONAL,
 )
 from ..functions.columns import safe_ratio
-from .calendar import trading_calendar
+from .calendar import date_grain, trading_calendar
 from .selection import select_members
 
 
@@ -48,7 +48,7 @@ def revaluation(members: DataFrame, calendar: DataFrame, bars: DataFrame) -> Dat
     ticker has no bar that day, and ratio is then 0.
     """
     carried = (
-        members.join(calendar.select("date", "next_date"), "date")
+        members.join(date_grain(calendar.select("date", "next_date")), "date")
         .where(F.col("next_date").isNotNull())
         .select(
             F.col("next_date").alias("date"),
@@ -92,7 +92,7 @@ def chain_performance(
     """
     g = (
         calendar.select("date", "prev_date")
-        .join(growth.select("date", F.col("growth").alias("g")), "date", "left")
+        .join(date_grain(growth.select("date", F.col("growth").alias("g"))), "date", "left")
         .withColumn(
             "growth",
             F.when(F.col("prev_date").isNull(), F.lit(1.0)).otherwise(F.coalesce(F.col("g"), F.lit(0.0))),
@@ -119,7 +119,7 @@ def holdings(members: DataFrame, perf: DataFrame) -> DataFrame:
     weight = F.lit(1.0) / F.col("n_members")
     target = F.col("total_notional") * F.col("weight")
     return (
-        members.join(perf.select("date", "prev_date", "total_notional"), "date")
+        members.join(date_grain(perf.select("date", "prev_date", "total_notional")), "date")
         .withColumn("weight", weight)
         .withColumn("notional", target)
         .select(
@@ -142,7 +142,7 @@ def previous_positions(reval: DataFrame, perf: DataFrame) -> DataFrame:
     """
     prev_perf = perf.select(F.col("date").alias("prev_date"), F.col("total_notional").alias("prev_total"))
     weight = F.lit(1.0) / F.col("prev_n")
-    return reval.join(prev_perf, "prev_date").select(
+    return reval.join(date_grain(prev_perf), "prev_date").select(
         "date",
         "ticker",
         ((F.col("prev_total") * weight) / F.col("prev_price")).alias("prev_shares"),
@@ -240,7 +240,7 @@ class EqualWeightIndex:
     def daily_value(self) -> DataFrame:
         """Yesterday's holdings at today's prices: (date, prev_date, held_value, n_held, n_missing)."""
         prev_pos = self.reval.join(
-            self.perf.select(F.col("date").alias("prev_date"), F.col("total_notional").alias("prev_total")),
+            date_grain(self.perf.select(F.col("date").alias("prev_date"), F.col("total_notional").alias("prev_total"))),
             "prev_date",
         )
         shares = (F.col("prev_total") * (F.lit(1.0) / F.col("prev_n"))) / F.col("prev_price")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import action_display_class, currency_text, percent_text
 from ..schemas import ACTION_ADD, ACTION_REMOVE, TRAILING_DAYS
+from .calendar import date_grain
 
 
 def as_of_column(df: DataFrame, as_of: str | None) -> tuple[DataFrame, Column]:
@@ -102,7 +103,7 @@ def performance_series(perf: DataFrame, log: DataFrame, days: int = TRAILING_DAY
     window = trailing_window(perf.select("date", "index_value", "daily_return"), days, as_of)
     marks = change_dates(log).withColumn("is_change_day", F.lit(True))
     return (
-        window.join(marks, "date", "left")
+        window.join(date_grain(marks), "date", "left")
         .select("date", "index_value", "daily_return", F.coalesce("is_change_day", F.lit(False)).alias("is_change_day"))
         .orderBy("date")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import DEFAULT_MEMBERS, TRAILING_DAYS, V1_ADDED, V1_REMOVED
-from .calendar import aligned_calendar
+from .calendar import aligned_calendar, date_grain
 from .selection import select_members
 
 
@@ -38,7 +38,7 @@ def price_average_index(bars: DataFrame, n: int = DEFAULT_MEMBERS, days: int | N
     members = select_members(bars, n)
     out = members.groupBy("date").agg(F.avg("price").alias("index_value"))
     if days is not None:
-        out = out.join(trailing_dates(bars, days), "date", "left_semi")
+        out = out.join(date_grain(trailing_dates(bars, days)), "date", "left_semi")
     return out
 
 
@@ -57,11 +57,11 @@ def composition_changes(
     members = select_members(bars, n).select("date", "ticker")
     cal = aligned_calendar(bars, align)
     processed = trailing_dates(bars, days)
-    today = members.join(processed, "date", "left_semi")
+    today = members.join(date_grain(processed), "date", "left_semi")
     # previous set, keyed by the date on which it is compared
     prev = (
-        members.join(cal.select(F.col("prev_date").alias("date"), F.col("date").alias("cmp_date")), "date")
-        .join(processed.select(F.col("date").alias("cmp_date")), "cmp_date", "left_semi")
+        members.join(date_grain(cal.select(F.col("prev_date").alias("date"), F.col("date").alias("cmp_date"))), "date")
+        .join(date_grain(processed.select(F.col("date").alias("cmp_date"))), "cmp_date", "left_semi")
         .select(F.col("cmp_date").alias("date"), "ticker", F.lit(True).alias("was_member"))
     )
     j = today.withColumn("is_member", F.lit(True)).join(prev, ["date", "ticker"], "full_outer")

@@ -15,7 +15,7 @@ def index_report(perf: DataFrame, members: DataFrame) -> DataFrame:
     lists = members.groupBy("date").agg(
         F.expr("listagg(ticker, ', ') WITHIN GROUP (ORDER BY rank)").alias("Top100Stocks")
     )
-    return perf.join(lists, "date", "left").select(
+    return perf.join(lists, "date", "left").select(  # both one row per date
         F.col("date").alias("Date"),
         F.col("daily_return").alias("IndexReturn"),
         "Top100Stocks",
