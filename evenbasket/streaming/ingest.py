@@ -7,6 +7,10 @@ after a failure leaves the same table (at-least-once delivery, exactly-once
 effect). `availableNow` processes everything landed so far and stops, which is
 how the reference's hand-run daily refresh maps onto a scheduled job.
 
+Recency: inside one micro-batch the row with the greatest `seq` wins (ties:
+greatest row); across micro-batches the later batch wins, i.e. files are
+applied in arrival (modification-time) order, last writer wins.
+
 Late or corrected bars are just rows for an old date: the upsert rewrites that
 date's partition, and a rebuilt index picks them up.
 """

@@ -122,9 +122,23 @@ def test_streaming_ingest_matches_batch_upsert(spark, store, tmp_path):
     batch = upsert_batch(bars).withColumnRenamed("_seq", "seq").withColumn("seq", F.col("seq").cast("bigint"))
     batch.write.parquet(str(landing / "d2"))
     ckpt = str(tmp_path / "ckpt")
-    ingest_available(spark, str(landing) + "/*", store, ckpt, max_files=1)
+    ingest_available(spark, str(landing) + "/*", store, ckpt)  # one micro-batch: seq decides
     want = rows(upsert(bars, upsert_batch(bars), order="_seq"))
     assert rows(store.read("stock_data")) == want
     # a second run finds nothing new and leaves the table unchanged
-    ingest_available(spark, str(landing) + "/*", store, ckpt, max_files=1)
+    ingest_available(spark, str(landing) + "/*", store, ckpt)
     assert rows(store.read("stock_data")) == want
+
+
+def test_streaming_later_drop_wins_across_micro_batches(spark, store, tmp_path):
+    import time
+
+    landing = tmp_path / "drops"
+    base = make_bars(spark, F3_ROWS[:3])
+    for i, price in enumerate([1.0, 2.0, 3.0]):
+        base.withColumn("close", F.lit(price)).withColumn("seq", F.lit(0).cast("bigint")).coalesce(1).write.parquet(
+            str(landing / f"drop{i}")
+        )
+        time.sleep(1.1)  # distinct modification times: arrival order
+    ingest_available(spark, str(landing) + "/*", store, str(tmp_path / "ck"), max_files=1)
+    assert {r.close for r in store.read("stock_data").collect()} == {3.0}
