@@ -260,5 +260,14 @@ def equal_weight_index(
     base: float = BASE_INDEX_VALUE,
     notional: float = INITIAL_NOTIONAL,
     materialize: bool = False,
+    start: str | None = None,
+    end: str | None = None,
 ) -> EqualWeightIndex:
+    """The index over the trading dates of ``bars`` within [start, end] (both
+    inclusive, either open); the first trading date in range is the base date.
+    The range is a filter on ``date``, so it reaches the scan / partition pruning."""
+    if start is not None:
+        bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
     return EqualWeightIndex(bars, n, base, notional, materialize)

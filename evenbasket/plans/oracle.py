@@ -378,6 +378,7 @@ GROUP BY date"""
     )
     q["composition_changes_calendar"] = with_(f1_bars(), *v1_changes("calendar")) + "SELECT * FROM changes"
     q["composition_changes_trading"] = with_(f1_bars(), *v1_changes("trading")) + "SELECT * FROM changes"
+    q["composition_changes_30d"] = with_(f1_bars(), *v1_changes("calendar", days=30)) + "SELECT * FROM changes"
     q["change_counts"] = (
         with_(f1_bars(), *v1_changes("trading")) + "SELECT date, action, count(*) AS n FROM changes GROUP BY date, action"
     )

@@ -338,6 +338,11 @@ def q_composition_changes_trading(spark, sf):
     return V1.composition_changes(f1(spark, sf), N_MEMBERS, align="trading")
 
 
+def q_composition_changes_30d(spark, sf):
+    """The legacy tracker as it ran: trailing 30 days before the last date, calendar alignment."""
+    return V1.composition_changes(f1(spark, sf), N_MEMBERS, align="calendar", days=30)
+
+
 def q_change_counts(spark, sf):
     return V1.change_counts(V1.composition_changes(f1(spark, sf), N_MEMBERS, align="trading"))
 

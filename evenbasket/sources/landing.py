@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.calendar import date_grain
 from ..operators.reshape import normalize_bars
 from ..schemas import JSON_DAY_RECORD, UNIVERSE
 
@@ -55,7 +56,7 @@ def write_json_days(bars: DataFrame, path: str, page_size: int = 1000) -> None:
     tickers a date has (no date lands whole in one task or one record)."""
     per_date = bars.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
     pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_size))).cast("bigint")
-    paged = bars.join(per_date, "date").withColumn("_page", F.pmod(F.xxhash64("ticker"), pages))
+    paged = bars.join(date_grain(per_date), "date").withColumn("_page", F.pmod(F.xxhash64("ticker"), pages))
     records = paged.select(
         "date",
         "_page",

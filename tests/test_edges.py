@@ -93,3 +93,9 @@ def test_scaling_one_ticker_leaves_index_unchanged(spark):
     b, _ = perf(spark, scaled)
     for x, y in zip(a, b):
         assert x[1] == pytest.approx(y[1], rel=1e-12)
+
+
+def test_wall_clock_window_is_empty_on_old_data(spark, f3_bars):
+    ix = equal_weight_index(f3_bars, n=2)
+    assert M.trailing_window(ix.performance(), 30, None).count() == 0  # as of today (2025 data is old)
+    assert M.trailing_window(ix.performance(), 4, "2025-01-07").count() == 3  # 01-03 .. 01-07 inclusive

@@ -127,3 +127,11 @@ def test_dashboard_views(ix):
     assert texts[(D(2025, 1, 3), "C")] == ("$550,000.00", "color: green")
     series = M.performance_series(ix.performance(), ix.rebalancing_log(), 30, "max").collect()
     assert [r.is_change_day for r in series] == [False, True, True, True]
+
+
+def test_date_range_rebases_on_first_date_in_range(f3_bars):
+    ix = equal_weight_index(f3_bars, n=2, start="2025-01-04", end="2025-01-07")
+    got = rows(ix.performance(), "date")
+    assert [r[0] for r in got] == [D(2025, 1, 6), D(2025, 1, 7)]
+    assert got[0][1:] == (1000.0, 1_000_000.0, 0.0)
+    assert ix.rebalancing_log().count() == 2  # only 01-07 trades
