@@ -204,26 +204,35 @@ def _reliable(df: DataFrame) -> DataFrame:
 class EqualWeightIndex:
     """DataFrames of one index definition over ``bars``.
 
-    With ``materialize=True`` the three inputs that several outputs share are
-    checkpointed once: the projected bars (the only table that grows with the
-    ticker count), the members (dates x N) and the date-grain performance.
-    Without it everything stays lazy, and each output re-derives them.
+    ``materialize`` checkpoints the frames several outputs share, so each is
+    computed once and every output starts from written files:
+
+    * ``"derived"``: members (dates x N), the revaluation (dates x N) and the
+      date-grain performance. Outputs then never touch bars again. Use this
+      when ``bars`` is a stored table: rescanning a few pruned columns is
+      cheaper than copying the largest table.
+    * ``True``: the projected bars as well, for bars derived by an expensive
+      aggregation (the fixture adapters over raw fact tables).
+    * ``False``: everything stays lazy.
     """
 
     bars: DataFrame
     n: int = DEFAULT_MEMBERS
     base: float = BASE_INDEX_VALUE
     notional: float = INITIAL_NOTIONAL
-    materialize: bool = False
+    materialize: bool | str = False
 
     def __post_init__(self) -> None:
-        keep = _reliable if self.materialize else (lambda df: df)
-        self.bars = keep(self.bars.select("date", "ticker", "close", "market_cap"))
+        if self.materialize not in (False, True, "derived"):
+            raise ValueError("materialize must be False, True or 'derived'")
+        small = _reliable if self.materialize else (lambda df: df)
+        big = _reliable if self.materialize is True else (lambda df: df)
+        self.bars = big(self.bars.select("date", "ticker", "close", "market_cap"))
         self.calendar = trading_calendar(self.bars)
-        self.members = keep(select_members(self.bars, self.n))
-        self.reval = revaluation(self.members, self.calendar, self.bars)
+        self.members = small(select_members(self.bars, self.n))
+        self.reval = small(revaluation(self.members, self.calendar, self.bars))
         self.growth = growth_by_date(self.reval)
-        self.perf = keep(chain_performance(self.calendar, self.growth, self.base, self.notional))
+        self.perf = small(chain_performance(self.calendar, self.growth, self.base, self.notional))
         self.cons = holdings(self.members, self.perf)
 
     def performance(self) -> DataFrame:
@@ -259,7 +268,7 @@ def equal_weight_index(
     n: int = DEFAULT_MEMBERS,
     base: float = BASE_INDEX_VALUE,
     notional: float = INITIAL_NOTIONAL,
-    materialize: bool = False,
+    materialize: bool | str = False,
     start: str | None = None,
     end: str | None = None,
 ) -> EqualWeightIndex:

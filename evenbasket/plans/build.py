@@ -25,8 +25,11 @@ def build_index_tables(
     notional: float = INITIAL_NOTIONAL,
 ) -> EqualWeightIndex:
     """(Re)compute constituents, rebalancing_log and performance from `stock_data`."""
-    bars = store.read("stock_data") if bars is None else bars
-    ix = equal_weight_index(bars, n, base, notional, materialize=True)
+    stored = bars is None
+    bars = store.read("stock_data") if stored else bars
+    # a stored table is rescanned cheaply (pruned columns, date partitions);
+    # derived bars are checkpointed once
+    ix = equal_weight_index(bars, n, base, notional, materialize="derived" if stored else True)
     store.overwrite("constituents", ix.constituents())
     store.overwrite("rebalancing_log", ix.rebalancing_log())
     store.overwrite("performance", ix.performance())

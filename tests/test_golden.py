@@ -8,7 +8,7 @@ from evenbasket.operators import price_average as V1
 from evenbasket.operators.equal_weight import equal_weight_index
 
 
-@pytest.fixture(scope="module", params=[False, True], ids=["lazy", "materialized"])
+@pytest.fixture(scope="module", params=[False, True, "derived"], ids=["lazy", "materialized", "derived"])
 def ix(request, f3_bars):
     return equal_weight_index(f3_bars, n=2, materialize=request.param)
 
