@@ -36,6 +36,7 @@ from ..schemas import (
     INITIAL_NOTIONAL,
 )
 from ..functions.columns import safe_ratio
+from ..session import reliable_checkpoint
 from .calendar import date_grain, trading_calendar
 from .selection import select_members
 
@@ -188,18 +189,6 @@ def trade_log(cons: DataFrame, prev_pos: DataFrame) -> DataFrame:
     )
 
 
-def _reliable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back.
-
-    Cuts lineage: later stages (and retries after a lost executor) start from
-    the written files instead of re-running the scan and shuffles behind them.
-    """
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 @dataclass
 class EqualWeightIndex:
     """DataFrames of one index definition over ``bars``.
@@ -225,8 +214,8 @@ class EqualWeightIndex:
     def __post_init__(self) -> None:
         if self.materialize not in (False, True, "derived"):
             raise ValueError("materialize must be False, True or 'derived'")
-        small = _reliable if self.materialize else (lambda df: df)
-        big = _reliable if self.materialize is True else (lambda df: df)
+        small = reliable_checkpoint if self.materialize else (lambda df: df)
+        big = reliable_checkpoint if self.materialize is True else (lambda df: df)
         self.bars = big(self.bars.select("date", "ticker", "close", "market_cap"))
         self.calendar = trading_calendar(self.bars)
         self.members = small(select_members(self.bars, self.n))

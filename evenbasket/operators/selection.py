@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_priced
+from ..session import reliable_checkpoint
 
 
 def rank_order() -> list[Column]:
@@ -58,10 +59,8 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank") ->
     written once to a reliable checkpoint, so the counts and the rows come from
     the same physical layout (ids depend on it).
     """
-    from .equal_weight import _reliable
-
     ordered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = _reliable(
+    tagged = reliable_checkpoint(
         ordered.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
             "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
         )

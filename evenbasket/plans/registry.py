@@ -9,12 +9,13 @@ left untouched.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_sig
+from ..functions.columns import round_sig, ticker_code
 from ..operators import metrics as M
 from ..operators import price_average as V1
 from ..operators.calendar import trading_calendar
@@ -25,7 +26,13 @@ from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
 from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE
+from ..schemas import PERFORMANCE
+from ..session import scratch_path
 from ..sources.bars import read_table, supplier_month_bars, supplier_universe, user_day_bars
+from ..sources.landing import read_json_days, write_json_days
+from ..sources.tables import TableStore, export_csv, read_csv_export
+from ..streaming.ingest import ingest_available
+from .build import build_index_tables, build_legacy_tables
 
 # Fixed query parameters.
 N_MEMBERS = 20
@@ -153,8 +160,6 @@ def _part_bars(spark, sf):
 
 
 def q_unseen_tickers_anti(spark, sf):
-    from ..functions.columns import ticker_code
-
     universe = read_table(spark, sf, "part").select(ticker_code("P", "p_partkey").alias("Symbol"))
     stored = _part_bars(spark, sf).where(F.col("date") < F.lit(STORED_BEFORE).cast("date"))
     return unseen_tickers(universe, stored)
@@ -241,8 +246,6 @@ def q_refresh_bars(spark, sf):
 # -- quality -------------------------------------------------------------------
 
 def q_duplicate_keys(spark, sf):
-    from ..functions.columns import ticker_code
-
     raw = read_table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date"), "l_suppkey")
     dups = duplicate_keys(raw, keys=("l_suppkey", "date"))
     return dups.select(ticker_code("S", "l_suppkey").alias("ticker"), "date", "duplicate_count")
@@ -406,42 +409,28 @@ def q_log_preview(spark, sf):
 # -- sources and sinks on files (scratch folders under the checkpoint dir) ---------
 
 def _scratch(spark, name):
-    import uuid
-
-    from ..session import scratch_path
-
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 def q_csv_roundtrip(spark, sf):
-    from ..schemas import PERFORMANCE
-    from ..sources.tables import export_csv, read_csv_export
-
     path = _scratch(spark, "csv")
     export_csv(f1_index(spark, sf).performance(), path, order=["date"])
     return perf_out(read_csv_export(spark, path, PERFORMANCE))
 
 
 def q_json_landing(spark, sf):
-    from ..sources.landing import read_json_days, write_json_days
-
     path = _scratch(spark, "json")
     write_json_days(f2(spark, sf), path)
     return read_json_days(spark, path)
 
 
 def _store(spark):
-    from ..sources.tables import TableStore
-    import uuid
-
     store = TableStore(spark, _scratch(spark, "store"), f"eb_{uuid.uuid4().hex[:12]}")
     store.create_all()
     return store
 
 
 def q_ddl_lifecycle(spark, sf):
-    from ..plans.build import build_index_tables, build_legacy_tables
-
     store = _store(spark)
     bars = f1(spark, sf)
     store.overwrite("stock_data", bars)
@@ -465,8 +454,6 @@ def q_table_upsert(spark, sf):
 
 
 def q_stream_upsert(spark, sf):
-    from ..streaming.ingest import ingest_available
-
     store = _store(spark)
     landing = _scratch(spark, "landing")
     bars = f2(spark, sf)

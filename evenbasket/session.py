@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "evenbasket", shuffle_partitions: int = 8) -> SparkSession:
@@ -54,3 +54,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables next to the session's checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's checkpoint folder and read it back.
+
+    Cuts lineage: later stages (and retries after a lost executor) start from
+    the written files instead of re-running the scan and shuffles behind them.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

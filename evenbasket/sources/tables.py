@@ -164,16 +164,16 @@ class TableStore:
 def export_csv(df: DataFrame, path: str, order: Sequence[str] | None = None) -> None:
     """Write a report as CSV with a header (the reference's spreadsheet/PDF exports).
 
-    Rows stay in their partitions; ``order`` range-partitions the output so the
-    part files concatenate in that order.
+    List columns are joined with ', ' (CSV has no arrays). Rows stay in their
+    partitions; ``order`` range-partitions the output so the part files
+    concatenate in that order.
     """
-    out = df.orderBy(*order) if order else df
-    (
-        out.select(*[F.col(c).cast("string").alias(c) if dict(df.dtypes)[c].startswith("array") else F.col(c) for c in df.columns])
-        .write.mode("overwrite")
-        .option("header", True)
-        .csv(path)
+    types = dict(df.dtypes)
+    flat = df.select(
+        *[F.array_join(c, ", ").alias(c) if types[c].startswith("array") else F.col(c) for c in df.columns]
     )
+    out = flat.orderBy(*order) if order else flat
+    out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv_export(spark: SparkSession, path: str, schema) -> DataFrame:
