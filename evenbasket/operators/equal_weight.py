@@ -214,8 +214,9 @@ class EqualWeightIndex:
     def __post_init__(self) -> None:
         if self.materialize not in (False, True, "derived"):
             raise ValueError("materialize must be False, True or 'derived'")
-        small = reliable_checkpoint if self.materialize else (lambda df: df)
-        big = reliable_checkpoint if self.materialize is True else (lambda df: df)
+        keep = lambda df: df
+        small = reliable_checkpoint if self.materialize else keep
+        big = (lambda df: reliable_checkpoint(df, "bars", large=True)) if self.materialize is True else keep
         self.bars = big(self.bars.select("date", "ticker", "close", "market_cap"))
         self.calendar = trading_calendar(self.bars)
         self.members = small(select_members(self.bars, self.n))

@@ -63,7 +63,9 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank") ->
     tagged = reliable_checkpoint(
         ordered.withColumn("_part", F.shiftright("_mid", 33)).withColumn(
             "_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-        )
+        ),
+        "ranked",
+        large=True,
     )
     counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

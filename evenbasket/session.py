@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,11 +57,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back.
+def reliable_checkpoint(df: DataFrame, name: str = "frame", large: bool = False) -> DataFrame:
+    """Persist ``df`` reliably in the session's checkpoint folder and continue from it.
 
     Cuts lineage: later stages (and retries after a lost executor) start from
     the written files instead of re-running the scan and shuffles behind them.
+    ``large=True`` writes a parquet table and reads it back (compressed,
+    column-pruned re-reads, real file sizes for join planning); small frames
+    use ``Dataset.checkpoint``, which costs less per write.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not large:
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
