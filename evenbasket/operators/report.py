@@ -20,3 +20,20 @@ def index_report(perf: DataFrame, members: DataFrame) -> DataFrame:
         F.col("daily_return").alias("IndexReturn"),
         "Top100Stocks",
     )
+
+
+def render_report(report: DataFrame, decimals: int = 10) -> DataFrame:
+    """(Date, text): each report row as the three lines of the printed report."""
+    # The printed report's line labels.
+    text = F.concat_ws(
+        "\n",
+        F.concat(F.lit("Date: "), F.date_format("Date", "yyyy-MM-dd")),
+        F.concat(F.lit("Index Return: "), F.format_number("IndexReturn", decimals)),
+        F.concat(F.lit("Top 100 Stocks: "), F.coalesce("Top100Stocks", F.lit(""))),
+    )
+    return report.select("Date", text.alias("text"))
+
+
+def export_report_text(report: DataFrame, path: str, decimals: int = 10) -> None:
+    """Write the rendered report as text files, records in date order."""
+    render_report(report, decimals).orderBy("Date").select("text").write.mode("overwrite").text(path)

@@ -425,6 +425,16 @@ WHERE p.date BETWEEN (SELECT max(date) FROM perf) - INTERVAL 30 DAY AND (SELECT
         + f"""SELECT p.date AS "Date", {rnd('p.daily_return', 10)} AS "IndexReturn", l.lst AS "Top100Stocks"
 FROM perf p LEFT JOIN (
   SELECT date, string_agg(ticker, ', ' ORDER BY rank) AS lst FROM members GROUP BY date) l ON l.date = p.date"""
+    )
+    q["report_text"] = (
+        ix1
+        + """, report AS (
+  SELECT p.date, p.daily_return, l.lst
+  FROM perf p LEFT JOIN (
+    SELECT date, string_agg(ticker, ', ' ORDER BY rank) AS lst FROM members GROUP BY date) l ON l.date = p.date)
+SELECT 'Date: ' || strftime(date, '%Y-%m-%d') AS line FROM report
+UNION ALL SELECT 'Index Return: ' || format('{:,.10f}', daily_return) FROM report
+UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     )
     q["log_preview"] = ix1 + f"SELECT {LOG_COLS} FROM (SELECT * FROM log ORDER BY date, ticker LIMIT 10) x"
     q["csv_roundtrip"] = q["performance"]

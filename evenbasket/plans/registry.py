@@ -21,7 +21,7 @@ from ..operators import price_average as V1
 from ..operators.calendar import trading_calendar
 from ..operators.equal_weight import equal_weight_index
 from ..operators.quality import duplicate_keys, quality_report
-from ..operators.report import index_report
+from ..operators.report import export_report_text, index_report
 from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
@@ -402,6 +402,14 @@ def q_index_report(spark, sf):
     return out.select("Date", F.round("IndexReturn", 10).alias("IndexReturn"), "Top100Stocks")
 
 
+def q_report_text(spark, sf):
+    """The report rendered as text lines, written and read back."""
+    ix = f1_index(spark, sf)
+    path = _scratch(spark, "report")
+    export_report_text(index_report(ix.performance(), ix.members), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 def q_log_preview(spark, sf):
     return log_out(M.log_preview(f1_index(spark, sf).rebalancing_log(), 10))
 
