@@ -193,6 +193,9 @@ def trade_log(cons: DataFrame, prev_pos: DataFrame) -> DataFrame:
 class EqualWeightIndex:
     """DataFrames of one index definition over ``bars``.
 
+    ``bars`` must hold one row per (date, ticker), as the stored table does
+    (the upsert keeps keys unique; ``quality_report`` flags duplicates).
+
     ``materialize`` checkpoints the frames several outputs share, so each is
     computed once and every output starts from written files:
 
