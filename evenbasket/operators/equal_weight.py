@@ -83,13 +83,15 @@ def chain_performance(
     growth: DataFrame,
     base: float = BASE_INDEX_VALUE,
     notional: float = INITIAL_NOTIONAL,
+    chain0: float = 1.0,
 ) -> DataFrame:
     """(date, prev_date, growth, index_value, total_notional, daily_return).
 
     First date: growth 1, return 0. A date whose basket was empty or wholly
     unpriced has growth 0; after a zero value the return is NULL (0/0).
     The running product uses an explicit ROWS frame (the default is RANGE) and
-    runs over one row per date.
+    runs over one row per date. ``chain0`` seeds the chain (the level of the
+    first date relative to ``base``) when continuing a stored index.
     """
     g = (
         calendar.select("date", "prev_date")
@@ -100,7 +102,8 @@ def chain_performance(
         )
     )
     w = Window.orderBy("date")
-    chained = g.withColumn("chain", F.product("growth").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    running = F.product("growth").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chained = g.withColumn("chain", running if chain0 == 1.0 else F.lit(float(chain0)) * running)
     chained = chained.withColumn("prev_chain", F.lag("chain").over(w))
     return chained.select(
         "date",
@@ -213,6 +216,7 @@ class EqualWeightIndex:
     base: float = BASE_INDEX_VALUE
     notional: float = INITIAL_NOTIONAL
     materialize: bool | str = False
+    chain0: float = 1.0
 
     def __post_init__(self) -> None:
         if self.materialize not in (False, True, "derived"):
@@ -225,7 +229,7 @@ class EqualWeightIndex:
         self.members = small(select_members(self.bars, self.n))
         self.reval = small(revaluation(self.members, self.calendar, self.bars))
         self.growth = growth_by_date(self.reval)
-        self.perf = small(chain_performance(self.calendar, self.growth, self.base, self.notional))
+        self.perf = small(chain_performance(self.calendar, self.growth, self.base, self.notional, self.chain0))
         self.cons = holdings(self.members, self.perf)
 
     def performance(self) -> DataFrame:
@@ -264,6 +268,7 @@ def equal_weight_index(
     materialize: bool | str = False,
     start: str | None = None,
     end: str | None = None,
+    chain0: float = 1.0,
 ) -> EqualWeightIndex:
     """The index over the trading dates of ``bars`` within [start, end] (both
     inclusive, either open); the first trading date in range is the base date.
@@ -272,4 +277,4 @@ def equal_weight_index(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    return EqualWeightIndex(bars, n, base, notional, materialize)
+    return EqualWeightIndex(bars, n, base, notional, materialize, chain0)

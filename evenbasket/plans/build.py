@@ -9,6 +9,7 @@ reader that sees a performance date also finds its holdings and trades.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.equal_weight import EqualWeightIndex, equal_weight_index
 from ..operators.price_average import composition_changes, price_average_index
@@ -36,6 +37,44 @@ def build_index_tables(
     return ix
 
 
+def extend_index_tables(
+    store: TableStore,
+    bars: DataFrame | None = None,
+    n: int = DEFAULT_MEMBERS,
+    base: float = BASE_INDEX_VALUE,
+    notional: float = INITIAL_NOTIONAL,
+) -> EqualWeightIndex | None:
+    """Continue the stored index over the trading dates after its last date.
+
+    Every day is fully rebalanced, so the future depends only on the last
+    date's level and members: the same set-form plan runs over dates >= the
+    last stored date with the chain seeded at the stored level, and rows for
+    the later dates are appended. The result equals a full rebuild; the work
+    grows with the new dates, not with the history. Bars of already indexed
+    dates must be unchanged (after a correction to date d, rebuild).
+    Returns None when there is nothing new; builds from scratch when the
+    store is empty.
+    """
+    state = store.read("performance").orderBy(F.col("date").desc()).limit(1).collect()  # one row
+    if not state:
+        return build_index_tables(store, bars, n, base, notional)
+    last = state[0]
+    stored = bars is None
+    bars = store.read("stock_data") if stored else bars
+    recent = bars.where(F.col("date") >= F.lit(last.date))
+    ix = equal_weight_index(
+        recent, n, base, notional, materialize="derived" if stored else True, chain0=last.index_value / base
+    )
+    later = F.col("date") > F.lit(last.date)
+    perf = ix.performance().where(later)
+    if perf.isEmpty():
+        return None
+    store.append("constituents", ix.constituents().where(later))
+    store.append("rebalancing_log", ix.rebalancing_log().where(later))
+    store.append("performance", perf)
+    return ix
+
+
 def build_legacy_tables(
     store: TableStore,
     bars: DataFrame | None = None,

@@ -440,6 +440,7 @@ UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     q["csv_roundtrip"] = q["performance"]
     q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
     q["table_upsert"] = q["upsert_bars"]
+    q["performance_extended"] = q["performance"]
     q["stream_upsert"] = q["upsert_bars"]
     q["ddl_lifecycle"] = (
         with_(f1_bars(), *index_ctes(), *v1_changes("trading"))

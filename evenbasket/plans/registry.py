@@ -32,7 +32,7 @@ from ..sources.bars import read_table, supplier_month_bars, supplier_universe, u
 from ..sources.landing import read_json_days, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
-from .build import build_index_tables, build_legacy_tables
+from .build import build_index_tables, build_legacy_tables, extend_index_tables
 
 # Fixed query parameters.
 N_MEMBERS = 20
@@ -453,6 +453,22 @@ def q_ddl_lifecycle(spark, sf):
     return out.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+EXTEND_FROM = "1998-01-01"
+
+
+def q_performance_extended(spark, sf):
+    """Index built on the bars before EXTEND_FROM, then continued after the later
+    bars land: must equal the full-history performance."""
+    store = _store(spark)
+    bars = f1(spark, sf)
+    cut = F.lit(EXTEND_FROM).cast("date")
+    store.overwrite("stock_data", bars.where(F.col("date") < cut))
+    build_index_tables(store, n=N_MEMBERS)
+    store.upsert("stock_data", bars.where(F.col("date") >= cut), keys=["date", "ticker"])
+    extend_index_tables(store, n=N_MEMBERS)
+    return perf_out(store.read("performance"))
+
+
 def q_table_upsert(spark, sf):
     store = _store(spark)
     bars = f2(spark, sf)

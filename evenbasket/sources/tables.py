@@ -18,6 +18,12 @@ from ..schemas import TABLES
 from ..session import scratch_path
 
 
+def _for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rebalance on the partition columns before a partitioned write: AQE merges
+    small outputs into few files and splits a hot date over several tasks."""
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def ddl_columns(schema) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -68,14 +74,14 @@ class TableStore:
 
     def append(self, name: str, df: DataFrame) -> None:
         schema, parts = TABLES[name]
-        w = df.select(*schema.fieldNames()).write.mode("append")
+        w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("append")
         (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
         self.refresh(name)
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """Replace the whole table (idempotent full recompute)."""
         schema, parts = TABLES[name]
-        w = df.select(*schema.fieldNames()).write.mode("overwrite")
+        w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
         self.refresh(name)
 
@@ -96,12 +102,13 @@ class TableStore:
             current = current.join(touched, list(parts), "left_semi")
         merged = upsert(current, batch.select(*cols, *([order] if order else [])), keys, order)
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
-        w = merged.select(*cols).write.mode("overwrite")
+        w = _for_write(merged.select(*cols), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(stage)
         staged = self.spark.read.schema(schema).parquet(stage).select(*cols)
         if parts:
             (
-                staged.write.mode("overwrite")
+                _for_write(staged, parts)
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts)
                 .parquet(self.path(name))
@@ -120,7 +127,7 @@ class TableStore:
         scope = current.join(touched, list(parts), "left_semi") if parts else current
         kept = scope.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
-        w = kept.select(*cols).write.mode("overwrite")
+        w = _for_write(kept.select(*cols), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(stage)
         staged = self.spark.read.schema(schema).parquet(stage).select(*cols)
         if parts:
@@ -130,7 +137,8 @@ class TableStore:
                 spec = "/".join(f"{p}={row[p]}" for p in parts)
                 self._remove_partition(self.path(name), spec)
             (
-                staged.write.mode("overwrite")
+                _for_write(staged, parts)
+                .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts)
                 .parquet(self.path(name))
