@@ -16,21 +16,20 @@ from ..schemas import ACTION_ADD, ACTION_REMOVE, TRAILING_DAYS
 from .calendar import date_grain
 
 
-def as_of_column(df: DataFrame, as_of: str | None) -> tuple[DataFrame, Column]:
-    """Resolve an as-of anchor: a date literal, 'max' (last date of ``df``) or None (today)."""
+def as_of_column(df: DataFrame, as_of: str | None) -> Column:
+    """Resolve an as-of anchor: a date literal, 'max' (last date of ``df``, a
+    scalar subquery evaluated once) or None (today)."""
     if as_of is None:
-        return df, F.current_date()
+        return F.current_date()
     if as_of == "max":
-        last = df.agg(F.max("date").alias("_as_of"))
-        return df.crossJoin(F.broadcast(last)), F.col("_as_of")  # one-row side
-    return df, F.lit(as_of).cast("date")
+        return df.select(F.max("date")).scalar()
+    return F.lit(as_of).cast("date")
 
 
 def trailing_window(df: DataFrame, days: int = TRAILING_DAYS, as_of: str | None = None) -> DataFrame:
     """Rows with as_of - days <= date <= as_of."""
-    joined, anchor = as_of_column(df, as_of)
-    out = joined.where(F.col("date").between(F.date_sub(anchor, days), anchor))
-    return out.drop("_as_of") if "_as_of" in out.columns else out
+    anchor = as_of_column(df, as_of)
+    return df.where(F.col("date").between(F.date_sub(anchor, days), anchor))
 
 
 def day_slice(df: DataFrame, date: str) -> DataFrame:
@@ -66,11 +65,12 @@ def summary_metrics(perf: DataFrame, log: DataFrame, days: int = TRAILING_DAYS,
         F.max_by("index_value", "date").alias("end_value"),
         F.avg("daily_return").alias("avg_return"),
     )
-    return returns.crossJoin(change_days(log)).select(  # 1 x 1
+    changes = change_days(log)
+    return returns.select(
         ((F.col("end_value") / F.col("start_value") - 1.0) * 100.0).alias("cumulative_return"),
         (F.col("avg_return") * 100.0).alias("avg_daily_return"),
-        "change_days",
-        "composition_change_days",
+        changes.select("change_days").scalar().alias("change_days"),
+        changes.select("composition_change_days").scalar().alias("composition_change_days"),
     )
 
 

@@ -21,12 +21,8 @@ def trailing_dates(bars: DataFrame, days: int | None) -> DataFrame:
     dates = bars.select("date").distinct()
     if days is None:
         return dates
-    last = bars.agg(F.max("date").alias("last_date"))
-    return (
-        dates.crossJoin(F.broadcast(last))  # one-row side
-        .where(F.col("date").between(F.date_sub("last_date", days), F.col("last_date")))
-        .select("date")
-    )
+    last = bars.select(F.max("date")).scalar()  # scalar subquery, evaluated once
+    return dates.where(F.col("date").between(F.date_sub(last, days), last))
 
 
 def price_average_index(bars: DataFrame, n: int = DEFAULT_MEMBERS, days: int | None = None) -> DataFrame:
@@ -87,11 +83,11 @@ def simple_metrics(index: DataFrame, changes: DataFrame) -> DataFrame:
         F.max_by("index_value", "date").alias("last_value"),
         F.avg("pct_change").alias("avg_daily_return"),
     )
-    n_changes = changes.agg(F.count(F.lit(1)).alias("num_changes"))
-    return stats.crossJoin(n_changes).select(
+    n_changes = changes.select(F.count(F.lit(1))).scalar()
+    return stats.select(
         ((F.col("last_value") - F.col("first_value")) / F.col("first_value")).alias("cumulative_return"),
         "avg_daily_return",
-        "num_changes",
+        n_changes.alias("num_changes"),
     )
 
 
