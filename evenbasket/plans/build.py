@@ -69,8 +69,11 @@ def extend_index_tables(
     perf = ix.performance().where(later)
     if perf.isEmpty():
         return None
-    store.append("constituents", ix.constituents().where(later))
-    store.append("rebalancing_log", ix.rebalancing_log().where(later))
+    # The (date, ticker) tables replace exactly the new date partitions, so a run
+    # that died after writing them is simply repeated. Performance is appended
+    # last: its last date is the resume point.
+    store.put_partitions("constituents", ix.constituents().where(later))
+    store.put_partitions("rebalancing_log", ix.rebalancing_log().where(later))
     store.append("performance", perf)
     return ix
 

@@ -85,6 +85,21 @@ class TableStore:
         (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
         self.refresh(name)
 
+    def put_partitions(self, name: str, df: DataFrame) -> None:
+        """Replace exactly the partitions present in ``df`` (dynamic overwrite);
+        re-running with the same rows gives the same table."""
+        schema, parts = TABLES[name]
+        if not parts:
+            raise ValueError(f"{name} is not partitioned")
+        (
+            _for_write(df.select(*schema.fieldNames()), parts)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts)
+            .parquet(self.path(name))
+        )
+        self.refresh(name)
+
     def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> str:
         """Keyed upsert into a stored table; returns the staging path used.
 
