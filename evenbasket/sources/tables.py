@@ -119,7 +119,15 @@ class TableStore:
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
         w = _for_write(merged.select(*cols), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(stage)
-        staged = self.spark.read.schema(schema).parquet(stage).select(*cols)
+        self.swap_in(name, stage)
+        return stage
+
+    def swap_in(self, name: str, stage: str) -> None:
+        """Move a staged merge into the table: the touched partitions of a
+        partitioned table (dynamic overwrite), or the whole table otherwise.
+        Idempotent, so it also completes an upsert whose swap failed."""
+        schema, parts = TABLES[name]
+        staged = self.spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
         if parts:
             (
                 _for_write(staged, parts)
@@ -131,7 +139,6 @@ class TableStore:
         else:
             staged.write.mode("overwrite").parquet(self.path(name))
         self.refresh(name)
-        return stage
 
     def delete(self, name: str, doomed: DataFrame, keys: Sequence[str]) -> None:
         """DELETE rows whose key is in ``doomed``; rewrites only the touched partitions."""
