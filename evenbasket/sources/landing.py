@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.calendar import date_grain
 from ..operators.reshape import normalize_bars
-from ..schemas import JSON_DAY_RECORD, UNIVERSE
+from ..schemas import JSON_DAY_RECORD
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
