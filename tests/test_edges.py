@@ -99,3 +99,31 @@ def test_wall_clock_window_is_empty_on_old_data(spark, f3_bars):
     ix = equal_weight_index(f3_bars, n=2)
     assert M.trailing_window(ix.performance(), 30, None).count() == 0  # as of today (2025 data is old)
     assert M.trailing_window(ix.performance(), 4, "2025-01-07").count() == 3  # 01-03 .. 01-07 inclusive
+
+
+def test_hot_date_holding_most_rows(spark):
+    """One date carries ~97% of all bars; results still match the loop, and the
+    top-N keeps its partial limit before the shuffle."""
+    from test_invariants import simulate
+
+    from pyspark.sql import functions as F
+
+    hot = spark.range(3000).select(
+        F.lit(D(2025, 1, 3)).alias("date"),
+        F.format_string("T%04d", "id").alias("ticker"),
+        (F.col("id") % 97 + 1).cast("double").alias("close"),
+        (F.col("id") % 13 + 1).alias("volume"),
+    )
+    thin = spark.createDataFrame(
+        [(d, f"T{t:04d}", float(p), 5) for d in (D(2025, 1, 2), D(2025, 1, 6)) for t, p in ((1, 3), (2, 4), (3, 5), (50, 6))],
+        "date date, ticker string, close double, volume long",
+    )
+    rows = [tuple(r) for r in hot.unionByName(thin).collect()]
+    bars = make_bars(spark, rows).repartition(16)
+    ix = equal_weight_index(bars, n=3)
+    sim = simulate(bars.toPandas(), 3)
+    got = {r.date: r for r in ix.performance().collect()}
+    for d, (iv, tot, ret) in sim.items():
+        assert got[d].total_notional == pytest.approx(tot, rel=1e-12)
+    plan = ix.members._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
