@@ -345,6 +345,9 @@ GROUP BY date"""
     )
     q["performance"] = ix1 + f"SELECT {PERF_COLS} FROM perf"
     q["performance_daily"] = ix2 + f"SELECT {PERF_COLS} FROM perf"
+    q["performance_sparse"] = (
+        with_(f1_bars("bars", "l_partkey", "P"), *index_ctes(R.SPARSE_MEMBERS)) + f"SELECT {PERF_COLS} FROM perf"
+    )
     q["rebalancing_log"] = ix1 + f"SELECT {LOG_COLS} FROM log"
     q["rebalancing_log_daily"] = ix2 + f"SELECT {LOG_COLS} FROM log"
     q["additions"] = ix1 + f"SELECT {LOG_COLS} FROM log WHERE action_type = 'ADD'"

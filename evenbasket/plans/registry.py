@@ -274,6 +274,16 @@ def q_performance(spark, sf):
     return perf_out(f1_index(spark, sf).performance())
 
 
+SPARSE_MEMBERS = 100
+
+
+def q_performance_sparse(spark, sf):
+    """Stress case: part-month bars, 100 members; most held names have no price
+    the next month, so the index decays toward zero (compare daily_return)."""
+    ix = equal_weight_index(_part_bars(spark, sf), n=SPARSE_MEMBERS, materialize=True)
+    return perf_out(ix.performance())
+
+
 def q_performance_daily(spark, sf):
     return perf_out(f2_index(spark, sf).performance())
 
