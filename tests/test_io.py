@@ -182,3 +182,14 @@ def test_extend_equals_full_rebuild(spark, tmp_path, split):
                 else:
                     assert x == v, (name, k, c)
     store.drop()
+
+
+def test_wide_csv_landing_round_trip(spark, tmp_path):
+    from evenbasket.operators.reshape import bars_to_wide
+
+    bars = monthly_bars(spark, SF_SMALL)
+    path = str(tmp_path / "wide_csv")
+    bars_to_wide(bars).write.option("header", True).csv(path)
+    back = read_wide_bars(spark, path).where(F.col("close").isNotNull())
+    cols = ["date", "ticker", "open", "high", "low", "close", "volume"]
+    assert rows(back.select(cols)) == rows(bars.select(cols))
