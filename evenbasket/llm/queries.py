@@ -4,18 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from evenbasket.llm import oracle
+from evenbasket.llm import oracle, toxicity
 from evenbasket.llm.decontamination import find_contamination
+from evenbasket.llm.language_model import score_documents
 from evenbasket.llm.near_dedup import near_duplicates
+from evenbasket.llm.packing import pack_documents
+from evenbasket.llm.quality import score_quality, train
 from evenbasket.llm.tables import table
 
 
+def remainder(modulus: int) -> Column:
+    """crc32(doc_id as text) mod ``modulus``; a null id counts as the empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = train(documents, table(spark, sf_dir, "labels"), "quality", remainder(5) != 0)
+    scored = score_quality(documents, weights, ["doc_id"], threshold=0.3)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(documents, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    scored = toxicity.score_toxicity(documents, model, ["doc_id"], threshold=0.7)
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), remainder(5) == 1)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
