@@ -40,7 +40,36 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM doc_words LEFT JOIN hits USING (r) LEFT JOIN items USING (r)
 """
 
+#: Reserved strings get a backslash behind their first character, and so do those that have backslashes there.
+_ESCAPED_SQL = r"""regexp_replace({0}, '([<\[])(\\*)(s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>)', '\1\\\2\3', 'g')"""
+
+CHAT = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(role) + length({_ESCAPED_SQL.format("text")}) + length('<s>') + 1 + length('</s>') + 1) AS BIGINT) AS formatted_chars
+FROM given GROUP BY conv_id
+"""
+
+URL_RULES = f"""
+WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+cut AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT r, page_id, {_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+), best AS (
+  SELECT r, arg_max(rules.host || rules.path, length(rules.host || rules.path)) AS rule, arg_max(verdict, length(rules.host || rules.path)) AS verdict
+  FROM parts JOIN rules ON (parts.host = rules.host OR ends_with(parts.host, '.' || rules.host)) AND starts_with(parts.path, rules.path) GROUP BY r
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (r)
+"""
+
 SQL = {
+    "op2_chat_round_trip": CHAT,
+    "op7_url_rules": URL_RULES,
     "op8_minhash_near_dedup": NEAR_DEDUP,
     "op10_benchmark_decontamination": DECONTAMINATION,
 }

@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenbasket.llm import oracle, toxicity
+from evenbasket.llm.chat import format_conversations, loss_text
 from evenbasket.llm.decontamination import find_contamination
 from evenbasket.llm.language_model import score_documents
 from evenbasket.llm.near_dedup import near_duplicates
 from evenbasket.llm.packing import pack_documents
+from evenbasket.llm.pii import KINDS, find_spans, span_list
 from evenbasket.llm.quality import score_quality, train
+from evenbasket.llm.quality_rules import judge_quality
 from evenbasket.llm.tables import table
+from evenbasket.llm.url_rules import apply_rules
 
 
 def remainder(modulus: int) -> Column:
@@ -21,6 +25,33 @@ def remainder(modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(modulus))
 
 
+def op1_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    digest = F.sha2(span_list(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, span_list(F.concat("base", "terms")).alias("spans"))
+
+
+def op2_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.sql("SELECT -7L AS conv_id, CAST(turn AS BIGINT) AS turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)")
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    formatted = format_conversations(given).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans")))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return formatted.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op3_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_documents(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -40,6 +71,13 @@ def op6_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(
+        "SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow') AS t(host, path, verdict)"
+    )
+    return apply_rules(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
