@@ -5,11 +5,12 @@
    samples folded into a parity bitmap).
 2. Documents with equal sets form a class; from here on a class is one row, so
    thousands of copies cost nothing.
-3. Every band bucket gives star links from its members to its leader. The
+3. Every band bucket gives candidate pairs of its members with its leader. The
    population count of two sketches' XOR estimates their similarity; candidates
    that clearly miss the threshold go, the rest are confirmed on the full sets.
 4. Confirmed links form components. Members of a bucket that are still in
-   different components are then compared pair by pair, so no candidate is
+   different components are paired wherever the rarest shingles of their sets
+   leave a link possible, and go through the same two tests. So no link is
    skipped, while a group of near copies never meets as all its pairs.
 
 With 32 bands of 6 samples, a pair at similarity 0.85 shares no bucket with a
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evenbasket.llm.tables import Scratch, add_columns
@@ -138,6 +139,48 @@ def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scrat
     return scratch.keep(near.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long"))
 
 
+def _shingles(batches):
+    for batch in batches:
+        for cid, own in zip(batch.column("cid"), batch.column("set"), strict=True):
+            own = np.frombuffer(own.as_buffer(), np.int64)
+            n = len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, cid.as_py())), pa.array(own), pa.array(np.full(n, n))], names=["cid", "shingle", "n"])
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """(cid, key, n, rank): the rarest shingles of each set, as many as two sets at the threshold must have one in common of.
+
+    With all sets in one order of shingles, sets of similarity t share one of
+    the first (1 - t) * size + 1; rarest first, edited copies of a text show
+    their own edits there and meet almost nobody. No link is lost by it.
+    """
+    shingles = sets.mapInArrow(_shingles, "cid long, shingle long, n long")
+    rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "shingle"))
+    first = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
+    ranked = shingles.join(rarity, "shingle").withColumn("rank", rank).where(F.col("rank") <= first)
+    return ranked.where("df > 1").select("cid", F.col("shingle").alias("key"), "n", "rank")
+
+
+def _cross_pairs(members: DataFrame) -> DataFrame:
+    """Distinct pairs (a > b) of different labels that share a key; members (cid, key, n, rank, label).
+
+    Only what is outside a key's largest label is paired with the rest, so a
+    group that is one component already costs nothing. A pair also needs room
+    for the overlap of a link behind the ranks of the shared key: the first
+    shared one has all of the overlap from there on, and later ones have less.
+    """
+    sizes = members.groupBy("key", "label").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    open_ = members.join(main.select("key", "main"), "key")
+    left = open_.where("label <> main").select("key", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rank").alias("ra"))
+    right = open_.select("key", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "main")
+    room = 1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
+    alike = (100 + THRESHOLD) * room >= THRESHOLD * (F.col("na") + F.col("nb"))
+    pairs = left.join(right, "key").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))) & alike)
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(cid, label): the smallest cid reachable over ``links`` (a, b), for all their ends.
 
@@ -185,30 +228,31 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes = scratch.keep(grouped.select("fp1", "fp2", "n_shingles", "least_id", "one.*").withColumn("cid", F.monotonically_increasing_id()))
 
     member = classes.select("cid", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.min("cid").alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
-    buckets = scratch.keep(member.join(shared, "band"))
+    shared = member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    member = scratch.keep(member.join(shared, "band"))
+    # The leader is the member that shares buckets with most others: the text that near copies were made of.
+    degree = member.groupBy("cid").agg(F.sum("n").alias("degree"))
+    ranked = member.join(degree, "cid").groupBy("band").agg(F.max(F.struct("degree", "cid"))["cid"].alias("leader"))
+    buckets = scratch.keep(member.join(ranked, "band").select("band", "cid", "leader"))
+    scratch.drop(member)
 
     wanted = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("cid", "text")
     # Rows that repeat both doc_id and text bring a class more than once.
     sets = scratch.keep(add_columns(texts, "text", ["cid"], "set binary", _set_writer).dropDuplicates(["cid"]))
 
-    stars = buckets.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b")).distinct()
-    stars = scratch.keep(stars)
+    stars = buckets.where("cid <> leader").select(F.greatest("cid", "leader").alias("a"), F.least("cid", "leader").alias("b"))
+    stars = scratch.keep(stars.distinct())
     links = _links(stars, classes, sets, scratch)
     labels = components(links, scratch)
 
     # What the stars leave: members of one bucket in different components.
     labelled = buckets.join(labels, "cid", "left").select("band", "cid", F.coalesce("label", "cid").alias("label"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    sizes = labelled.join(mixed.select("band"), "band").groupBy("band", "label").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    open_ = scratch.keep(labelled.join(main, "band"))
-    left = open_.where("label <> main").select("band", F.col("cid").alias("a"), F.col("label").alias("la"))
-    right = open_.select("band", F.col("cid").alias("b"), F.col("label").alias("lb"), "main")
-    rest = left.join(right, "band").where("la <> lb and (lb = main or a < b)").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    more = _links(rest.join(stars, ["a", "b"], "left_anti"), classes, sets, scratch)
-    scratch.drop(sets, open_, stars, buckets)
+    left = scratch.keep(labelled.join(mixed, "band", "left_semi").select("cid", "label").distinct())
+    prefixes = scratch.keep(_prefixes(sets.join(left, "cid", "left_semi")).join(left, "cid"))
+    more = _links(_cross_pairs(prefixes).join(stars, ["a", "b"], "left_anti"), classes, sets, scratch)
+    scratch.drop(sets, left, prefixes, stars, buckets)
     labels = components(links.union(more), scratch)
 
     of_class = classes.join(labels, "cid", "left").select("fp1", "fp2", "n_shingles", "least_id", F.coalesce("label", "cid").alias("label"))
