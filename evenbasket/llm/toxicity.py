@@ -78,22 +78,27 @@ def report_transducer(symbols: list) -> Transducer:
 
 
 def event_transducer(symbols: list) -> Transducer:
-    """Pairs insults and threats with a target at most ``REACH`` words before them; outputs (class, factor) events or None."""
+    """Pairs insults with a target at most ``REACH`` words before them, threats with one as near behind; outputs (class, factor) events or None.
+
+    A state holds how far a target behind, and a threat waiting for its target, still reach.
+    """
     factor = {"negated": NEGATED, "reported": REPORTED}
     arcs = {}
-    for state, symbol in product(range(REACH + 1), symbols):
-        near = max(state - 1, 0)
+    for target, threat, symbol in product(range(REACH + 1), range(REACH + 1), symbols):
+        rest, event = (max(target - 1, 0), max(threat - 1, 0)), None
         if symbol == TARGET:
-            arcs[state, symbol] = (REACH, None)
+            rest = (REACH, 0)
+            event = (THREAT, DIRECTED - THREAT_ALONE) if threat else None
         elif isinstance(symbol, tuple):
-            arcs[state, symbol] = (near, (symbol[0], factor[symbol[1]]))
+            event = (symbol[0], factor[symbol[1]] * (THREAT_ALONE if symbol[0] == THREAT else 1))
         elif symbol == INSULT:
-            arcs[state, symbol] = (near, (INSULT, DIRECTED if state else PLAIN))
+            event = (INSULT, DIRECTED if target else PLAIN)
         elif symbol == THREAT:
-            arcs[state, symbol] = (near, (THREAT, DIRECTED if state else THREAT_ALONE))
-        else:
-            arcs[state, symbol] = (near, None)
-    return Transducer(arcs)
+            rest, event = (rest[0], REACH), (THREAT, THREAT_ALONE)
+        arcs[(target, threat), symbol] = (rest, event)
+    # The composition starts every machine in state 0.
+    number = {(0, 0): 0} | {(i, j): 1 + i * (REACH + 1) + j for i in range(REACH + 1) for j in range(REACH + 1) if (i, j) != (0, 0)}
+    return Transducer({(number[state], symbol): (number[to], event) for (state, symbol), (to, event) in arcs.items()})
 
 
 def compose(first: Transducer, second: Transducer) -> Transducer:
