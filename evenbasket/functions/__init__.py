@@ -2,7 +2,6 @@ from .columns import (
     action_display_class,
     currency_text,
     is_priced,
-    money_sum,
     percent_text,
     round_sig,
     round_to_long,
@@ -14,7 +13,6 @@ __all__ = [
     "action_display_class",
     "currency_text",
     "is_priced",
-    "money_sum",
     "percent_text",
     "round_sig",
     "round_to_long",

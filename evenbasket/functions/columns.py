@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import ACTION_ADD, ACTION_REMOVE
 
-MONEY = "decimal(18,2)"
-
 
 def col_(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -30,11 +28,6 @@ def cents_sum(c: str | Column) -> Column:
     return F.sum(cents(c))
 
 
-def money_sum(c: str | Column) -> Column:
-    """Exact, order-independent sum of 2-decimal money, returned as DOUBLE."""
-    return cents_sum(c).cast("double") / 100.0
-
-
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """num / den, NULL when den is 0 or NULL (ANSI mode would raise)."""
     return F.try_divide(col_(num), col_(den))
@@ -46,8 +39,8 @@ def round_to_long(c: str | Column) -> Column:
 
 
 def is_priced(c: str | Column = "close") -> Column:
-    """A bar can be ranked and bought only with a positive, known price."""
-    return col_(c).isNotNull() & (col_(c) > 0)
+    """A bar can be ranked and bought only with a positive, known price (NaN is none)."""
+    return col_(c).isNotNull() & ~F.isnan(col_(c).cast("double")) & (col_(c) > 0)
 
 
 def currency_text(c: str | Column) -> Column:

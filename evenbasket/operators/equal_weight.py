@@ -209,6 +209,10 @@ class EqualWeightIndex:
     * ``True``: the projected bars as well, for bars derived by an expensive
       aggregation (the fixture adapters over raw fact tables).
     * ``False``: everything stays lazy.
+
+    ``held`` (date, ticker, price) seeds the chain with positions of one date
+    before ``bars``: that date starts the calendar and its members are the held
+    names at their prices, whatever ``bars`` would select for it.
     """
 
     bars: DataFrame
@@ -217,6 +221,7 @@ class EqualWeightIndex:
     notional: float = INITIAL_NOTIONAL
     materialize: bool | str = False
     chain0: float = 1.0
+    held: DataFrame | None = None
 
     def __post_init__(self) -> None:
         if self.materialize not in (False, True, "derived"):
@@ -225,8 +230,14 @@ class EqualWeightIndex:
         small = reliable_checkpoint if self.materialize else keep
         big = (lambda df: reliable_checkpoint(df, "bars", large=True)) if self.materialize is True else keep
         self.bars = big(self.bars.select("date", "ticker", "close", "market_cap"))
-        self.calendar = trading_calendar(self.bars)
-        self.members = small(select_members(self.bars, self.n))
+        dates = self.bars.select("date")
+        members = select_members(self.bars, self.n).select("date", "ticker", "price", "n_members")
+        if self.held is not None:
+            count = F.count(F.lit(1)).over(Window.partitionBy("date"))
+            seed = self.held.select("date", "ticker", "price").withColumn("n_members", count)
+            dates, members = dates.union(seed.select("date")), members.unionByName(seed)
+        self.calendar = small(trading_calendar(dates))
+        self.members = small(members)
         self.reval = small(revaluation(self.members, self.calendar, self.bars))
         self.growth = growth_by_date(self.reval)
         self.perf = small(chain_performance(self.calendar, self.growth, self.base, self.notional, self.chain0))
@@ -269,6 +280,7 @@ def equal_weight_index(
     start: str | None = None,
     end: str | None = None,
     chain0: float = 1.0,
+    held: DataFrame | None = None,
 ) -> EqualWeightIndex:
     """The index over the trading dates of ``bars`` within [start, end] (both
     inclusive, either open); the first trading date in range is the base date.
@@ -277,4 +289,4 @@ def equal_weight_index(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    return EqualWeightIndex(bars, n, base, notional, materialize, chain0)
+    return EqualWeightIndex(bars, n, base, notional, materialize, chain0, held)

@@ -1,15 +1,17 @@
 """Vendor bar normalisation: wide (one column per field x ticker) -> long -> tidy.
 
 A wide vendor frame has the date first, then columns named ``Field|Ticker``
-(e.g. ``Close|S000001``). ``unpivot`` is a per-row Expand (no shuffle); the
-pivot back to one column per field uses a fixed field list, so no job runs to
-discover the values, and it shuffles once on (date, ticker).
+(e.g. ``Close|S000001``). Cells are exploded from one array (no shuffle); the
+way back to one column per field is one conditional aggregate for each of a
+fixed list of fields, so no job runs to discover them, and it shuffles once on
+(date, ticker) after combining on the map side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import round_to_long
 from ..schemas import VENDOR_FIELDS, VENDOR_OPTIONAL_FIELDS
@@ -24,24 +26,33 @@ def wide_column(field: str, ticker: str) -> str:
 def wide_to_long(wide: DataFrame) -> DataFrame:
     """(Date, Price, Ticker, Value): one row per cell, missing cells kept as NULL.
 
-    The date column is found by position (first column), as in the vendor frame.
-    Non-numeric cells become NULL.
+    The date column is found by position (first column), as in the vendor frame;
+    every other column must be named ``Field|Ticker``. Non-numeric cells, and
+    NaN, become NULL. The cells are one array that is exploded beside one
+    literal array of names, so the plan stays small however many tickers there
+    are.
     """
-    date_col = wide.columns[0]
-    value_cols = [c for c in wide.columns[1:] if SEP in c]
-    if not value_cols:
-        raise ValueError("wide frame has no 'Field|Ticker' columns")
-    typed = wide.select(
-        F.col(f"`{date_col}`").alias("Date"),
-        *[F.col(f"`{c}`").cast("string").try_cast("double").alias(c) for c in value_cols],
-    )
-    melted = typed.unpivot(["Date"], value_cols, "_key", "Value")
-    parts = F.split("_key", F.lit("\\" + SEP), 2)
-    return melted.select(
+    date_col, names = wide.columns[0], wide.columns[1:]
+    odd = [c for c in names if SEP not in c]
+    if not names or odd:
+        raise ValueError(f"wide frame has columns that aren't 'Field|Ticker': {odd[:5]}")
+    types = {wide.schema[c].dataType.typeName() for c in names}
+    cells = [F.col("`" + c.replace("`", "``") + "`") for c in names]
+    if types <= {"string"}:
+        values = F.transform(F.array(*cells), lambda v: v.try_cast("double"))
+    elif "string" in types:
+        values = F.transform(F.array(*[c.cast("string") for c in cells]), lambda v: v.try_cast("double"))
+    else:
+        values = F.array(*cells).cast("array<double>")
+    split = [c.split(SEP, 1) for c in names]
+    date = F.col("`" + date_col.replace("`", "``") + "`").alias("Date")
+    rows = wide.select(date, F.posexplode(values).alias("_at", "Value"))
+    price, ticker = (F.lit([x[k] for x in split]) for k in (0, 1))
+    return rows.select(
         "Date",
-        parts.getItem(0).alias("Price"),
-        parts.getItem(1).alias("Ticker"),
-        "Value",
+        F.get(price, F.col("_at")).alias("Price"),
+        F.get(ticker, F.col("_at")).alias("Ticker"),
+        F.nanvl("Value", F.lit(None).cast("double")).alias("Value"),
     )
 
 
@@ -49,25 +60,26 @@ def long_to_tidy(long: DataFrame) -> DataFrame:
     """Pivot long bars to the stock_data schema; `Adj Close` is dropped.
 
     market_cap = close * volume (dollar volume); volume is rounded half-even.
+    Two cells of one (Date, Ticker, Price) are refused: a bar mixed of both
+    would be one that never existed.
     """
     kept = long.where(~F.col("Price").isin(*VENDOR_OPTIONAL_FIELDS))
-    tidy = (
-        kept.groupBy("Date", "Ticker")
-        .pivot("Price", VENDOR_FIELDS)
-        .agg(F.max("Value"))
+    cells = kept.groupBy("Date", "Ticker").agg(
+        *[F.max(F.when(F.col("Price") == f, F.col("Value"))).alias(f.lower()) for f in VENDOR_FIELDS],
+        *[F.count_if(F.col("Price") == f).alias(f"_{f}") for f in VENDOR_FIELDS],
     )
-    renamed = tidy.withColumnsRenamed({"Date": "date", "Ticker": "ticker", **{f: f.lower() for f in VENDOR_FIELDS}})
-    volume = round_to_long("volume")
-    return renamed.select(
-        F.to_date("date").alias("date"),
-        "ticker",
+    twice = F.greatest(*[F.col(f"_{f}") for f in VENDOR_FIELDS]) > 1
+    tidy = cells.select(
+        F.when(twice, F.raise_error(F.lit("duplicate cells of one (Date, Ticker, Price)")).cast("date")).otherwise(F.to_date("Date")).alias("date"),
+        F.col("Ticker").alias("ticker"),
         "open",
         "high",
         "low",
         "close",
-        volume.alias("volume"),
+        round_to_long("volume").alias("volume"),
         (F.col("close") * F.col("volume")).try_cast("double").alias("market_cap"),
     )
+    return tidy
 
 
 def normalize_bars(wide: DataFrame) -> DataFrame:
@@ -78,8 +90,8 @@ def normalize_bars(wide: DataFrame) -> DataFrame:
 def bars_to_wide(bars: DataFrame, tickers: list[str] | None = None) -> DataFrame:
     """Lay tidy bars out in the vendor's wide form (for landing test files).
 
-    The ticker list becomes column names, so it is bounded by
-    ``spark.sql.pivotMaxValues`` when discovered; pass it to skip that job.
+    The tickers become column names, so the driver has their list in any case;
+    pass it to skip the job that finds it.
     """
     fields = {f: f.lower() for f in VENDOR_FIELDS}
     long = bars.select(
@@ -90,8 +102,10 @@ def bars_to_wide(bars: DataFrame, tickers: list[str] | None = None) -> DataFrame
         ).alias("cell"),
     ).select("date", F.concat("cell.field", F.lit(SEP), "ticker").alias("key"), F.col("cell.v").alias("v"))
     if tickers is None:
-        pivoted = long.groupBy("date").pivot("key").agg(F.max("v"))
-    else:
-        keys = [wide_column(f, t) for t in tickers for f in VENDOR_FIELDS]
-        pivoted = long.groupBy("date").pivot("key", keys).agg(F.max("v"))
-    return pivoted.withColumnRenamed("date", "Date")
+        tickers = [r[0] for r in bars.select("ticker").distinct().orderBy("ticker").collect()]
+    keys = [wide_column(f, t) for t in tickers for f in VENDOR_FIELDS]
+    # One map a date, read by position: a plan of the same size for any number of keys.
+    cells = long.groupBy("date").agg(F.map_from_entries(F.collect_set(F.struct("key", "v"))).alias("cells"))
+    schema = T.StructType([T.StructField(k, T.DoubleType()) for k in keys])
+    parsed = cells.select("date", F.from_json(F.to_json("cells"), schema).alias("row"))
+    return parsed.select(F.col("date").alias("Date"), "row.*")

@@ -1,10 +1,10 @@
 """Keyed upsert (last writer wins, whole-row replace), delete by key, refresh.
 
-The merge is one aggregation on the key: every row carries a version
-(source, batch sequence, then all values) and the greatest version wins.
-`max(struct)` aggregates partially on the map side, so a key repeated many
-times in a batch is combined before the shuffle instead of landing whole in
-one task (a row_number window would not).
+The batch is reduced to one row a key: every row carries a version (batch
+sequence, then all values) and the greatest wins. `max(struct)` aggregates
+partially on the map side, so a key repeated many times in a batch is combined
+before the shuffle instead of landing whole in one task (a row_number window
+would not). Existing rows whose key is in the batch give way (anti join).
 """
 
 from __future__ import annotations
@@ -27,16 +27,17 @@ def upsert(
 
     Every non-key column is overwritten, NULLs included. Inside the batch the
     row with the greatest ``order`` wins; on an exact tie the greatest row by
-    all columns wins, so the result never depends on partitioning.
+    all columns wins, so the result never depends on partitioning. ``existing``
+    has one row a key and is not aggregated: with a small batch, AQE broadcasts
+    its keys and existing rows never move.
     """
     cols = existing.columns
     values = [c for c in cols if c not in keys]
     seq = F.lit(0).cast("bigint") if order is None else (F.col(order) if isinstance(order, str) else order).cast("bigint")
-    old = existing.select(*cols, F.lit(0).alias("_src"), F.lit(0).cast("bigint").alias("_seq"))
-    new = batch.select(*cols, F.lit(1).alias("_src"), seq.alias("_seq"))
-    version = F.struct("_src", "_seq", *[F.col(c).alias(c) for c in values])
-    merged = old.unionByName(new).groupBy(*keys).agg(F.max(version).alias("_w"))
-    return merged.select(*[F.col(k) for k in keys], *[F.col(f"_w.{c}").alias(c) for c in values]).select(*cols)
+    version = F.struct(seq.alias("_seq"), *[F.col(c).alias(c) for c in values])
+    last = batch.select(*keys, version.alias("_v")).groupBy(*keys).agg(F.max("_v").alias("_w"))
+    new = last.select(*[F.col(k) for k in keys], *[F.col(f"_w.{c}").alias(c) for c in values]).select(*cols)
+    return existing.join(new.select(*keys), list(keys), "left_anti").select(*cols).unionByName(new)
 
 
 def delete_by_key(df: DataFrame, doomed: DataFrame, keys: Sequence[str] = STOCK_DATA_KEY) -> DataFrame:

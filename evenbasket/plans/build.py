@@ -41,43 +41,75 @@ def extend_index_tables(
     store: TableStore,
     bars: DataFrame | None = None,
     n: int = DEFAULT_MEMBERS,
-    base: float = BASE_INDEX_VALUE,
-    notional: float = INITIAL_NOTIONAL,
+    base: float | None = None,
+    notional: float | None = None,
 ) -> EqualWeightIndex | None:
     """Continue the stored index over the trading dates after its last date.
 
-    Every day is fully rebalanced, so the future depends only on the last
-    date's level and members: the same set-form plan runs over dates >= the
-    last stored date with the chain seeded at the stored level, and rows for
-    the later dates are appended. The result equals a full rebuild; the work
-    grows with the new dates, not with the history. Bars of already indexed
-    dates must be unchanged (after a correction to date d, rebuild).
-    Returns None when there is nothing new; builds from scratch when the
-    store is empty.
+    The chain goes on from what is stored: the holdings of the last date (names
+    and prices as they were bought), its index value and its total notional.
+    Bars of indexed dates are not read again, so a back-fill of new names or a
+    corrected close there changes nothing that was held; names enter when the
+    next date is selected. To let a correction take effect, use
+    ``recompute_index_tables`` from its date. The work grows with the new
+    dates, not with the history.
+
+    ``base`` and ``notional`` are those of the stored index; given ones must
+    agree with it, and ``n`` must not be below the stored holdings' count.
+    Returns None when there is nothing new; builds from scratch when the store
+    is empty.
     """
-    state = store.read("performance").orderBy(F.col("date").desc()).limit(1).collect()  # one row
+    performance = store.read("performance")
+    state = performance.orderBy(F.col("date").desc()).limit(1).collect()  # one row
     if not state:
-        return build_index_tables(store, bars, n, base, notional)
-    last = state[0]
-    stored = bars is None
-    bars = store.read("stock_data") if stored else bars
-    recent = bars.where(F.col("date") >= F.lit(last.date))
+        return build_index_tables(store, bars, n, BASE_INDEX_VALUE if base is None else base, INITIAL_NOTIONAL if notional is None else notional)
+    last, first = state[0], performance.orderBy("date").limit(1).collect()[0]
+    for name, given, stored in (("base", base, first.index_value), ("notional", notional, first.total_notional)):
+        if given is not None and given != stored:
+            raise ValueError(f"the stored index was built with {name} {stored}, not {given}")
+    held = store.read("constituents").where(F.col("date") == F.lit(last.date))
+    if (count := held.count()) > n:
+        raise ValueError(f"the stored index holds {count} names on {last.date}, more than n = {n}")
+    from_store = bars is None
+    bars = store.read("stock_data") if from_store else bars
+    recent = bars.where(F.col("date") > F.lit(last.date))
+    if recent.isEmpty():
+        return None
+    # Seeded at the stored level itself; a level of 0 stays 0 (and has no return).
+    lost = last.index_value == 0
     ix = equal_weight_index(
-        recent, n, base, notional, materialize="derived" if stored else True, chain0=last.index_value / base
+        recent,
+        n,
+        first.index_value if lost else last.index_value,
+        first.total_notional if lost else last.total_notional,
+        materialize="derived" if from_store else True,
+        chain0=0.0 if lost else 1.0,
+        held=held,
     )
     later = F.col("date") > F.lit(last.date)
-    perf = ix.performance().where(later)
-    if perf.isEmpty():
-        return None
     # The (date, ticker) tables replace exactly the new date partitions, so a run
     # that died after writing them is simply repeated. Performance is appended
     # last: its last date is the resume point.
     store.put_partitions("constituents", ix.constituents().where(later))
     store.put_partitions("rebalancing_log", ix.rebalancing_log().where(later))
-    store.append("performance", perf)
+    store.append("performance", ix.performance().where(later))
     return ix
 
 
+def recompute_index_tables(store: TableStore, day: str, bars: DataFrame | None = None, n: int = DEFAULT_MEMBERS) -> EqualWeightIndex | None:
+    """Compute the index anew from ``day`` on (after corrected bars), on top of what is stored before it.
+
+    Performance is cut back first: if the run dies, repeating it, or extending,
+    replaces the dates after the remaining ones.
+    """
+    first = store.read("performance").orderBy("date").limit(1).collect()
+    base, notional = (first[0].index_value, first[0].total_notional) if first else (BASE_INDEX_VALUE, INITIAL_NOTIONAL)
+    for name in ("performance", "rebalancing_log", "constituents"):
+        gone = store.read(name).where(F.col("date") >= F.lit(day).cast("date")).select("date").distinct()
+        store.delete(name, gone, ["date"])
+    return extend_index_tables(store, bars, n, base, notional)
+
+
 def build_legacy_tables(
     store: TableStore,
     bars: DataFrame | None = None,

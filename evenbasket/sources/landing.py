@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.calendar import date_grain
 from ..operators.reshape import normalize_bars
 from ..schemas import JSON_DAY_RECORD
 
 
+MAX_COLUMNS = 1 << 20
+
+
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     """A landed wide vendor download (date first, then `Field|Ticker` columns),
-    every cell read as text; numeric coercion happens in `wide_to_long`."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    every cell read as text; numeric coercion happens in `wide_to_long`.
+    ``MAX_COLUMNS`` replaces the reader's own limit of 20,480."""
+    return spark.read.option("header", True).option("inferSchema", False).option("maxColumns", MAX_COLUMNS).csv(path)
 
 
 def read_wide_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -32,14 +35,20 @@ def read_universe(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.trim("Symbol").alias("Symbol")).where(F.col("Symbol").isNotNull()).distinct()
 
 
-RESULTS_ENVELOPE = T.StructType([T.StructField("results", T.ArrayType(JSON_DAY_RECORD))])
-
-
 def read_json_days(spark: SparkSession, path: str) -> DataFrame:
-    """Vendor JSON responses ``{"results": [{ticker, date, open, close, market_cap}, ...]}``
-    (one object per line) -> (ticker, date, open, close, market_cap)."""
-    raw = spark.read.schema(RESULTS_ENVELOPE).json(path)
-    rec = raw.select(F.explode("results").alias("r")).select("r.*")
+    """Vendor JSON responses, one object a line -> (ticker, date, open, close, market_cap).
+
+    ``results`` may be an array of day records or a single record. A line that
+    is no JSON object with such results is an error, not a loss; an empty array
+    has no rows.
+    """
+    raw = spark.read.text(path).where(F.trim("value") != "")
+    kind = F.get_json_object("value", "$.results")
+    record = f"array<{JSON_DAY_RECORD.simpleString()}>"
+    many = F.when(F.startswith(F.ltrim(kind), F.lit("[")), F.from_json(kind, record))
+    single = F.when(F.startswith(F.ltrim(kind), F.lit("{")), F.array(F.from_json(kind, JSON_DAY_RECORD)))
+    bad = F.raise_error(F.concat(F.lit("no results in vendor response: "), F.substring("value", 1, 200)))
+    rec = raw.select(F.explode(F.coalesce(many, single, bad.cast(record))).alias("r")).select("r.*")
     return rec.select(
         "ticker",
         F.to_date("date").alias("date"),
@@ -49,6 +58,19 @@ def read_json_days(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_time_series(spark: SparkSession, path: str) -> DataFrame:
+    """Vendor time-series responses, one object a line: ``{"ticker": T, "series": {date: {field: value}}}``
+    -> (ticker, date, open, high, low, close, volume). Field names may carry a number ("1. open"); values may be text."""
+    raw = spark.read.text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", "ticker string, series map<string, map<string, string>>")
+    rows = raw.select(F.when(parsed["series"].isNotNull(), parsed).otherwise(F.raise_error(F.lit("no series in vendor response")).cast("struct<ticker:string,series:map<string,map<string,string>>>")).alias("p"))
+    days = rows.select("p.ticker", F.explode("p.series").alias("date", "fields"))
+    named = F.transform_keys("fields", lambda k, _: F.regexp_replace(F.lower(k), r"^[0-9]+\. *", ""))
+    days = days.select("ticker", F.to_date("date").alias("date"), named.alias("fields"))
+    number = lambda f: F.nanvl(F.try_element_at("fields", F.lit(f)).try_cast("double"), F.lit(None).cast("double"))
+    return days.select("ticker", "date", *[number(f).alias(f) for f in ("open", "high", "low", "close")], F.rint(number("volume")).cast("bigint").alias("volume"))
+
+
 def write_json_days(bars: DataFrame, path: str, page_size: int = 1000) -> None:
     """Lay bars out as vendor JSON envelopes ``{"results": [...]}``, paged like
     a vendor API: each date is split into ceil(rows / page_size) pages by a hash

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +53,7 @@ class TableStore:
                 f"CREATE TABLE IF NOT EXISTS `{self.namespace}`.`{name}` ({ddl_columns(schema)}) "
                 f"USING parquet{part} LOCATION '{self.path(name)}'"
             )
+            self.sync(name)  # partitions that the folder has already
 
     def exists(self, name: str | None = None) -> bool:
         if name is None:
@@ -58,11 +61,15 @@ class TableStore:
         return self.spark.catalog.tableExists(f"{self.namespace}.{name}")
 
     def drop(self, name: str | None = None) -> None:
-        """Drop one table, or the whole namespace (CASCADE). Explicit opt-in only."""
+        """Drop one table, or the whole namespace, with the rows. Explicit opt-in only."""
         if name is None:
             self.spark.sql(f"DROP DATABASE IF EXISTS `{self.namespace}` CASCADE")
         else:
             self.spark.sql(f"DROP TABLE IF EXISTS `{self.namespace}`.`{name}`")
+        # The tables have a LOCATION, so the catalog leaves their folders.
+        for table in TABLES if name is None else [name]:
+            fs, path = self._fs_path(self.path(table))
+            fs.delete(path, True)
 
     # -- reads / writes ------------------------------------------------------
     def read(self, name: str) -> DataFrame:
@@ -76,14 +83,14 @@ class TableStore:
         schema, parts = TABLES[name]
         w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("append")
         (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
-        self.refresh(name)
+        self.refresh(name, df)
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """Replace the whole table (idempotent full recompute)."""
         schema, parts = TABLES[name]
         w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
-        self.refresh(name)
+        self.sync(name)
 
     def put_partitions(self, name: str, df: DataFrame) -> None:
         """Replace exactly the partitions present in ``df`` (dynamic overwrite);
@@ -98,28 +105,44 @@ class TableStore:
             .partitionBy(*parts)
             .parquet(self.path(name))
         )
-        self.refresh(name)
-
-    def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], order: str | None = None) -> str:
-        """Keyed upsert into a stored table; returns the staging path used.
-
-        Only the partitions the batch touches are read (semi join on the
-        partition column, pruned at the scan); the merged partitions are staged
-        in the checkpoint folder, then swapped in with a dynamic partition
-        overwrite. A failed swap can be re-run from the staged copy. Tables
-        without partitions are rewritten whole from the staged copy.
+        self.refresh(name, df)
+
+    def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], order: str | None = None, keep_stage: bool = False) -> str:
+        """Keyed upsert into a stored table; returns the staging path used (deleted after the swap unless ``keep_stage``).
+
+        The batch is staged first, so it is evaluated once; a NULL in a key is
+        refused. Only the partitions the batch touches are read (semi join on
+        the partition column, pruned at the scan); the merged partitions are
+        staged in the checkpoint folder, then swapped in with a dynamic
+        partition overwrite. A failed swap names the staged copy, from which
+        ``swap_in`` completes it. Tables without partitions are rewritten whole
+        from the staged copy.
         """
         schema, parts = TABLES[name]
         cols = schema.fieldNames()
+        given = scratch_path(self.spark, f"batch-{name}-{uuid.uuid4().hex}")
+        batch.select(*cols, *([order] if order else [])).write.parquet(given)
+        batch = self.spark.read.parquet(given)
+        null_key = reduce(or_, [F.col(k).isNull() for k in keys])
+        if not batch.where(null_key).isEmpty():
+            self._remove(given)
+            raise ValueError(f"{name}: the batch has NULL in its key ({', '.join(keys)})")
         current = self.read(name)
         if parts:
             touched = batch.select(*parts).distinct()
             current = current.join(touched, list(parts), "left_semi")
-        merged = upsert(current, batch.select(*cols, *([order] if order else [])), keys, order)
+        merged = upsert(current, batch, keys, order)
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
         w = _for_write(merged.select(*cols), parts).write.mode("overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(stage)
-        self.swap_in(name, stage)
+        self._remove(given)
+        try:
+            self.swap_in(name, stage)
+        except Exception as error:
+            error.add_note(f"the merged rows are staged in {stage}; swap_in({name!r}, that path) completes the upsert")
+            raise
+        if not keep_stage:
+            self._remove(stage)
         return stage
 
     def swap_in(self, name: str, stage: str) -> None:
@@ -138,7 +161,7 @@ class TableStore:
             )
         else:
             staged.write.mode("overwrite").parquet(self.path(name))
-        self.refresh(name)
+        self.refresh(name, staged)
 
     def delete(self, name: str, doomed: DataFrame, keys: Sequence[str]) -> None:
         """DELETE rows whose key is in ``doomed``; rewrites only the touched partitions."""
@@ -156,8 +179,9 @@ class TableStore:
             # partitions emptied by the delete are rewritten as empty
             emptied = touched.join(staged.select(*parts).distinct(), list(parts), "left_anti")
             for row in emptied.collect():  # partition values only: at most the touched dates
-                spec = "/".join(f"{p}={row[p]}" for p in parts)
-                self._remove_partition(self.path(name), spec)
+                self._remove(f"{self.path(name)}/" + "/".join(f"{p}={row[p]}" for p in parts))
+                if self.exists(name):
+                    self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` DROP IF EXISTS {self._spec(row, parts)}")
             (
                 _for_write(staged, parts)
                 .write.mode("overwrite")
@@ -168,6 +192,7 @@ class TableStore:
         else:
             staged.write.mode("overwrite").parquet(self.path(name))
         self.refresh(name)
+        self._remove(stage)
 
     def _fs_path(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -179,17 +204,33 @@ class TableStore:
         fs, p = self._fs_path(path)
         fs.mkdirs(p)
 
-    def _remove_partition(self, table_path: str, spec: str) -> None:
-        fs, p = self._fs_path(f"{table_path}/{spec}")
+    def _remove(self, path: str) -> None:
+        fs, p = self._fs_path(path)
         fs.delete(p, True)
 
-    def refresh(self, name: str) -> None:
+    @staticmethod
+    def _spec(row, parts: Sequence[str]) -> str:
+        return "PARTITION (" + ", ".join(f"`{p}` = '{row[p]}'" for p in parts) + ")"
+
+    def sync(self, name: str) -> None:
+        """Register exactly the partitions that the table's folder has (lists the whole folder)."""
         if self.exists(name):
             full = f"`{self.namespace}`.`{name}`"
             if TABLES[name][1]:
-                self.spark.sql(f"MSCK REPAIR TABLE {full}")
+                self.spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
             self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
 
+    def refresh(self, name: str, written: DataFrame | None = None) -> None:
+        """Register the partitions of the ``written`` rows; nothing else is listed."""
+        if not self.exists(name):
+            return
+        parts = TABLES[name][1]
+        if parts and written is not None:
+            specs = [self._spec(row, parts) for row in written.select(*parts).distinct().collect()]  # dates written
+            for k in range(0, len(specs), 500):
+                self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` ADD IF NOT EXISTS {' '.join(specs[k : k + 500])}")
+        self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
+
 
 def export_csv(df: DataFrame, path: str, order: Sequence[str] | None = None) -> None:
     """Write a report as CSV with a header (the reference's spreadsheet/PDF exports).

@@ -58,7 +58,7 @@ def test_table_upsert_equals_frame_upsert(store, spark):
     store.upsert("stock_data", batch, keys=["date", "ticker"], order="_seq")
     assert rows(store.read("stock_data")) == rows(upsert(bars, batch, order="_seq"))
     # idempotent, and a swap repeated from the staged copy changes nothing
-    stage = store.upsert("stock_data", batch, keys=["date", "ticker"], order="_seq")
+    stage = store.upsert("stock_data", batch, keys=["date", "ticker"], order="_seq", keep_stage=True)
     assert rows(store.read("stock_data")) == rows(upsert(bars, batch, order="_seq"))
     store.swap_in("stock_data", stage)
     assert rows(store.read("stock_data")) == rows(upsert(bars, batch, order="_seq"))
