@@ -79,7 +79,7 @@ def calendar(bars: str = "bars", name: str = "cal") -> str:
   FROM (SELECT DISTINCT date FROM {bars}) d)"""
 
 
-def index_ctes(n: int = N, bars: str = "bars", p: str = "") -> list[str]:
+def index_ctes(n: int = N, bars: str = "bars", p: str = "", notional: int = 1000000) -> list[str]:
     """members, cal, reval, growth, perf, cons, prevpos, log (names prefixed by ``p``)."""
     m, c = f"{p}members", f"{p}cal"
     return members(n, bars, m) + [
@@ -107,7 +107,7 @@ def index_ctes(n: int = N, bars: str = "bars", p: str = "") -> list[str]:
         f"""{p}perf AS (
   SELECT date, prev_date, growth,
          CAST(1000 AS DOUBLE) * chain AS index_value,
-         CAST(1000000 AS DOUBLE) * chain AS total_notional,
+         CAST({notional} AS DOUBLE) * chain AS total_notional,
          CASE WHEN prev_date IS NULL THEN CAST(0 AS DOUBLE)
               WHEN lag(chain) OVER (ORDER BY date) = 0 THEN NULL
               ELSE growth - CAST(1 AS DOUBLE) END AS daily_return
@@ -444,6 +444,14 @@ UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
     q["table_upsert"] = q["upsert_bars"]
     q["performance_extended"] = q["performance"]
+    # The reference values what it holds: a name back-filled later has no bars before it was landed.
+    landed = f"""bars AS (
+  SELECT * FROM bars0 WHERE date >= {d(R.EXTEND_FROM)}
+     OR ticker <> (SELECT ticker FROM bars0 GROUP BY ticker ORDER BY sum(market_cap) DESC, ticker LIMIT 1))"""
+    workflow = with_(f1_bars("bars0"), landed, *index_ctes(notional=int(R.WORKFLOW_NOTIONAL)))
+    q["daily_workflow_extended"] = workflow + f"SELECT {PERF_COLS} FROM perf"
+    q["daily_workflow_log"] = workflow + f"SELECT {LOG_COLS} FROM log"
+    q["daily_workflow_constituents"] = workflow + f"SELECT {CONS_COLS} FROM cons"
     q["stream_upsert"] = q["upsert_bars"]
     q["ddl_lifecycle"] = (
         with_(f1_bars(), *index_ctes(), *v1_changes("trading"))

@@ -479,6 +479,41 @@ def q_performance_extended(spark, sf):
     return perf_out(store.read("performance"))
 
 
+WORKFLOW_NOTIONAL = 5_000_000.0
+
+
+def _daily_workflow(spark, sf):
+    """Index built without the ticker of the greatest dollar volume; then a refresh
+    back-fills it on the indexed dates and lands later bars; then the index goes on.
+
+    What was held stays held: the new name enters on the first later date. The
+    notional is not the default and is taken from what is stored.
+    """
+    store = _store(spark)
+    bars = f1(spark, sf)
+    cut = F.lit(EXTEND_FROM).cast("date")
+    top = bars.groupBy("ticker").agg(F.sum("market_cap").alias("cap")).orderBy(F.desc("cap"), "ticker").limit(1).collect()[0].ticker
+    early = bars.where(F.col("date") < cut)
+    store.overwrite("stock_data", early.where(F.col("ticker") != top))
+    build_index_tables(store, n=N_MEMBERS, notional=WORKFLOW_NOTIONAL)
+    batch = early.where(F.col("ticker") == top).unionByName(bars.where(F.col("date") >= cut))
+    store.upsert("stock_data", batch, keys=["date", "ticker"])
+    extend_index_tables(store, n=N_MEMBERS)
+    return store
+
+
+def q_daily_workflow_extended(spark, sf):
+    return perf_out(_daily_workflow(spark, sf).read("performance"))
+
+
+def q_daily_workflow_log(spark, sf):
+    return log_out(_daily_workflow(spark, sf).read("rebalancing_log"))
+
+
+def q_daily_workflow_constituents(spark, sf):
+    return cons_out(_daily_workflow(spark, sf).read("constituents"))
+
+
 def q_table_upsert(spark, sf):
     store = _store(spark)
     bars = f2(spark, sf)
