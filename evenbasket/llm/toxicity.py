@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from collections.abc import Iterator
 from itertools import product
 from typing import NamedTuple
 
@@ -188,11 +190,27 @@ class Model(NamedTuple):
     bias: float
 
 
+def _count_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate arcs of (label, distinct words) rows: the toxic and all documents of a task that have them."""
+    toxic, every = Counter(), Counter()
+    for batch in batches:
+        for y, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            arcs = {w + "$" for w in words or ()}
+            arcs |= {w[:n] for w in words or () for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+            every.update(arcs)
+            if y:
+                toxic.update(arcs)
+    names = list(every)
+    for k in range(0, len(names), 10_000):
+        part = names[k : k + 10_000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([toxic[a] for a in part], pa.int64()), pa.array([every[a] for a in part], pa.int64())], names=["arc", "t", "n"])
+
+
 def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The insult acceptor, learned where ``learns`` (a boolean column of ``documents``) holds.
 
-    Copies and near copies would pass as evidence of their own, so documents are
-    grouped by the least word hash, and a candidate counts once a group. An arc needs a toxic share that, by
+    Copies and near copies would pass as evidence of their own, so of the
+    documents that share their least word hash one counts. An arc needs a toxic share that, by
     Chernoff's bound over all candidates, chance gives with probability
     ``FALSE_ARCS`` at most; its weight is the smoothed log-odds against the
     base rate. Rows without label (or with a null one) teach nothing; an id
@@ -210,13 +228,10 @@ def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id
 
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("__t", F.lit(""))), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0)))
     rows = source.join(F.broadcast(drawn.select("__id", "y")), "__id").select("y", words.alias("words"))
-    long_ = F.filter("words", lambda w: F.length(w) >= SHORTEST)
-    begin = F.flatten(F.transform(long_, lambda w: F.transform(F.sequence(F.lit(SHORTEST), F.least(F.length(w), F.lit(LONGEST))), lambda k: F.substring(w, F.lit(1), k))))
-    whole = F.transform("words", lambda w: F.concat(w, F.lit("$")))
     group = F.array_min(F.transform("words", lambda w: F.xxhash64(w)))
-    each = rows.select("y", group.alias("group"), F.explode(F.array_distinct(F.concat(whole, begin))).alias("arc"))
-    once = each.groupBy("arc", "group").agg(F.max("y").alias("y"))
-    arcs = scratch.keep(once.groupBy("arc").agg(F.sum("y").alias("t"), F.count("*").alias("n")).where("n >= 3"))
+    once = rows.withColumn("group", group).dropDuplicates(["group"]).select("y", "words")
+    counted = once.mapInArrow(_count_arcs, "arc string, t long, n long")
+    arcs = scratch.keep(counted.groupBy("arc").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).where("n >= 3"))
     base = arcs.agg(F.sum("t") / F.sum("n")).first()[0]
     if not base or base >= 1:
         return Model({}, -2.0)
