@@ -32,7 +32,7 @@ def f1_bars(name: str = "bars", key: str = "l_suppkey", prefix: str = "S") -> st
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
          printf('{prefix}%06d', {key}) AS ticker,
          arg_min(l_extendedprice / l_quantity,
-                 (l_shipdate, l_orderkey, l_linenumber, l_extendedprice / l_quantity)) AS open,
+                 (CAST(l_shipdate AS DATE), l_extendedprice / l_quantity)) AS open,
          max(l_extendedprice / l_quantity) AS high,
          min(l_extendedprice / l_quantity) AS low,
          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE)

@@ -1,7 +1,7 @@
 """Bar tables derived from the shared test tables.
 
-Both adapters are one partial/final hash aggregation over a fact table,
-grouped by the integer key: the map side combines rows per (date, key) before
+Both adapters are partial/final hash aggregations over a fact table, grouped
+by the integer key (the monthly one over days first): the map side combines rows per (date, key) before
 the shuffle, so a hot ticker or date costs one combined row per map task, not
 its raw rows. Money is summed as whole cents (BIGINT), which is exact and keeps
 the aggregation on the fixed-width hash path; ticker symbols are formatted
@@ -24,30 +24,37 @@ def supplier_month_bars(lineitem: DataFrame, key: str = "l_suppkey", prefix: str
     """Fixture F1: one bar per (month of ship date, supplier).
 
     close = VWAP (exact sums), high/low = extreme unit price,
-    open = unit price of the month's first shipment (ship date, then order
-    key, line number and price break ties), volume = units,
+    open = lowest unit price on the month's first ship date, volume = units,
     market_cap = dollar volume. ``key='l_partkey'`` gives the sparse variant.
+    Days are combined first: every buffer then has a fixed width (a first
+    shipment by a struct of keys would sort all rows), and a hot key of a month
+    is spread over its days.
     """
     unit = F.col("l_extendedprice") / F.col("l_quantity")
-    first_shipment = F.struct("l_shipdate", "l_orderkey", "l_linenumber", unit.alias("p"))
-    bars = (
+    days = (
         lineitem.select(
             F.trunc(F.to_date("l_shipdate"), "MM").alias("date"),
             F.col(key).alias("_key"),
+            F.to_date("l_shipdate").alias("day"),
             "l_extendedprice",
             "l_quantity",
             unit.alias("unit_price"),
-            first_shipment.alias("seq"),
         )
-        .groupBy("date", "_key")
+        .groupBy("date", "_key", "day")
         .agg(
-            F.min_by("unit_price", "seq").alias("open"),
-            F.max("unit_price").alias("high"),
             F.min("unit_price").alias("low"),
+            F.max("unit_price").alias("high"),
             cents_sum("l_extendedprice").alias("cap_cents"),
             F.sum(F.rint("l_quantity").cast("bigint")).alias("volume"),
         )
     )
+    bars = days.groupBy("date", "_key").agg(
+        F.min_by("low", "day").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.sum("cap_cents").alias("cap_cents"),
+        F.sum("volume").alias("volume"),
+    )
     market_cap = F.col("cap_cents").cast("double") / 100.0
     return bars.select(
         "date",

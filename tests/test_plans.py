@@ -1,5 +1,7 @@
 """Physical-plan checks: the operators must keep the shapes that scale."""
 
+import re
+
 from conftest import SF_MID
 from evenbasket.operators.equal_weight import equal_weight_index
 from evenbasket.operators.metrics import day_slice
@@ -17,9 +19,14 @@ def test_top_n_uses_partial_window_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
 
 
-def test_bar_aggregation_is_partial_before_shuffle(spark):
-    p = plan(daily_bars(spark, SF_MID))
-    assert "Partial" in p or p.count("HashAggregate") >= 2
+def test_bar_aggregations_hash_and_combine_before_the_shuffle(spark):
+    for bars, shuffles in ((daily_bars(spark, SF_MID), 1), (monthly_bars(spark, SF_MID), 2)):
+        p = plan(bars)
+        assert "SortAggregate" not in p
+        assert p.count("HashAggregate") == 2 * shuffles and p.count("Exchange") == shuffles
+        lines = [line for line in p.splitlines() if "HashAggregate" in line or "Exchange" in line]
+        assert ["partial_" in line for line in lines if "HashAggregate" in line] == [False, True] * shuffles
+        assert ["Exchange" in line for line in lines] == [False, True, False] * shuffles
 
 
 def test_scan_is_pruned_and_filter_pushed(spark):
@@ -32,19 +39,26 @@ def test_scan_is_pruned_and_filter_pushed(spark):
 def test_only_date_grain_windows_are_unpartitioned(spark):
     ix = equal_weight_index(monthly_bars(spark, SF_MID), n=20)
     text = ix.rebalancing_log()._jdf.queryExecution().optimizedPlan().toString()
+    seen = 0
     for line in text.splitlines():
         if "Window [" in line and "windowspecdefinition(" in line:
             spec = line.split("windowspecdefinition(", 1)[1]
-            if spec.startswith("date ASC"):
+            if re.match(r"date#\d+ ASC", spec):
                 # unpartitioned windows run over one row per date only
                 assert "prev_date" in line or "day_number" in line or "chain" in line or "next_date" in line
-
-
-def test_upsert_merges_with_an_aggregate_not_a_window(spark):
-    bars = daily_bars(spark, SF_MID)
-    p = plan(upsert(bars, bars))
-    assert "Window" not in p
-    assert "Aggregate" in p
+                seen += 1
+    assert seen
+
+
+def test_upsert_leaves_existing_rows_where_they_are(spark, tmp_path):
+    daily_bars(spark, SF_MID).write.parquet(f"{tmp_path}/t")
+    bars = spark.read.parquet(f"{tmp_path}/t")
+    merged = upsert(bars, bars.limit(10))
+    merged.collect()
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text
+    anti = [line for line in text.split("Initial Plan")[0].splitlines() if "LeftAnti" in line]
+    assert anti and all("BroadcastHashJoin" in line for line in anti)
 
 
 def test_global_row_number_matches_a_sort(spark):
