@@ -14,6 +14,10 @@ from ..functions.columns import is_priced
 from ..session import reliable_checkpoint
 
 
+#: Spark's own bound for a partial top-N (spark.sql.optimizer.windowGroupLimitThreshold), and slices of a date beyond it.
+GROUP_LIMIT, SLICES = 1000, 64
+
+
 def rank_order() -> list[Column]:
     """Total order: market cap descending (missing last), ticker ascending."""
     return [F.col("market_cap").desc_nulls_last(), F.col("ticker").asc()]
@@ -27,15 +31,19 @@ def eligible(bars: DataFrame) -> DataFrame:
 def select_members(bars: DataFrame, n: int) -> DataFrame:
     """(date, ticker, price, market_cap, rank, n_members) for the top ``n`` per date.
 
-    ``n_members`` is the actual count (fewer than ``n`` on thin days).
+    ``n_members`` is the actual count (fewer than ``n`` on thin days). Beyond
+    ``GROUP_LIMIT`` Spark plans no partial limit, so a date is first cut to its
+    top ``n`` in slices of tickers, and one task sees ``SLICES * n`` rows at most.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     by_date = Window.partitionBy("date")
+    rows = eligible(bars).select("date", "ticker", F.col("close").alias("price"), "market_cap")
+    if n > GROUP_LIMIT:
+        slice_ = Window.partitionBy("date", F.pmod(F.xxhash64("ticker"), F.lit(SLICES))).orderBy(*rank_order())
+        rows = rows.withColumn("rank", F.row_number().over(slice_)).where(F.col("rank") <= n).drop("rank")
     ranked = (
-        eligible(bars)
-        .select("date", "ticker", F.col("close").alias("price"), "market_cap")
-        .withColumn("rank", F.row_number().over(by_date.orderBy(*rank_order())))
+        rows.withColumn("rank", F.row_number().over(by_date.orderBy(*rank_order())))
         .where(F.col("rank") <= n)
     )
     return ranked.select(

@@ -19,6 +19,19 @@ def test_top_n_uses_partial_window_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 2  # partial before the shuffle, final after
 
 
+def test_large_n_is_cut_in_slices_first(spark):
+    from pyspark.sql import functions as F
+
+    bars = spark.range(5000).select(
+        F.expr("date_add(date'2025-01-02', CAST(id % 1 AS INT))").alias("date"), F.format_string("T%05d", "id").alias("ticker"), F.lit(1.0).alias("close"), (F.col("id") % 37).cast("double").alias("market_cap")
+    )
+    df = select_members(bars, 1001)
+    assert "hashpartitioning(date" in plan(df) and plan(df).count("Exchange") == 2
+    want = sorted(((-(i % 37), f"T{i:05d}") for i in range(5000)))[:1001]
+    got = sorted((-r.market_cap, r.ticker) for r in df.collect())
+    assert got == want and {r.n_members for r in df.collect()} == {1001}
+
+
 def test_bar_aggregations_hash_and_combine_before_the_shuffle(spark):
     for bars, shuffles in ((daily_bars(spark, SF_MID), 1), (monthly_bars(spark, SF_MID), 2)):
         p = plan(bars)
