@@ -14,7 +14,6 @@ import json
 import math
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ SEQUENCE = 4096
 END_ID = 1
 BLOCK = 16384
 #: Words whose ids a task keeps, and bytes of text it takes at once.
-KEPT_WORDS, TOKEN_CHUNK = 400_000, 2 << 20
+KEPT_WORDS, TOKEN_CHUNK = 1_000_000, 2 << 20
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -40,6 +39,18 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+class _Lookup(dict):
+    """Values made once for each key."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordTokenizer:
     """Token ids of texts, for a vocabulary whose tokens never cross white space.
 
@@ -60,41 +71,31 @@ class WordTokenizer:
         #: No white space or controls beyond ASCII, no combining marks, no letter whose lower case is two.
         self.plain = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]*").fullmatch
         self.letters = _byte_letters()
-        self.words: dict[bytes, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.words, self.pieces = _Lookup(self._word), _Lookup(self._piece)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.type).tobytes()
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        known = self.pieces.get(piece)
-        if known is None:
-            spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            known = self.pieces[piece] = tuple([t.id for t in self.merges(spelled)])
-        return known
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return self._packed([t.id for t in self.merges(spelled)])
 
-    def _word(self, raw: bytes) -> tuple[int, ...]:
+    def _word(self, raw: bytes) -> bytes:
         word = raw.decode()
         if self.plain(word) is None or "<|" in word:
-            return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
         word = word.lower()
         if word.isalpha():
-            return self._piece(word)
-        return tuple(chain.from_iterable([self._piece(x) for x in self.parts(word)]))
-
-    def learn(self, words: set[bytes]) -> None:
-        """Look up ``words``; afterwards ``self.words`` has them all."""
-        new = words - self.words.keys()
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = words
-        if len(self.pieces) > KEPT_WORDS:
-            self.pieces.clear()
-        for word in new:
-            self.words[word] = self._word(word)
+            return self.pieces[word]
+        return b"".join([self.pieces[x] for x in self.parts(word)])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [t.split() for t in texts]
-        self.learn(set(chain.from_iterable(split)))
+        for known in (self.words, self.pieces):
+            if len(known) > KEPT_WORDS:
+                known.clear()
         look = self.words.__getitem__
-        return [np.fromiter(chain.from_iterable(map(look, words)), np.uint32) for words in split]
+        return [np.frombuffer(b"".join(map(look, text.split())), self.type).astype(np.uint32) for text in texts]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
