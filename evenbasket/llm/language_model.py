@@ -160,8 +160,9 @@ def unpack_counts(blob: bytes, n: int) -> list[np.ndarray]:
 def _ask(groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, n_bytes, folds, offsets, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "n_bytes", "folds", "offsets", "packed")), strict=True):
-                own = _Block(n_bytes, folds, offsets, packed, groups)
+            for k in range(batch.num_rows):
+                number, *parts = (batch.column(c)[k].as_py() for c in ("block", "n_bytes", "folds", "offsets", "packed"))
+                own = _Block(*parts, groups)
                 keys = own.keys[own.order]
                 train = own.counts(np.array([1, 1, 0]))[own.order]
                 deleted = own.counts(np.array([0, 1, 0]))[own.order]
