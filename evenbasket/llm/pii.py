@@ -121,8 +121,8 @@ def disclosing_terms(mentions: DataFrame, documents: DataFrame, scratch: Scratch
     if frequent.isEmpty():
         return frequent.select("entity", "term", F.lit(0.0).alias("disclosure"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(TERM_PATTERN), F.lit(0)))
-    wanted = frequent.select("term").distinct()
-    seen = documents.select(F.explode(terms).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("seen"))
+    # Counted in full, then joined: a join of all words would make a row for each occurrence of a frequent term.
+    seen = documents.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("seen"))
     mentioned = mentions.select("entity", "__id", "__key").distinct().groupBy("entity").agg(F.count("*").alias("mentioned"))
     known = frequent.join(seen, "term").join(mentioned, "entity")
     share = F.least(F.lit(1.0), F.col("both") / F.col("seen"))
