@@ -103,9 +103,14 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    centre = [F.avg(a).alias(f"m_{i}") for i, a in enumerate(DIMS)]
-    scatter = [F.covar_pop(a, b).alias(f"c_{i}_{j}") for i, a in enumerate(DIMS) for j, b in enumerate(DIMS[: i + 1])]
-    return rows.groupBy("grp").agg(*centre, *scatter)
+    """Centre and scatter of each group from plain sums: the components are logarithms, so squares keep their digits."""
+    pairs = [(i, j) for i in range(len(DIMS)) for j in range(i + 1)]
+    sums = [F.sum(a).alias(f"s_{i}") for i, a in enumerate(DIMS)]
+    squares = [F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"q_{i}_{j}") for i, j in pairs]
+    total = rows.groupBy("grp").agg(F.count(F.lit(1)).cast("double").alias("n"), *sums, *squares)
+    centre = [(F.col(f"s_{i}") / F.col("n")).alias(f"m_{i}") for i in range(len(DIMS))]
+    scatter = [(F.col(f"q_{i}_{j}") / F.col("n") - F.col(f"s_{i}") * F.col(f"s_{j}") / (F.col("n") * F.col("n"))).alias(f"c_{i}_{j}") for i, j in pairs]
+    return total.select("grp", *centre, *scatter)
 
 
 def _quantile(column: str, share: float) -> Column:
