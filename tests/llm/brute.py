@@ -49,11 +49,14 @@ def components(rows):
     """(n_shingles, component) of each row of (id, text), by all pairs."""
     sets = [shingles(t) for _, t in rows]
     label = list(range(len(rows)))
-    for _ in rows:
-        for i, a in enumerate(sets):
-            for j, b in enumerate(sets):
-                if a and b and 100 * len(a & b) >= 85 * len(a | b):
-                    label[i] = min(label[i], label[j])
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a and b and 100 * len(a & b) >= 85 * len(a | b)]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            least = min(label[i], label[j])
+            changed |= label[i] != label[j]
+            label[i] = label[j] = least
     out = []
     for i, (own, _) in enumerate(rows):
         ids = [rows[j][0] for j in range(len(rows)) if label[j] == label[i] and rows[j][0] is not None]
