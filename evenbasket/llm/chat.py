@@ -98,10 +98,11 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     state = state.withColumn("written", F.col("source"))
     for _ in range(ROUNDS):
         state = state.withColumn("formatted", render(F.col("written"))).withColumn("turns", parse(F.col("formatted")))
-        same = F.transform("source", lambda t, k: F.coalesce(F.get("turns", k) == F.struct(t["role"].alias("role"), t["text"].alias("text"), F.lit(True).alias("valid")), F.lit(False)))
-        state = state.withColumn("same", same).withColumn(
-            "written", F.transform("written", lambda t, k: F.when(F.get("same", k), t).otherwise(F.struct(escape_role(F.get("source", k)["role"]).alias("role"), escape(F.get("source", k)["text"]).alias("text"))))
-        )
+        # Arrays are zipped, each made once; looking them up turn by turn would parse the whole text again for each.
+        same = F.zip_with("source", "turns", lambda s, t: F.coalesce(t == F.struct(s["role"].alias("role"), s["text"].alias("text"), F.lit(True).alias("valid")), F.lit(False)))
+        tried = F.zip_with("written", same, lambda w, ok: F.struct(w.alias("w"), ok.alias("ok")))
+        again = F.zip_with(tried, "source", lambda p, s: F.when(p["ok"], p["w"]).otherwise(F.struct(escape_role(s["role"]).alias("role"), escape(s["text"]).alias("text"))))
+        state = state.withColumn("written", F.slice(again, F.lit(1), F.size("source")))
     state = state.withColumn("formatted", render(F.col("written"))).withColumn("turns", parse(F.col("formatted")))
     back = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
     return state.select("conv_id", "formatted", back.alias("turns"), loss_spans(F.col("formatted")).alias("loss_spans"), ((F.size("turns") == F.size("source")) & (back == F.col("source")) & F.forall("turns", lambda t: t["valid"])).alias("round_trip"))
