@@ -23,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenbasket.llm.tables import Scratch, add_columns, ship_package
@@ -33,6 +33,8 @@ SAMPLE_ROWS = 8_000
 #: Beginnings of words that may be arcs (characters), the least toxic share, the chance of any false arc, the most arcs.
 SHORTEST, LONGEST, LEAST_SHARE, FALSE_ARCS, MOST_ARCS = 4, 10, 0.8, 0.01, 20_000
 KEPT_WORDS = 400_000
+#: Least hashes of word triples that copies of a text have in common.
+LEAST_HASHES = 3
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 #: Fixed word lists of the closed classes, by language (en, de, fr, es).
@@ -191,26 +193,41 @@ class Model(NamedTuple):
 
 
 def _count_arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate arcs of (label, distinct words) rows: the toxic and all documents of a task that have them."""
-    toxic, every = Counter(), Counter()
+    """Candidate arcs of (label, words, group) rows: the toxic and all documents of a task that have them, and (t, n) = (largest label, 1) for each group of copies."""
+    toxic, every, copies = Counter(), Counter(), {}
     for batch in batches:
-        for y, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            arcs = {w + "$" for w in words or ()}
-            arcs |= {w[:n] for w in words or () for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+        for y, words, group in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            words = set(words or ())
+            arcs = {w + "$" for w in words}
+            arcs |= {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+            if group is not None:
+                own = copies.setdefault(group, {})
+                own.update((a, max(y, own.get(a, 0))) for a in arcs)
+                continue
             every.update(arcs)
             if y:
                 toxic.update(arcs)
-    names = list(every)
-    for k in range(0, len(names), 10_000):
-        part = names[k : k + 10_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([toxic[a] for a in part], pa.int64()), pa.array([every[a] for a in part], pa.int64())], names=["arc", "t", "n"])
+    for group, names in [(None, list(every)), *((g, list(own)) for g, own in copies.items())]:
+        for k in range(0, len(names), 10_000):
+            part = names[k : k + 10_000]
+            t, n = ([toxic[a] for a in part], [every[a] for a in part]) if group is None else ([copies[group][a] for a in part], [1] * len(part))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([group] * len(part), pa.string()), pa.array(t, pa.int64()), pa.array(n, pa.int64())], names=["arc", "group", "t", "n"])
+
+
+def copy_group(words: Column) -> Column:
+    """What copies of a text have in common and other texts hardly ever: its ``LEAST_HASHES`` least word triples by hash (of a shorter text: all words)."""
+    n = F.size(words)
+    triples = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    least = F.slice(F.array_sort(F.array_distinct(F.slice(triples, F.lit(1), F.greatest(n - 2, F.lit(1))))), F.lit(1), F.lit(LEAST_HASHES))
+    return F.concat_ws(" ", F.transform(least, lambda h: h.cast("string")))
 
 
 def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
     """The insult acceptor, learned where ``learns`` (a boolean column of ``documents``) holds.
 
-    Copies and near copies would pass as evidence of their own, so of the
-    documents that share their least word hash one counts. An arc needs a toxic share that, by
+    Copies and near copies would pass as evidence of their own, so a candidate
+    counts once in each ``copy_group``, as toxic if any of its documents is; all
+    distinct texts count. An arc needs a toxic share that, by
     Chernoff's bound over all candidates, chance gives with probability
     ``FALSE_ARCS`` at most; its weight is the smoothed log-odds against the
     base rate. Rows without label (or with a null one) teach nothing; an id
@@ -226,12 +243,16 @@ def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id
     if not total or not toxic or toxic == total:
         return Model({}, -2.0)
 
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("__t", F.lit(""))), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0)))
+    words = F.regexp_extract_all(F.lower(F.coalesce("__t", F.lit(""))), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0))
     rows = source.join(F.broadcast(drawn.select("__id", "y")), "__id").select("y", words.alias("words"))
-    group = F.array_min(F.transform("words", lambda w: F.xxhash64(w)))
-    once = rows.withColumn("group", group).dropDuplicates(["group"]).select("y", "words")
-    counted = once.mapInArrow(_count_arcs, "arc string, t long, n long")
-    arcs = scratch.keep(counted.groupBy("arc").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).where("n >= 3"))
+    rows = scratch.keep(rows.select("y", F.array_distinct("words").alias("words"), copy_group(F.col("words")).alias("group")))
+    shared = rows.groupBy("group").agg(F.count("*").alias("size")).where("size > 1").select("group", F.lit(True).alias("copied"))
+    marked = rows.join(F.broadcast(shared), "group", "left").select("y", "words", F.when(F.col("copied"), F.col("group")).alias("group"))
+    counted = marked.mapInArrow(_count_arcs, "arc string, group string, t long, n long")
+    # A group's copies may be in several tasks; null groups are sums already.
+    once = counted.groupBy("arc", "group").agg(F.when(F.col("group").isNull(), F.sum("t")).otherwise(F.max("t")).alias("t"), F.when(F.col("group").isNull(), F.sum("n")).otherwise(F.lit(1)).alias("n"))
+    arcs = scratch.keep(once.groupBy("arc").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).where("n >= 3"))
+    scratch.drop(rows)
     base = arcs.agg(F.sum("t") / F.sum("n")).first()[0]
     if not base or base >= 1:
         return Model({}, -2.0)

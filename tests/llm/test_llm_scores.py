@@ -244,6 +244,29 @@ def test_learned_arcs(spark, tmp_path):
     assert got == dict(labels)
 
 
+def test_texts_that_share_a_frequent_word_all_teach(spark, tmp_path):
+    rnd = random.Random(11)
+    names = ["".join(rnd.choices("abcdefghijklmnop", k=7)) for _ in range(300)]
+    frequent = min(("are", "the", "and", "of", "to", "in", "is", "it"), key=lambda w: spark.range(1).select(F.xxhash64(F.lit(w))).first()[0])
+    # Each insult occurs in every tenth text, and all texts share a word of a low hash.
+    rows = [(i, " ".join([frequent, *rnd.sample(names, 20), *(["zork"] if i % 10 == 0 else [])])) for i in range(400)]
+    docs = brute.documents(spark, rows).drop("score")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    models = [toxicity.learn(stored(docs.repartition(k), tmp_path / str(k)), labels, F.lit(True)) for k in (1, 7)]
+    assert "zork" in models[0].arcs and models[0] == models[1]
+
+
+def test_copies_teach_once(spark, tmp_path):
+    rnd = random.Random(12)
+    names = ["".join(rnd.choices("abcdefghijklmnop", k=7)) for _ in range(300)]
+    rows = [(i, " ".join(rnd.sample(names, 20) + ["zork"] * (i % 5 == 0))) for i in range(400)]
+    copied = " ".join(f"quux{k} vorbis{k}" for k in range(10))
+    rows += [(1000 + i, copied) for i in range(100)]
+    labels = spark.createDataFrame([(i, int(i >= 1000 or i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.learn(stored(brute.documents(spark, rows).drop("score").repartition(5), tmp_path), labels, F.lit(True))
+    assert "zork" in model.arcs and not any(a.startswith(("quux", "vorb")) for a in model.arcs)
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = brute.documents(spark).drop("score")
     none = toxicity.learn(docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
