@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from evenbasket.llm import toxicity
 from evenbasket.llm.decontamination import find_contamination
-from evenbasket.llm.near_dedup import drop_near_duplicates
+from evenbasket.llm.near_dedup import NEAR_80, drop_near_duplicates
 from evenbasket.llm.packing import pack_documents
 from evenbasket.llm.pii import sanitise
 from evenbasket.llm.queries import remainder
@@ -26,8 +26,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return drop_near_duplicates(docs.select(COLUMNS))
+    """One document of each group of near copies (similarity 0.8 or more) stays."""
+    return drop_near_duplicates(docs.select(COLUMNS), near=NEAR_80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,8 @@ probability of 3e-7, and the sketch loses it with a probability below 1e-7.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,8 +33,19 @@ SHINGLE = 5
 BANDS, ROWS = 32, 6
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
-#: The threshold of a link, in percent, and how far below it the estimate may be.
-THRESHOLD, SLACK = 85, 15
+
+
+class Near(NamedTuple):
+    """What is a link: the threshold in percent, how far below it the sketch's estimate may be, and the bands of samples that find it."""
+
+    threshold: int = 85
+    slack: int = 15
+    bands: int = BANDS
+    rows: int = ROWS
+
+
+#: A pair at similarity 0.80 shares no bucket with a probability of 2.8e-7, and the sketch loses it with less than 1e-7.
+NEAR_80 = Near(80, 21, 38, 5)
 
 _RNG = np.random.default_rng(8128)
 _MULTIPLIER = _RNG.integers(0, 2**31, SAMPLES, np.uint32) * np.uint32(2) + np.uint32(1)
@@ -49,56 +62,59 @@ def shingle_set(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return np.unique(ngram_hashes(hashes, min(n, size)))
 
 
-def minhash(shingles: np.ndarray) -> np.ndarray:
+def minhash(shingles: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
+    least = np.full(samples, 0xFFFFFFFF, np.uint32)
     for k in range(0, len(x), _BLOCK):
-        np.minimum(least, ((x[None, k : k + _BLOCK] ^ _FLIP[:, None]) * _MULTIPLIER[:, None]).min(axis=1), out=least)
+        np.minimum(least, ((x[None, k : k + _BLOCK] ^ _FLIP[:samples, None]) * _MULTIPLIER[:samples, None]).min(axis=1), out=least)
     return least
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for column in samples.reshape(BANDS, ROWS).T.astype(np.uint64):
+def band_keys(samples: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    keys = np.arange(bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for column in samples.reshape(bands, -1).T.astype(np.uint64):
         keys = mix(keys ^ column)
     return keys
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
     """Parity bitmap of the (sample number, sample) pairs, as 64-bit words."""
-    place = mix(samples.astype(np.uint64) ^ _SAMPLE_SEED) % np.uint64(SKETCH_BITS)
+    place = mix(samples.astype(np.uint64) ^ _SAMPLE_SEED[: len(samples)]) % np.uint64(SKETCH_BITS)
     odd = np.bincount(place.astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def most_odd_bits() -> int:
+def most_odd_bits(near: Near = Near()) -> int:
     """XOR population count up to which a pair stays a candidate: |A xor B| = -n/2 ln(1 - 2z/n)."""
-    apart = 2 * SAMPLES * (1 - (THRESHOLD - SLACK) / 100)
+    apart = 2 * near.bands * near.rows * (1 - (near.threshold - near.slack) / 100)
     return int(np.ceil(SKETCH_BITS / 2 * (1 - np.exp(-2 * apart / SKETCH_BITS))))
 
 
-def _signer():
-    def derive(column: pa.Array) -> list:
-        n, low, high, bands, sketch = [], [], [], [], []
-        none = np.zeros(0, np.int64)
-        for row, to, data, offsets in chunks(column):
-            words = split_words(data, offsets, NOT_SPACE)
-            for k in range(to - row):
-                own = shingle_set(words.hash[words.first[k] : words.first[k + 1]])
-                n.append(len(own))
-                low.append(np.add.reduce(mix(own), dtype=np.uint64).view(np.int64) if len(own) else 0)
-                high.append(np.add.reduce(mix(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64).view(np.int64) if len(own) else 0)
-                samples = minhash(own) if len(own) else None
-                bands.append(none if samples is None else band_keys(samples).view(np.int64))
-                sketch.append(none if samples is None else odd_sketch(samples).view(np.int64))
-        return [n, low, high, bands, sketch]
+def _signer(near: Near):
+    def make():
+        def derive(column: pa.Array) -> list:
+            n, low, high, bands, sketch = [], [], [], [], []
+            none = np.zeros(0, np.int64)
+            for row, to, data, offsets in chunks(column):
+                words = split_words(data, offsets, NOT_SPACE)
+                for k in range(to - row):
+                    own = shingle_set(words.hash[words.first[k] : words.first[k + 1]])
+                    n.append(len(own))
+                    low.append(np.add.reduce(mix(own), dtype=np.uint64).view(np.int64) if len(own) else 0)
+                    high.append(np.add.reduce(mix(own ^ np.uint64(0xA5A5A5A5A5A5A5A5)), dtype=np.uint64).view(np.int64) if len(own) else 0)
+                    samples = minhash(own, near.bands * near.rows) if len(own) else None
+                    bands.append(none if samples is None else band_keys(samples, near.bands).view(np.int64))
+                    sketch.append(none if samples is None else odd_sketch(samples).view(np.int64))
+            return [n, low, high, bands, sketch]
 
-    return derive
+        return derive
 
+    return make
 
-def signatures(documents: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+
+def signatures(documents: DataFrame, keep: list[str], text: str = "text", near: Near = Near()) -> DataFrame:
     """``keep`` columns with n_shingles, set fingerprint (fp1, fp2), band keys and odd sketch; empty texts have none."""
-    return add_columns(documents, text, keep, "n_shingles long, fp1 long, fp2 long, bands array<long>, sketch array<long>", _signer)
+    return add_columns(documents, text, keep, "n_shingles long, fp1 long, fp2 long, bands array<long>, sketch array<long>", _signer(near))
 
 
 def _set_writer():
@@ -112,31 +128,34 @@ def _set_writer():
     return derive
 
 
-def _confirm(batches):
-    """Pairs whose full sets are similar enough: 100 * intersection >= threshold * union."""
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-            both = np.concatenate((x, y))
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= THRESHOLD * (len(both) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _confirmer(near: Near):
+    def confirm(batches):
+        """Pairs whose full sets are similar enough: 100 * intersection >= threshold * union."""
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                both = np.concatenate((x, y))
+                both.sort()
+                common = int((both[1:] == both[:-1]).sum())
+                keep.append(100 * common >= near.threshold * (len(both) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return confirm
 
 
-def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, near: Near) -> DataFrame:
     """Those of the distinct candidate ``pairs`` (a, b) that are links."""
     sketch = classes.select("cid", "sketch")
-    near = (
+    alike = (
         pairs.join(sketch.select(F.col("cid").alias("a"), F.col("sketch").alias("sa")), "a")
         .join(sketch.select(F.col("cid").alias("b"), F.col("sketch").alias("sb")), "b")
-        .where(sum(F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(SKETCH_BITS // 64)) <= most_odd_bits())
+        .where(sum(F.bit_count(F.col("sa")[k].bitwiseXOR(F.col("sb")[k])) for k in range(SKETCH_BITS // 64)) <= most_odd_bits(near))
         .select("a", "b")
     )
-    near = near.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a")
-    near = near.join(sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
-    return scratch.keep(near.select("a", "b", "set_a", "set_b").mapInArrow(_confirm, "a long, b long"))
+    alike = alike.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("set_a")), "a")
+    alike = alike.join(sets.select(F.col("cid").alias("b"), F.col("set").alias("set_b")), "b")
+    return scratch.keep(alike.select("a", "b", "set_a", "set_b").mapInArrow(_confirmer(near), "a long, b long"))
 
 
 def _shingles(batches):
@@ -147,7 +166,7 @@ def _shingles(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, cid.as_py())), pa.array(own), pa.array(np.full(n, n))], names=["cid", "shingle", "n"])
 
 
-def _prefixes(sets: DataFrame) -> DataFrame:
+def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
     """(cid, key, n, rank): the rarest shingles of each set, as many as two sets at the threshold must have one in common of.
 
     With all sets in one order of shingles, sets of similarity t share one of
@@ -157,12 +176,12 @@ def _prefixes(sets: DataFrame) -> DataFrame:
     shingles = sets.mapInArrow(_shingles, "cid long, shingle long, n long")
     rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
     rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "shingle"))
-    first = F.col("n") - F.ceil(F.col("n") * THRESHOLD / 100) + 1
+    first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
     ranked = shingles.join(rarity, "shingle").withColumn("rank", rank).where(F.col("rank") <= first)
     return ranked.where("df > 1").select("cid", F.col("shingle").alias("key"), "n", "rank")
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
+def _cross_pairs(members: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs (a > b) of different labels that share a key; members (cid, key, n, rank, label).
 
     Only what is outside a key's largest label is paired with the rest, so a
@@ -176,7 +195,7 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     left = open_.where("label <> main").select("key", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rank").alias("ra"))
     right = open_.select("key", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "main")
     room = 1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
-    alike = (100 + THRESHOLD) * room >= THRESHOLD * (F.col("na") + F.col("nb"))
+    alike = (100 + threshold) * room >= threshold * (F.col("na") + F.col("nb"))
     pairs = left.join(right, "key").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))) & alike)
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
@@ -202,13 +221,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             return labels.select("cid", "label")
 
 
-def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", near: Near = Near()) -> DataFrame:
     """Per row of ``documents``: doc_id, row key, n_shingles, component_id, kept.
 
     Words are runs without white space of the text with A-Z lower-cased. A
     document's set holds its distinct 5-word shingles, or its whole sequence if
-    it has fewer words. Documents are linked if 100 * intersection >= 85 *
-    union of their sets; component_id is the smallest doc_id reachable over
+    it has fewer words. Documents are linked if 100 * intersection >=
+    ``near.threshold`` * union of their sets; component_id is the smallest doc_id reachable over
     links, and kept says that it is the document's own.
 
     Null or empty texts have an empty set, are linked with nothing and are
@@ -220,7 +239,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     spark = documents.sparkSession
     scratch = Scratch(spark, "near-dedup")
     source = documents.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("text_key"))
-    signed = scratch.keep(signatures(source, ["doc_id", "text_key"]))
+    signed = scratch.keep(signatures(source, ["doc_id", "text_key"], near=near))
     full = signed.where("n_shingles > 0")
     grouped = full.groupBy("fp1", "fp2", "n_shingles").agg(
         F.min("doc_id").alias("least_id"), F.any_value(F.struct("doc_id", "text_key", "bands", "sketch")).alias("one")
@@ -243,15 +262,15 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     stars = buckets.where("cid <> leader").select(F.greatest("cid", "leader").alias("a"), F.least("cid", "leader").alias("b"))
     stars = scratch.keep(stars.distinct())
-    links = _links(stars, classes, sets, scratch)
+    links = _links(stars, classes, sets, scratch, near)
     labels = components(links, scratch)
 
     # What the stars leave: members of one bucket in different components.
     labelled = buckets.join(labels, "cid", "left").select("band", "cid", F.coalesce("label", "cid").alias("label"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
     left = scratch.keep(labelled.join(mixed, "band", "left_semi").select("cid", "label").distinct())
-    prefixes = scratch.keep(_prefixes(sets.join(left, "cid", "left_semi")).join(left, "cid"))
-    more = _links(_cross_pairs(prefixes).join(stars, ["a", "b"], "left_anti"), classes, sets, scratch)
+    prefixes = scratch.keep(_prefixes(sets.join(left, "cid", "left_semi"), near.threshold).join(left, "cid"))
+    more = _links(_cross_pairs(prefixes, near.threshold).join(stars, ["a", "b"], "left_anti"), classes, sets, scratch, near)
     scratch.drop(sets, left, prefixes, stars, buckets)
     labels = components(links.union(more), scratch)
 
@@ -264,9 +283,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return out.select("doc_id", "text_key", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", near: Near = Near()) -> DataFrame:
     """``documents`` with one row of each component: all its columns, rows that repeat doc_id and text once."""
-    decided = near_duplicates(documents, doc_id=doc_id, text=text).where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
+    decided = near_duplicates(documents, doc_id=doc_id, text=text, near=near).where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
     decided = Scratch(documents.sparkSession, "near-dedup-kept").keep(decided)
     key = [F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), F.xxhash64(F.col(f"`{text}`")) == F.col("__key")]
     decided = decided.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "n")

@@ -13,6 +13,7 @@ import brute  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from evenbasket.llm import packing  # noqa: E402
+from evenbasket.llm.near_dedup import near_duplicates  # noqa: E402
 
 MARK = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 
@@ -80,3 +81,16 @@ def test_pipeline_on_empty_tables(spark, tmp_path):
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_copies_at_eighty_percent_go(spark, tmp_path):
+    """104 words have 100 shingles; k other words at the end leave 100 - k of them: similarity (100 - k) / (100 + k)."""
+    rows = []
+    for g, k in enumerate((8, 11, 12)):  # 0.85, 0.80, 0.79
+        words = [f"g{g}w{j}" for j in range(104)]
+        rows += [(10 * g, " ".join(words)), (10 * g + 1, " ".join(words[: 104 - k] + [f"x{g}n{j}" for j in range(k)]))]
+    table = [(i, t, "en", "src", len(t)) for i, t in rows]
+    spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(x.doc_id for x in corpus_pipeline.near_dedup(spark, docs, str(tmp_path)).collect()) == [0, 10, 20, 21]
+    assert sorted(x.doc_id for x in near_duplicates(docs).where("kept").collect()) == [0, 10, 11, 20, 21]
