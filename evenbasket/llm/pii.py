@@ -7,8 +7,10 @@ information of the two in shares of e's own information:
 
     disclosure = PMI(e; t) / IC(e) = 1 + log P(e | t) / IC(e),   IC(e) = -log P(e)
 
-Terms that disclose enough, in enough different contexts (copies of a passage
-are one), are generalised to a mark or removed in the documents that mention
+P(e | t) counts different contexts (copies of a passage are one) and is
+smoothed towards P(e), so a single context is weak evidence and not none.
+Spellings of one entity are one, and an email's domain is an entity of its own
+that all its addresses mention. Terms that disclose enough are generalised to a mark or removed in the documents that mention
 the entity.
 """
 
@@ -32,8 +34,8 @@ TERM = "term"
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", TERM: "[TERM]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
-#: Characters of context on each side, contexts that a term needs, and disclosures from which it is generalised or removed.
-CONTEXT, LEAST_CONTEXTS, GENERALISE, REMOVE = 80, 3, 0.9, 0.98
+#: Characters of context on each side, weight of the prior P(e) in contexts, and disclosures from which a term is generalised or removed.
+CONTEXT, PRIOR, GENERALISE, REMOVE = 80, 1.0, 0.9, 0.98
 #: Terms are runs of at least three letters, lower-cased.
 TERM_PATTERN = r"\p{L}{3,}"
 
@@ -117,26 +119,35 @@ def disclosing_terms(mentions: DataFrame, documents: DataFrame, scratch: Scratch
     pairs = mentions.select("__id", "__key", "entity", "context", F.explode("terms").alias("term"))
     near = pairs.groupBy("entity", "term", "__id", "__key").agg(F.min("context").alias("least"), F.max("context").alias("most"))
     both = near.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("least").alias("contexts"))
-    frequent = scratch.keep(both.where(F.col("contexts") >= LEAST_CONTEXTS))
-    if frequent.isEmpty():
-        return frequent.select("entity", "term", F.lit(0.0).alias("disclosure"))
+    found = scratch.keep(both)
+    if found.isEmpty():
+        return found.select("entity", "term", F.lit(0.0).alias("disclosure"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(TERM_PATTERN), F.lit(0)))
     # Counted in full, then joined: a join of all words would make a row for each occurrence of a frequent term.
     seen = documents.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("seen"))
-    mentioned = mentions.select("entity", "__id", "__key").distinct().groupBy("entity").agg(F.count("*").alias("mentioned"))
-    known = frequent.join(seen, "term").join(mentioned, "entity")
-    share = F.least(F.lit(1.0), F.col("both") / F.col("seen"))
-    information = F.log(F.lit(float(max(total, 2))) / F.col("mentioned"))
-    disclosure = F.when(information > 0, 1 + F.log(share) / information).otherwise(F.lit(0.0))
+    mentioned = mentions.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("mentioned"))
+    known = found.join(seen, "term").join(mentioned, "entity")
+    least = F.least(F.lit(1.0), F.col("mentioned") / F.lit(float(max(total, 2))))
+    elsewhere = F.greatest(F.col("seen") - F.col("both"), F.lit(0))
+    share = (F.col("contexts") + PRIOR * least) / (F.col("contexts") + elsewhere + PRIOR)
+    disclosure = F.when(least < 1, 1 - F.log(share) / F.log(least)).otherwise(F.lit(0.0))
     return scratch.keep(known.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= GENERALISE))
 
 
+def entities_of(span: Column) -> Column:
+    """What a span mentions: its value however it is written (digits of cards and phones, lower-cased emails, octets without zeros in front), and an email's domain."""
+    value, kind = F.lower(span["value"]), span["kind"]
+    own = F.when(kind.isin("card", "phone"), F.regexp_replace(value, "[^0-9]", "")).when(kind == "ip", F.regexp_replace(value, "(?<![0-9])0+(?=[0-9])", "")).otherwise(value)
+    domain = F.when(kind == "email", F.concat(F.lit("domain:"), F.substring_index(value, "@", -1)))
+    return F.array_compact(F.array(F.concat(kind, F.lit(":"), own), domain))
+
+
 def mentions_of(spans: DataFrame) -> DataFrame:
     """(__id, __key, entity, context, terms) of each span's context, from rows with __text and __base."""
     around = F.transform(
         "__base",
         lambda s: F.struct(
-            F.concat(s["kind"], F.lit(":"), s["value"]).alias("entity"),
+            entities_of(s).alias("entities"),
             F.concat(
                 F.substr("__text", F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT))),
                 F.lit(" "),
@@ -146,7 +157,8 @@ def mentions_of(spans: DataFrame) -> DataFrame:
     )
     each = spans.where(F.size("__base") > 0).select("__id", "__key", F.explode(around).alias("m"))
     terms = F.array_distinct(F.regexp_extract_all(F.lower("m.around"), F.lit(TERM_PATTERN), F.lit(0)))
-    return each.select("__id", "__key", "m.entity", F.xxhash64("m.around").alias("context"), terms.alias("terms"))
+    found = each.select("__id", "__key", "m.entities", F.xxhash64("m.around").alias("context"), terms.alias("terms"))
+    return found.select("__id", "__key", F.explode("entities").alias("entity"), "context", "terms")
 
 
 def _analyse(documents: DataFrame, scratch: Scratch, doc_id: str, text: str) -> tuple[DataFrame, DataFrame | None]:
@@ -157,7 +169,7 @@ def _analyse(documents: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     terms = disclosing_terms(mentions_of(spans), documents, scratch, text)
     if terms.isEmpty():
         return spans, None
-    entities = spans.where(F.size("__base") > 0).select("__id", "__key", F.explode(F.array_distinct(F.transform("__base", lambda s: F.concat(s["kind"], F.lit(":"), s["value"])))).alias("entity"))
+    entities = spans.where(F.size("__base") > 0).select("__id", "__key", F.explode(F.array_distinct(F.flatten(F.transform("__base", entities_of)))).alias("entity"))
     of_doc = entities.join(terms, "entity").groupBy("__id", "__key", "term").agg(F.max("disclosure").alias("disclosure"))
     of_doc = of_doc.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("term")).alias("__terms"), F.sort_array(F.collect_list(F.when(F.col("disclosure") >= REMOVE, F.col("term")))).alias("__removed"))
     return spans, scratch.keep(of_doc)

@@ -58,6 +58,19 @@ def test_terms_that_give_an_entity_away(spark, tmp_path):
     assert all(clean[i] == text for i, text in rows[8:])
 
 
+def test_terms_of_rare_entities(spark, tmp_path):
+    rnd = random.Random(5)
+    filler = ["table", "chair", "window", "garden", "river", "bridge", "forest", "market"]
+    some = lambda: " ".join(rnd.choices(filler, k=14))
+    # One number in two spellings, two addresses of one domain, and an address mentioned once.
+    rows = [(0, f"{some()} Zanzibarian +44 20 7946 0958 {some()}"), (1, f"{some()} Zanzibarian +44-20-7946-0958 {some()}")]
+    rows += [(2, f"{some()} Quixotic a@corp.example.com {some()}"), (3, f"{some()} Quixotic B@CORP.example.com {some()}"), (4, f"{some()} Xylophonist c@other.example.org {some()}")]
+    rows += [(100 + i, some()) for i in range(3000)]
+    got = {x.doc_id: {t.value for t in x.terms} for x in find_spans(stored(brute.documents(spark, rows), tmp_path)).collect()}
+    assert [got[i] for i in range(5)] == [{"Zanzibarian"}, {"Zanzibarian"}, {"Quixotic"}, {"Quixotic"}, {"Xylophonist"}]
+    assert not any(got[i] for i, _ in rows[5:])
+
+
 def test_copies_are_one_context(spark, tmp_path):
     rows = [(i, "Quixotic plans were sent to boss@corp.example.com by night") for i in range(20)] + [(100 + i, "the garden and the river") for i in range(50)]
     assert not any(x.terms for x in find_spans(stored(brute.documents(spark, rows), tmp_path)).collect())
