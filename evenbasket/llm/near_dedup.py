@@ -39,7 +39,7 @@ class Near(NamedTuple):
     """What is a link: the threshold in percent, how far below it the sketch's estimate may be, and the bands of samples that find it."""
 
     threshold: int = 85
-    slack: int = 15
+    slack: int = 17
     bands: int = BANDS
     rows: int = ROWS
 

@@ -1,11 +1,13 @@
 """Near-duplicates, decontamination, URL rules and chat formatting against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +64,18 @@ def test_odd_sketch_estimates_similarity():
         assert abs(estimate - similarity) < 0.12
 
 
+@pytest.mark.parametrize("near", [near_dedup.Near(), near_dedup.NEAR_80])
+def test_sketch_hardly_loses_a_pair_at_the_threshold(near):
+    """Exactly: m of the samples differ, and each flips two of the bits at random."""
+    n, size, t = near.bands * near.rows, near_dedup.SKETCH_BITS, near.threshold / 100
+    odd, at, loss = np.eye(1, size + 1)[0], np.arange(size + 1), 0.0
+    for m in range(n + 1):
+        loss += math.comb(n, m) * (1 - t) ** m * t ** (n - m) * odd[near_dedup.most_odd_bits(near) + 1 :].sum()
+        for _ in range(2):
+            odd = np.append(0, (odd * (1 - at / size))[:-1]) + np.append((odd * at / size)[1:], 0)
+    assert loss < 1e-7
+
+
 def test_near_dedup_of_an_empty_table(spark):
     assert near_duplicates(brute.documents(spark, [])).collect() == []
 
