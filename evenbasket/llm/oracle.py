@@ -67,9 +67,28 @@ parts AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (r)
 """
 
+FILL_IN_MIDDLE = r"""
+WITH own AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+  SELECT *, CAST(len(l) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(l) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(l) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM own
+), cut AS (
+  SELECT *, array_to_string(l[1:least(x, y)], '') AS prefix, array_to_string(l[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(l[greatest(x, y) + 1:len(l)], '') AS suffix FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
 SQL = {
     "op2_chat_round_trip": CHAT,
     "op7_url_rules": URL_RULES,
     "op8_minhash_near_dedup": NEAR_DEDUP,
     "op10_benchmark_decontamination": DECONTAMINATION,
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from evenbasket.llm import oracle, toxicity
 from evenbasket.llm.chat import format_conversations, loss_text
 from evenbasket.llm.decontamination import find_contamination
+from evenbasket.llm.fill_in_middle import fill_in_middle, restored
 from evenbasket.llm.language_model import score_documents
 from evenbasket.llm.near_dedup import near_duplicates
 from evenbasket.llm.packing import pack_documents
+from evenbasket.llm.periodic_runs import find_runs
+from evenbasket.llm.piece_tokenizer import encode_texts
 from evenbasket.llm.pii import KINDS, find_spans, span_list
 from evenbasket.llm.quality import score_quality, train
 from evenbasket.llm.quality_rules import judge_quality
@@ -92,6 +95,47 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def periodised(documents: DataFrame) -> DataFrame:
+    """Documents (doc_id, text) of which one in ten, by the id's crc32, repeats a stretch of its words up to its end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.filter(F.split(F.col("text"), r"[ \t-\r]+", -1), lambda w: w != "")
+    own = documents.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    own = own.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    own = own.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    block = "slice(w, a + 1, p)"
+    repeated = F.expr(f"array_join(concat(slice(w, 1, a), flatten(array_repeat({block}, CAST((n - a) DIV p AS INT))), slice(w, a + 1, (n - a) % p)), ' ')")
+    return own.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(periodised(table(spark, sf_dir, "documents")), ["doc_id"])
+    found = found.withColumn("longest", F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length, start, period = F.col("longest.length"), -F.col("longest.start"), -F.col("longest.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * longest.length DIV -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_piece_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(table(spark, sf_dir, "documents"), ["doc_id"])
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    back = restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 

@@ -9,11 +9,12 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from evenbasket.llm.tokens import chunks
 from evenbasket.session import scratch_path
 
 
@@ -45,6 +46,36 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: str, make: Cal
     return source.mapInArrow(run, out)
 
 
+def derive_columns(df: DataFrame, text: str, keep: list[str], added: str, make: Callable[[], Callable[..., list]], given: tuple[Column, ...] = ()) -> DataFrame:
+    """``keep`` columns of ``df`` and columns made from its texts, a chunk of texts at a time.
+
+    ``make`` runs once a task and returns a function of a chunk's bytes, the
+    offsets of its texts in them, and the ``given`` columns as Arrow arrays; it
+    returns the added columns (``added`` is their DDL). A kept column with the
+    name of an added one is left out. A null text is empty. One pass, no shuffle.
+    """
+    extra = StructType.fromDDL(added)
+    made = {n.lower() for n in extra.names}
+    keep = [c for c in keep if c.lower() not in made]
+    ship_package(df.sparkSession)
+    kept = df.select(*[F.col(f"`{c}`") for c in keep])
+    out = StructType(kept.schema.fields + extra.fields)
+    columns = [F.col(f"`{c}`") for c in keep] + [*given, F.col(f"`{text}`")]
+    source = df.select(*[c.alias(f"c{k}") for k, c in enumerate(columns)])
+    n = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        derive = make()
+        types = [f.type for f in to_arrow_schema(extra)]
+        for batch in batches:
+            for row, to, data, offsets in chunks(batch.column(batch.num_columns - 1)):
+                others = [c.slice(row, to - row) for c in batch.columns[:-1]]
+                found = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(derive(data, offsets, *others[n:]), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*others[:n], *found], names=out.names)
+
+    return source.mapInArrow(run, out)
+
+
 class Scratch:
     """Parquet tables between the steps of one run, in the session's shared checkpoint folder."""
 

@@ -116,6 +116,59 @@ def split_words(data: np.ndarray, offsets: np.ndarray, grammar: np.ndarray) -> W
     return Words(buf, start, end, hashes, np.searchsorted(start, offsets))
 
 
+class Spans(NamedTuple):
+    """Words of consecutive texts, without the bytes."""
+
+    start: np.ndarray  # byte offsets of each word
+    end: np.ndarray
+    hash: np.ndarray  # 64-bit hash of each word
+    first: np.ndarray  # index of each text's first word, and the number of words at the end
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, grammar: np.ndarray, lower: bool = True, section: int = CHUNK) -> Spans:
+    """Words of texts that lie one after the other in ``data``, with the hashes of ``split_words``.
+
+    Goes through the bytes in sections, so that what is held of a long text
+    besides its bytes grows with its words alone. A word across sections is put
+    together from its parts: the hash is a polynomial of the bytes.
+    """
+    power, inverse = _power_tables(min(len(data), section) + 1)
+    starts, ends, values = [], [], []
+    for at in range(0, len(data), section):
+        buf = data[at : at + section]
+        buf = _LOWER[buf] if lower else buf
+        inside, n = grammar[buf], len(buf)
+        edge = offsets[np.searchsorted(offsets, at, "right") : np.searchsorted(offsets, at + n, "left")] - at
+        before = np.zeros(n, bool)
+        before[1:] = inside[:-1]
+        before[edge] = False
+        after = np.zeros(n, bool)
+        after[:-1] = inside[1:]
+        after[edge - 1] = False
+        start = np.flatnonzero(inside & ~before)
+        end = np.flatnonzero(inside & ~after) + 1
+        if not len(start):
+            continue
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_TABLE[buf] * power[:n], out=sums[1:])
+        value = (sums[end] - sums[start]) * inverse[start]
+        start, end = start + at, end + at
+        if ends and ends[-1][-1] == start[0] == at and offsets[np.searchsorted(offsets, at)] != at:
+            far = pow(_BASE, int(at - starts[-1][-1]), 2**64)
+            values[-1][-1] = (int(values[-1][-1]) + int(value[0]) * far) % 2**64
+            ends[-1][-1] = end[0]
+            start, end, value = start[1:], end[1:], value[1:]
+        if len(start):
+            starts.append(start)
+            ends.append(end)
+            values.append(value)
+    if not starts:
+        none = np.zeros(0, np.int64)
+        return Spans(none, none, np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
+    start = np.concatenate(starts)
+    return Spans(start, np.concatenate(ends), mix(np.concatenate(values)), np.searchsorted(start, offsets))
+
+
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """64-bit hashes of all runs of ``n`` consecutive words (order counts)."""
     m = len(hashes) - n + 1
