@@ -212,7 +212,8 @@ class EqualWeightIndex:
 
     ``held`` (date, ticker, price) seeds the chain with positions of one date
     before ``bars``: that date starts the calendar and its members are the held
-    names at their prices, whatever ``bars`` would select for it.
+    names at their prices, whatever ``bars`` would select for it; they are ranked
+    by ticker, as holdings carry no market cap.
     """
 
     bars: DataFrame
@@ -231,10 +232,11 @@ class EqualWeightIndex:
         big = (lambda df: reliable_checkpoint(df, "bars", large=True)) if self.materialize is True else keep
         self.bars = big(self.bars.select("date", "ticker", "close", "market_cap"))
         dates = self.bars.select("date")
-        members = select_members(self.bars, self.n).select("date", "ticker", "price", "n_members")
+        members = select_members(self.bars, self.n).select("date", "ticker", "price", "rank", "n_members")
         if self.held is not None:
-            count = F.count(F.lit(1)).over(Window.partitionBy("date"))
-            seed = self.held.select("date", "ticker", "price").withColumn("n_members", count)
+            one = Window.partitionBy("date")  # the members of one date
+            rank, count = F.row_number().over(one.orderBy("ticker")).cast("bigint"), F.count(F.lit(1)).over(one)
+            seed = self.held.select("date", "ticker", "price", rank.alias("rank"), count.alias("n_members"))
             dates, members = dates.union(seed.select("date")), members.unionByName(seed)
         self.calendar = small(trading_calendar(dates))
         self.members = small(members)

@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .selection import rank_order
+
+
+def ranked_holdings(constituents: DataFrame, bars: DataFrame) -> DataFrame:
+    """(date, ticker, rank) of stored holdings, in the order they were selected.
+
+    The market cap comes from the bar of the same date (unique keys on both
+    sides); the window holds one date's members, at most ``n`` rows.
+    """
+    caps = bars.select("date", "ticker", "market_cap")
+    by_date = Window.partitionBy("date").orderBy(*rank_order())
+    return constituents.select("date", "ticker").join(caps, ["date", "ticker"], "left").select("date", "ticker", F.row_number().over(by_date).cast("bigint").alias("rank"))
+
 
 def index_report(perf: DataFrame, members: DataFrame) -> DataFrame:
     """(Date, IndexReturn, Top100Stocks): one row per date.

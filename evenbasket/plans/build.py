@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.equal_weight import EqualWeightIndex, equal_weight_index
+from ..operators.report import index_report, ranked_holdings
 from ..operators.price_average import composition_changes, price_average_index
 from ..operators.upsert import refresh_batch
 from ..schemas import BASE_INDEX_VALUE, DEFAULT_MEMBERS, INITIAL_NOTIONAL, STOCK_DATA_KEY, TRAILING_DAYS
@@ -110,6 +111,12 @@ def recompute_index_tables(store: TableStore, day: str, bars: DataFrame | None =
     return extend_index_tables(store, bars, n, base, notional)
 
 
+def stored_report(store: TableStore) -> DataFrame:
+    """The index report of the stored tables: a row per date, members in rank order."""
+    members = ranked_holdings(store.read("constituents"), store.read("stock_data"))
+    return index_report(store.read("performance"), members)
+
+
 def build_legacy_tables(
     store: TableStore,
     bars: DataFrame | None = None,

@@ -429,6 +429,7 @@ WHERE p.date BETWEEN (SELECT max(date) FROM perf) - INTERVAL 30 DAY AND (SELECT
 FROM perf p LEFT JOIN (
   SELECT date, string_agg(ticker, ', ' ORDER BY rank) AS lst FROM members GROUP BY date) l ON l.date = p.date"""
     )
+    q["report_stored"] = q["index_report"]
     q["report_text"] = (
         ix1
         + """, report AS (

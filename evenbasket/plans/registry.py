@@ -32,7 +32,7 @@ from ..sources.bars import read_table, supplier_month_bars, supplier_universe, u
 from ..sources.landing import read_json_days, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
-from .build import build_index_tables, build_legacy_tables, extend_index_tables
+from .build import build_index_tables, build_legacy_tables, extend_index_tables, stored_report
 
 # Fixed query parameters.
 N_MEMBERS = 20
@@ -420,6 +420,12 @@ def q_report_text(spark, sf):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+def q_report_stored(spark, sf):
+    """The report of the stored tables, after the index was continued."""
+    out = stored_report(_extended_store(spark, sf))
+    return out.select("Date", F.round("IndexReturn", 10).alias("IndexReturn"), "Top100Stocks")
+
+
 def q_log_preview(spark, sf):
     return log_out(M.log_preview(f1_index(spark, sf).rebalancing_log(), 10))
 
@@ -466,9 +472,8 @@ def q_ddl_lifecycle(spark, sf):
 EXTEND_FROM = "1998-01-01"
 
 
-def q_performance_extended(spark, sf):
-    """Index built on the bars before EXTEND_FROM, then continued after the later
-    bars land: must equal the full-history performance."""
+def _extended_store(spark, sf):
+    """Index built on the bars before EXTEND_FROM, then continued after the later bars land."""
     store = _store(spark)
     bars = f1(spark, sf)
     cut = F.lit(EXTEND_FROM).cast("date")
@@ -476,7 +481,12 @@ def q_performance_extended(spark, sf):
     build_index_tables(store, n=N_MEMBERS)
     store.upsert("stock_data", bars.where(F.col("date") >= cut), keys=["date", "ticker"])
     extend_index_tables(store, n=N_MEMBERS)
-    return perf_out(store.read("performance"))
+    return store
+
+
+def q_performance_extended(spark, sf):
+    """Must equal the full-history performance."""
+    return perf_out(_extended_store(spark, sf).read("performance"))
 
 
 WORKFLOW_NOTIONAL = 5_000_000.0

@@ -135,3 +135,33 @@ def test_date_range_rebases_on_first_date_in_range(f3_bars):
     assert [r[0] for r in got] == [D(2025, 1, 6), D(2025, 1, 7)]
     assert got[0][1:] == (1000.0, 1_000_000.0, 0.0)
     assert ix.rebalancing_log().count() == 2  # only 01-07 trades
+
+
+WANT_REPORT = [("2025-01-02", 0.0, "A, B"), ("2025-01-03", 0.1, "A, C"), ("2025-01-06", -0.5, "A, B"), ("2025-01-07", 0.0, "A, B")]
+
+
+@pytest.mark.parametrize("materialize", [False, "derived", True])
+def test_report_through_the_index(f3_bars, materialize):
+    from evenbasket.operators.report import index_report, render_report
+
+    ix = equal_weight_index(f3_bars, n=2, materialize=materialize)
+    report = index_report(ix.performance(), ix.members)
+    got = sorted((str(r.Date), r.IndexReturn, r.Top100Stocks) for r in report.collect())
+    assert [(d, pytest.approx(x), t) for d, x, t in got] == WANT_REPORT
+    assert sorted(r.text for r in render_report(report, 2).collect())[1] == "Date: 2025-01-03\nIndex Return: 0.10\nTop 100 Stocks: A, C"
+
+
+def test_report_of_an_extended_store_and_of_its_seed(spark, tmp_path, f3_bars):
+    from evenbasket.operators.report import index_report
+    from evenbasket.plans.build import build_index_tables, extend_index_tables, open_store, stored_report
+
+    store = open_store(spark, str(tmp_path / "wh"), "report_test")
+    store.overwrite("stock_data", f3_bars.where("date < '2025-01-06'"))
+    build_index_tables(store, n=2)
+    store.upsert("stock_data", f3_bars.where("date >= '2025-01-06'"), keys=["date", "ticker"])
+    ix = extend_index_tables(store, n=2)
+    got = sorted((str(r.Date), r.IndexReturn, r.Top100Stocks) for r in stored_report(store).collect())
+    assert [(d, pytest.approx(x), t) for d, x, t in got] == WANT_REPORT
+    seeded = sorted((str(r.Date), r.Top100Stocks) for r in index_report(ix.performance(), ix.members).collect())
+    assert seeded == [(d, t) for d, _, t in WANT_REPORT[1:]]  # the stored date's holdings are ranked by ticker
+    store.drop()
