@@ -8,7 +8,8 @@ rebalanced, so the day-by-day recurrence collapses to
     notional_i(t) = V(t) / n(t),  shares_i(t) = notional_i(t) / P_i(t)
 
 where t' is the next trading date. A held name without a price on t'
-contributes nothing (its value is lost). The only sequential step is the
+contributes nothing (its value is lost), or, under the ``carry`` policy, its last
+known price. The only sequential step is the
 running product over one row per date; everything else is joins and
 aggregations at (date, ticker) grain.
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import (
@@ -32,22 +33,34 @@ from ..schemas import (
     ACTION_REBALANCE,
     ACTION_REMOVE,
     BASE_INDEX_VALUE,
+    CARRY,
+    CARRY_DAYS,
     DEFAULT_MEMBERS,
+    DROP,
     INITIAL_NOTIONAL,
 )
 from ..functions.columns import safe_ratio
 from ..session import reliable_checkpoint
+from .asof import asof_join
 from .calendar import date_grain, trading_calendar
 from .selection import select_members
 
 
-def revaluation(members: DataFrame, calendar: DataFrame, bars: DataFrame) -> DataFrame:
+def known_price(c: str) -> Column:
+    """A price that is a number (zero is one)."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def revaluation(members: DataFrame, calendar: DataFrame, bars: DataFrame, missing: str = DROP, lookback: int = CARRY_DAYS) -> DataFrame:
     """Yesterday's members priced today.
 
     (date, ticker, prev_date, prev_price, prev_n, cur_price, ratio) where ``date``
-    is the next trading date after ``prev_date``; cur_price is NULL when the
-    ticker has no bar that day, and ratio is then 0.
+    is the next trading date after ``prev_date``. A ticker without a price that
+    day has cur_price NULL and ratio 0 under ``missing="drop"``; under "carry" it
+    has its last known price of at most ``lookback`` days before, if any.
     """
+    if missing not in (DROP, CARRY):
+        raise ValueError(f"missing must be {DROP!r} or {CARRY!r}, not {missing!r}")
     carried = (
         members.join(date_grain(calendar.select("date", "next_date")), "date")
         .where(F.col("next_date").isNotNull())
@@ -59,14 +72,31 @@ def revaluation(members: DataFrame, calendar: DataFrame, bars: DataFrame) -> Dat
             F.col("n_members").alias("prev_n"),
         )
     )
-    prices = bars.select("date", "ticker", F.col("close").alias("cur_price"))
+    prices = bars.select("date", "ticker", known_price("close").alias("cur_price"))
     # Inner join first: the held side (dates x N) is the one AQE can broadcast,
     # so bars stream past it without a shuffle. A LEFT join straight onto bars
     # could only build on the bars side and would shuffle all of them.
     priced = carried.select("date", "ticker").join(prices, ["date", "ticker"])
-    return carried.join(priced, ["date", "ticker"], "left").withColumn(
-        "ratio", F.coalesce(safe_ratio("cur_price", "prev_price"), F.lit(0.0))
-    )
+    reval = with_ratio(carried.join(priced, ["date", "ticker"], "left"))
+    return reval if missing == DROP else carry_prices(reval, members, bars, lookback)
+
+
+def with_ratio(reval: DataFrame) -> DataFrame:
+    return reval.withColumn("ratio", F.coalesce(safe_ratio("cur_price", "prev_price"), F.lit(0.0)))
+
+
+def carry_prices(reval: DataFrame, members: DataFrame, bars: DataFrame, lookback: int = CARRY_DAYS) -> DataFrame:
+    """``reval`` with the last known price where the day has none.
+
+    Only the unpriced rows look back, and only bars of their tickers within the
+    bound are read into the join. Prices at which names are held count as known
+    (those of a seed have no bar).
+    """
+    known = bars.select("date", "ticker", known_price("close").alias("last_price")).unionByName(members.select("date", "ticker", F.col("price").alias("last_price")))
+    gaps = reval.where(F.col("cur_price").isNull()).select("date", "ticker")
+    found = asof_join(gaps, known, ["ticker"], "last_price", lookback).select("date", "ticker", "last_price")
+    filled = reval.join(found, ["date", "ticker"], "left")
+    return with_ratio(filled.withColumn("cur_price", F.coalesce("cur_price", "last_price"))).drop("last_price")
 
 
 def growth_by_date(reval: DataFrame) -> DataFrame:
@@ -214,6 +244,9 @@ class EqualWeightIndex:
     before ``bars``: that date starts the calendar and its members are the held
     names at their prices, whatever ``bars`` would select for it; they are ranked
     by ticker, as holdings carry no market cap.
+
+    ``missing`` and ``lookback`` say what a held name without a price is worth
+    (see ``revaluation``).
     """
 
     bars: DataFrame
@@ -223,6 +256,8 @@ class EqualWeightIndex:
     materialize: bool | str = False
     chain0: float = 1.0
     held: DataFrame | None = None
+    missing: str = DROP
+    lookback: int = CARRY_DAYS
 
     def __post_init__(self) -> None:
         if self.materialize not in (False, True, "derived"):
@@ -240,7 +275,11 @@ class EqualWeightIndex:
             dates, members = dates.union(seed.select("date")), members.unionByName(seed)
         self.calendar = small(trading_calendar(dates))
         self.members = small(members)
+        if self.missing not in (DROP, CARRY):
+            raise ValueError(f"missing must be {DROP!r} or {CARRY!r}, not {self.missing!r}")
         self.reval = small(revaluation(self.members, self.calendar, self.bars))
+        if self.missing == CARRY:  # on top of the written rows: the gaps are known then
+            self.reval = small(carry_prices(self.reval, self.members, self.bars, self.lookback))
         self.growth = growth_by_date(self.reval)
         self.perf = small(chain_performance(self.calendar, self.growth, self.base, self.notional, self.chain0))
         self.cons = holdings(self.members, self.perf)
@@ -283,6 +322,8 @@ def equal_weight_index(
     end: str | None = None,
     chain0: float = 1.0,
     held: DataFrame | None = None,
+    missing: str = DROP,
+    lookback: int = CARRY_DAYS,
 ) -> EqualWeightIndex:
     """The index over the trading dates of ``bars`` within [start, end] (both
     inclusive, either open); the first trading date in range is the base date.
@@ -291,4 +332,4 @@ def equal_weight_index(
         bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
-    return EqualWeightIndex(bars, n, base, notional, materialize, chain0, held)
+    return EqualWeightIndex(bars, n, base, notional, materialize, chain0, held, missing, lookback)

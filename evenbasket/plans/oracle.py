@@ -7,6 +7,7 @@ Spark plans. Views available: the raw test tables (lineitem, events, supplier, p
 from __future__ import annotations
 
 from ..functions.columns import SIG_TIERS
+from ..schemas import CARRY_DAYS
 from . import registry as R
 
 N = R.N_MEMBERS
@@ -79,19 +80,21 @@ def calendar(bars: str = "bars", name: str = "cal") -> str:
   FROM (SELECT DISTINCT date FROM {bars}) d)"""
 
 
-def index_ctes(n: int = N, bars: str = "bars", p: str = "", notional: int = 1000000) -> list[str]:
-    """members, cal, reval, growth, perf, cons, prevpos, log (names prefixed by ``p``)."""
+def index_ctes(n: int = N, bars: str = "bars", p: str = "", notional: int = 1000000, carry: int | None = None) -> list[str]:
+    """members, cal, reval, growth, perf, cons, prevpos, log (names prefixed by ``p``). ``carry``: days to look back for a price."""
     m, c = f"{p}members", f"{p}cal"
+    own = f"LEFT JOIN {bars} b ON b.date = k.next_date AND b.ticker = m.ticker"
+    if carry is not None:
+        own = f"ASOF LEFT JOIN (SELECT * FROM {bars} WHERE close IS NOT NULL) b ON b.ticker = m.ticker AND k.next_date >= b.date"
+    fresh = "" if carry is None else f"CASE WHEN k.next_date - b.date <= {carry} THEN b.close END AS close"
     return members(n, bars, m) + [
         calendar(bars, c),
         f"""{p}reval AS (
   SELECT k.next_date AS date, m.ticker, m.date AS prev_date, m.price AS prev_price,
-         m.n_members AS prev_n, b.close AS cur_price,
-         coalesce(b.close / nullif(m.price, 0), CAST(0 AS DOUBLE)) AS ratio
-  FROM {m} m
-  JOIN {c} k ON k.date = m.date
-  LEFT JOIN {bars} b ON b.date = k.next_date AND b.ticker = m.ticker
-  WHERE k.next_date IS NOT NULL)""",
+         m.n_members AS prev_n, m.close AS cur_price,
+         coalesce(m.close / nullif(m.price, 0), CAST(0 AS DOUBLE)) AS ratio
+  FROM (SELECT m.*, k.next_date, {fresh or "b.close"} FROM {m} m JOIN {c} k ON k.date = m.date {own} WHERE k.next_date IS NOT NULL) m
+  JOIN {c} k ON k.date = m.date)""",
         f"""{p}growth AS (
   SELECT date, sum(ratio) / count(*) AS growth, count(*) AS n_held,
          count(*) FILTER (WHERE cur_price IS NULL) AS n_missing
@@ -348,6 +351,20 @@ GROUP BY date"""
     q["performance_sparse"] = (
         with_(f1_bars("bars", "l_partkey", "P"), *index_ctes(R.SPARSE_MEMBERS)) + f"SELECT {PERF_COLS} FROM perf"
     )
+    sparse = with_(f1_bars("bars", "l_partkey", "P"), *index_ctes(R.SPARSE_MEMBERS, carry=CARRY_DAYS))
+    q["performance_carry"] = sparse + f"SELECT {PERF_COLS} FROM perf"
+    q["rebalancing_log_carry"] = sparse + f"SELECT {LOG_COLS} FROM log"
+    q["asof_marks"] = (
+        with_(f1_bars(), *members())
+        + f""", prices AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, printf('S%06d', l_suppkey) AS ticker,
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS close
+  FROM lineitem GROUP BY 1, 2),
+held AS (SELECT CAST(date + INTERVAL 1 MONTH AS DATE) AS date, ticker FROM members)
+SELECT h.date, h.ticker, CASE WHEN h.date - p.date <= {R.MARK_LOOKBACK} THEN p.close END AS mark_price,
+  CASE WHEN h.date - p.date <= {R.MARK_LOOKBACK} THEN p.date END AS mark_date
+FROM held h ASOF LEFT JOIN prices p ON p.ticker = h.ticker AND h.date >= p.date"""
+    )
     q["rebalancing_log"] = ix1 + f"SELECT {LOG_COLS} FROM log"
     q["rebalancing_log_daily"] = ix2 + f"SELECT {LOG_COLS} FROM log"
     q["additions"] = ix1 + f"SELECT {LOG_COLS} FROM log WHERE action_type = 'ADD'"

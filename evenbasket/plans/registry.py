@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_sig, ticker_code
 from ..operators import metrics as M
 from ..operators import price_average as V1
+from ..operators.asof import asof_join
 from ..operators.calendar import trading_calendar
 from ..operators.equal_weight import equal_weight_index
 from ..operators.quality import duplicate_keys, quality_report
@@ -25,10 +26,9 @@ from ..operators.report import export_report_text, index_report
 from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
-from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE
-from ..schemas import PERFORMANCE
+from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE
 from ..session import scratch_path
-from ..sources.bars import read_table, supplier_month_bars, supplier_universe, user_day_bars
+from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars, supplier_universe, user_day_bars
 from ..sources.landing import read_json_days, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
@@ -284,6 +284,28 @@ def q_performance_sparse(spark, sf):
     return perf_out(ix.performance())
 
 
+def q_performance_carry(spark, sf):
+    """The stress case under the carry policy: unpriced names keep their last known price."""
+    ix = equal_weight_index(_part_bars(spark, sf), n=SPARSE_MEMBERS, materialize=True, missing=CARRY)
+    return perf_out(ix.performance())
+
+
+def q_rebalancing_log_carry(spark, sf):
+    """Names that leave without a price are sold at the last known one."""
+    return log_out(equal_weight_index(_part_bars(spark, sf), n=SPARSE_MEMBERS, materialize=True, missing=CARRY).rebalancing_log())
+
+
+MARK_LOOKBACK = 2
+
+
+def q_asof_marks(spark, sf):
+    """Each month's members at the last daily price on or before the next month's first day, at most MARK_LOOKBACK days old."""
+    bars = f1(spark, sf)
+    held = select_members(bars, N_MEMBERS).select(F.add_months("date", 1).alias("date"), "ticker")
+    prices = supplier_day_prices(read_table(spark, sf, "lineitem"))
+    return asof_join(held, prices, ["ticker"], "close", MARK_LOOKBACK, out="mark_price", out_on="mark_date")
+
+
 def q_performance_daily(spark, sf):
     return perf_out(f2_index(spark, sf).performance())
 

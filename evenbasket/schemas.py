@@ -28,6 +28,10 @@ TRAILING_DAYS = 30
 # Daily refresh: back-fill depth for tickers never seen before.
 BACKFILL_MONTHS = 1
 # ---------------------------------------------------------------------------
+# What a held name without a price is worth: nothing, or its last known price
+# of at most so many days before.
+DROP, CARRY = "drop", "carry"
+CARRY_DAYS = 92
 
 STOCK_DATA = T.StructType(
     [

@@ -68,6 +68,13 @@ def supplier_month_bars(lineitem: DataFrame, key: str = "l_suppkey", prefix: str
     )
 
 
+def supplier_day_prices(lineitem: DataFrame) -> DataFrame:
+    """(date, ticker, close): a supplier's mean unit price on each ship date (exact sums); days without shipments have none."""
+    days = lineitem.select(F.to_date("l_shipdate").alias("date"), "l_suppkey", "l_extendedprice", "l_quantity")
+    days = days.groupBy("date", "l_suppkey").agg(cents_sum("l_extendedprice").alias("cents"), F.sum(F.rint("l_quantity").cast("bigint")).alias("units"))
+    return days.select("date", ticker_code("S", "l_suppkey").alias("ticker"), (F.col("cents").cast("double") / 100.0 / F.col("units").cast("double")).alias("close"))
+
+
 def user_day_bars(events: DataFrame) -> DataFrame:
     """Fixture F2: one bar per (day, user) of the event stream.
 
