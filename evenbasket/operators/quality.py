@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import STOCK_DATA_KEY
@@ -20,6 +20,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = ("ticker", "date")) -> D
     )
 
 
+def price_counts() -> dict[str, Column]:
+    """Aggregates over bars that count the prices which change index results."""
+    close = F.col("close").cast("double")
+    return {
+        "n_null_close": F.count_if(F.col("close").isNull()),
+        "n_nan_close": F.count_if(F.isnan(close)),
+        "n_nonpositive_close": F.count_if(~F.isnan(close) & (close <= 0)),
+        "n_null_market_cap": F.count_if(F.col("market_cap").isNull()),
+    }
+
+
 def quality_report(bars: DataFrame, keys: Sequence[str] = STOCK_DATA_KEY) -> DataFrame:
     """Per date: n_bars, n_tickers, n_duplicate_keys, n_null_close,
     n_nonpositive_close, n_null_market_cap. Two partial aggregations, no join of raw rows."""

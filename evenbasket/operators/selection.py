@@ -28,34 +28,43 @@ def eligible(bars: DataFrame) -> DataFrame:
     return bars.where(is_priced("close"))
 
 
-def select_members(bars: DataFrame, n: int) -> DataFrame:
-    """(date, ticker, price, market_cap, rank, n_members) for the top ``n`` per date.
+def _first_rows(rows: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first ``n`` rows of each date, with their ``rank``.
 
-    ``n_members`` is the actual count (fewer than ``n`` on thin days). Beyond
-    ``GROUP_LIMIT`` Spark plans no partial limit, so a date is first cut to its
-    top ``n`` in slices of tickers, and one task sees ``SLICES * n`` rows at most.
+    Beyond ``GROUP_LIMIT`` Spark plans no partial limit, so a date is first cut to its
+    first ``n`` in slices of tickers, and one task sees ``SLICES * n`` rows at most.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
-    by_date = Window.partitionBy("date")
-    rows = eligible(bars).select("date", "ticker", F.col("close").alias("price"), "market_cap")
     if n > GROUP_LIMIT:
-        slice_ = Window.partitionBy("date", F.pmod(F.xxhash64("ticker"), F.lit(SLICES))).orderBy(*rank_order())
+        slice_ = Window.partitionBy("date", F.pmod(F.xxhash64("ticker"), F.lit(SLICES))).orderBy(*order)
         rows = rows.withColumn("rank", F.row_number().over(slice_)).where(F.col("rank") <= n).drop("rank")
-    ranked = (
-        rows.withColumn("rank", F.row_number().over(by_date.orderBy(*rank_order())))
-        .where(F.col("rank") <= n)
-    )
-    return ranked.select(
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy("date").orderBy(*order))).where(F.col("rank") <= n)
+
+
+def select_members(bars: DataFrame, n: int) -> DataFrame:
+    """(date, ticker, price, market_cap, rank, n_members) for the top ``n`` per date.
+
+    ``n_members`` is the actual count (fewer than ``n`` on thin days).
+    """
+    rows = eligible(bars).select("date", "ticker", F.col("close").alias("price"), "market_cap")
+    return _first_rows(rows, n, rank_order()).select(
         "date",
         "ticker",
         "price",
         "market_cap",
         F.col("rank").cast("bigint").alias("rank"),
-        F.count(F.lit(1)).over(by_date).alias("n_members"),
+        F.count(F.lit(1)).over(Window.partitionBy("date")).alias("n_members"),
     )
 
 
+def members_and_dates(bars: DataFrame, n: int) -> DataFrame:
+    """(date, ticker, price, is_member): the top ``n`` per date, and on dates with fewer eligible names
+    some that can't be held, so that every date of ``bars`` has a row: members and calendar in one pass."""
+    rows = bars.select("date", "ticker", F.col("close").alias("price"), "market_cap", is_priced("close").alias("is_member"))
+    return _first_rows(rows, n, [F.col("is_member").desc(), *rank_order()]).select("date", "ticker", "price", "is_member")
+
+
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """1-based position of every row under a total ``order``, computed without
     moving all rows into one task.

@@ -31,13 +31,30 @@ def upsert(
     has one row a key and is not aggregated: with a small batch, AQE broadcasts
     its keys and existing rows never move.
     """
+    return replace_keys(existing, last_rows(batch, existing.columns, keys, order), keys)
+
+
+def replace_keys(existing: DataFrame, new: DataFrame, keys: Sequence[str] = STOCK_DATA_KEY) -> DataFrame:
+    """``existing`` without the keys of ``new``, and ``new`` (one row a key)."""
     cols = existing.columns
+    return existing.join(new.select(*keys), list(keys), "left_anti").select(*cols).unionByName(new.select(*cols))
+
+
+def last_rows(
+    batch: DataFrame,
+    cols: Sequence[str],
+    keys: Sequence[str] = STOCK_DATA_KEY,
+    order: str | Column | None = None,
+    counts: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The winning row of each key of a batch, with ``counts`` (aggregates over all rows of the key) beside it."""
     values = [c for c in cols if c not in keys]
     seq = F.lit(0).cast("bigint") if order is None else (F.col(order) if isinstance(order, str) else order).cast("bigint")
     version = F.struct(seq.alias("_seq"), *[F.col(c).alias(c) for c in values])
-    last = batch.select(*keys, version.alias("_v")).groupBy(*keys).agg(F.max("_v").alias("_w"))
-    new = last.select(*[F.col(k) for k in keys], *[F.col(f"_w.{c}").alias(c) for c in values]).select(*cols)
-    return existing.join(new.select(*keys), list(keys), "left_anti").select(*cols).unionByName(new)
+    counts = counts or {}
+    last = batch.groupBy(*keys).agg(F.max(version).alias("_w"), *[c.alias(name) for name, c in counts.items()])
+    kept = {c: F.col(c) if c in keys else F.col(f"_w.{c}").alias(c) for c in cols}
+    return last.select(*kept.values(), *counts)
 
 
 def delete_by_key(df: DataFrame, doomed: DataFrame, keys: Sequence[str] = STOCK_DATA_KEY) -> DataFrame:

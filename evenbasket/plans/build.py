@@ -1,9 +1,7 @@
 """Jobs that write the index tables.
 
-`build_index_tables` is an idempotent full recompute: the shared inputs are
-checkpointed once (see EqualWeightIndex), then each table is written with one
-set-oriented overwrite in the order constituents -> log -> performance, so a
-reader that sees a performance date also finds its holdings and trades.
+Every job writes constituents, log and performance as one run (see
+sources/runs.py): readers see the state before until all three are there.
 """
 
 from __future__ import annotations
@@ -12,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.equal_weight import EqualWeightIndex, equal_weight_index
-from ..operators.report import index_report, ranked_holdings
 from ..operators.price_average import composition_changes, price_average_index
+from ..operators.report import index_report, ranked_holdings
 from ..operators.upsert import refresh_batch
-from ..schemas import BASE_INDEX_VALUE, DEFAULT_MEMBERS, INITIAL_NOTIONAL, STOCK_DATA_KEY, TRAILING_DAYS
+from ..schemas import BASE_INDEX_VALUE, CARRY_DAYS, DEFAULT_MEMBERS, DROP, INITIAL_NOTIONAL, STOCK_DATA_KEY, TRAILING_DAYS
+from ..sources.runs import Run
 from ..sources.tables import TableStore
 
 
@@ -25,25 +24,30 @@ def build_index_tables(
     n: int = DEFAULT_MEMBERS,
     base: float = BASE_INDEX_VALUE,
     notional: float = INITIAL_NOTIONAL,
+    missing: str = DROP,
+    lookback: int = CARRY_DAYS,
 ) -> EqualWeightIndex:
     """(Re)compute constituents, rebalancing_log and performance from `stock_data`."""
     stored = bars is None
     bars = store.read("stock_data") if stored else bars
     # a stored table is rescanned cheaply (pruned columns, date partitions);
     # derived bars are checkpointed once
-    ix = equal_weight_index(bars, n, base, notional, materialize="derived" if stored else True)
-    store.overwrite("constituents", ix.constituents())
-    store.overwrite("rebalancing_log", ix.rebalancing_log())
-    store.overwrite("performance", ix.performance())
+    ix = equal_weight_index(bars, n, base, notional, materialize="derived" if stored else True, missing=missing, lookback=lookback)
+    run = Run(store, "build", {"n": n, "base": base, "notional": notional, "missing": missing, "lookback": lookback})
+    run.write("constituents", ix.constituents())
+    run.write("rebalancing_log", ix.rebalancing_log())
+    run.write("performance", ix.performance())
+    run.publish()
     return ix
 
 
 def extend_index_tables(
     store: TableStore,
     bars: DataFrame | None = None,
-    n: int = DEFAULT_MEMBERS,
+    n: int | None = None,
     base: float | None = None,
     notional: float | None = None,
+    missing: str | None = None,
 ) -> EqualWeightIndex | None:
     """Continue the stored index over the trading dates after its last date.
 
@@ -53,68 +57,79 @@ def extend_index_tables(
     corrected close there changes nothing that was held; names enter when the
     next date is selected. To let a correction take effect, use
     ``recompute_index_tables`` from its date. The work grows with the new
-    dates, not with the history.
+    dates, not with the history (performance, a row per date, is written whole).
 
-    ``base`` and ``notional`` are those of the stored index; given ones must
-    agree with it, and ``n`` must not be below the stored holdings' count.
-    Returns None when there is nothing new; builds from scratch when the store
-    is empty.
+    Parameters are those of the stored index; ``base``, ``notional`` and
+    ``missing``, if given, must agree with it, and ``n`` must not be below the
+    stored holdings' count. Returns None when there is nothing new; builds from
+    scratch when the store is empty.
     """
-    performance = store.read("performance")
-    state = performance.orderBy(F.col("date").desc()).limit(1).collect()  # one row
+    return _continue(store, None, bars, n, base, notional, missing)
+
+
+def recompute_index_tables(store: TableStore, day: str, bars: DataFrame | None = None, n: int | None = None) -> EqualWeightIndex | None:
+    """Compute the index anew from ``day`` on (after corrected bars), on top of what is stored before it.
+
+    Until the new dates are published, readers see the old ones. Dates from
+    ``day`` on that have no bars any more go.
+    """
+    return _continue(store, day, bars, n, None, None, None)
+
+
+def _continue(store: TableStore, day: str | None, bars: DataFrame | None, n: int | None, base: float | None, notional: float | None, missing: str | None) -> EqualWeightIndex | None:
+    now = store.pinned()
+    own = {"n": DEFAULT_MEMBERS, "base": BASE_INDEX_VALUE, "notional": INITIAL_NOTIONAL, "missing": DROP, "lookback": CARRY_DAYS} | now.parameters
+    given = {k: v for k, v in {"base": base, "notional": notional, "missing": missing}.items() if v is not None}
+    n = own["n"] if n is None else n
+    kept = now.read("performance")
+    if day is not None:
+        kept = kept.where(F.col("date") < F.lit(day).cast("date"))
+    state = kept.orderBy(F.col("date").desc()).limit(1).collect()  # one row
     if not state:
-        return build_index_tables(store, bars, n, BASE_INDEX_VALUE if base is None else base, INITIAL_NOTIONAL if notional is None else notional)
-    last, first = state[0], performance.orderBy("date").limit(1).collect()[0]
-    for name, given, stored in (("base", base, first.index_value), ("notional", notional, first.total_notional)):
-        if given is not None and given != stored:
-            raise ValueError(f"the stored index was built with {name} {stored}, not {given}")
-    held = store.read("constituents").where(F.col("date") == F.lit(last.date))
+        own |= given
+        return build_index_tables(store, bars, n, own["base"], own["notional"], own["missing"], own["lookback"])
+    for name, value in given.items():
+        if value != own[name]:
+            raise ValueError(f"the stored index was built with {name} {own[name]}, not {value}")
+    last = state[0]
+    held = now.read("constituents").where(F.col("date") == F.lit(last.date))
     if (count := held.count()) > n:
         raise ValueError(f"the stored index holds {count} names on {last.date}, more than n = {n}")
     from_store = bars is None
     bars = store.read("stock_data") if from_store else bars
     recent = bars.where(F.col("date") > F.lit(last.date))
-    if recent.isEmpty():
+    since = str(recent.agg(F.min("date")).first()[0] or "")
+    if day is not None:
+        since = min(day, since or day)
+    elif not since:
         return None
     # Seeded at the stored level itself; a level of 0 stays 0 (and has no return).
     lost = last.index_value == 0
     ix = equal_weight_index(
         recent,
         n,
-        first.index_value if lost else last.index_value,
-        first.total_notional if lost else last.total_notional,
+        own["base"] if lost else last.index_value,
+        own["notional"] if lost else last.total_notional,
         materialize="derived" if from_store else True,
         chain0=0.0 if lost else 1.0,
         held=held,
+        missing=own["missing"],
+        lookback=own["lookback"],
     )
     later = F.col("date") > F.lit(last.date)
-    # The (date, ticker) tables replace exactly the new date partitions, so a run
-    # that died after writing them is simply repeated. Performance is appended
-    # last: its last date is the resume point.
-    store.put_partitions("constituents", ix.constituents().where(later))
-    store.put_partitions("rebalancing_log", ix.rebalancing_log().where(later))
-    store.append("performance", ix.performance().where(later))
+    run = Run(store, "extend" if day is None else "recompute", own | {"n": n}, since)
+    run.write("constituents", ix.constituents().where(later))
+    run.write("rebalancing_log", ix.rebalancing_log().where(later))
+    run.write("performance", kept.unionByName(ix.performance().where(later)))
+    run.publish()
     return ix
 
 
-def recompute_index_tables(store: TableStore, day: str, bars: DataFrame | None = None, n: int = DEFAULT_MEMBERS) -> EqualWeightIndex | None:
-    """Compute the index anew from ``day`` on (after corrected bars), on top of what is stored before it.
-
-    Performance is cut back first: if the run dies, repeating it, or extending,
-    replaces the dates after the remaining ones.
-    """
-    first = store.read("performance").orderBy("date").limit(1).collect()
-    base, notional = (first[0].index_value, first[0].total_notional) if first else (BASE_INDEX_VALUE, INITIAL_NOTIONAL)
-    for name in ("performance", "rebalancing_log", "constituents"):
-        gone = store.read(name).where(F.col("date") >= F.lit(day).cast("date")).select("date").distinct()
-        store.delete(name, gone, ["date"])
-    return extend_index_tables(store, bars, n, base, notional)
-
-
 def stored_report(store: TableStore) -> DataFrame:
     """The index report of the stored tables: a row per date, members in rank order."""
-    members = ranked_holdings(store.read("constituents"), store.read("stock_data"))
-    return index_report(store.read("performance"), members)
+    now = store.pinned()  # one state for both tables
+    members = ranked_holdings(now.read("constituents"), store.read("stock_data"))
+    return index_report(now.read("performance"), members)
 
 
 def build_legacy_tables(

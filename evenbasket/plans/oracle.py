@@ -333,6 +333,19 @@ FROM (
     count(*) FILTER (WHERE market_cap IS NULL) AS null_market_cap
   FROM bars GROUP BY date, ticker) k
 GROUP BY date"""
+    )
+    q["quality_observed"] = (
+        with_(f2_bars())
+        + f""", batch AS (
+  SELECT date, ticker, close, market_cap FROM bars
+  UNION ALL
+  SELECT date, ticker, CASE volume % 3 WHEN 0 THEN 0.0 WHEN 1 THEN CAST('NaN' AS DOUBLE) END, CASE WHEN volume % 2 = 0 THEN market_cap END
+  FROM bars WHERE date >= {d(R.UPSERT_FROM)})
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, count(*) FILTER (WHERE n > 1) AS n_duplicate_keys,
+  count(*) FILTER (WHERE date IS NULL OR ticker IS NULL) AS n_null_keys, CAST(sum(n1) AS BIGINT) AS n_null_close, CAST(sum(n2) AS BIGINT) AS n_nan_close,
+  CAST(sum(n3) AS BIGINT) AS n_nonpositive_close, CAST(sum(n4) AS BIGINT) AS n_null_market_cap
+FROM (SELECT date, ticker, count(*) AS n, count(*) FILTER (WHERE close IS NULL) AS n1, count(*) FILTER (WHERE isnan(close)) AS n2,
+  count(*) FILTER (WHERE NOT isnan(close) AND close <= 0) AS n3, count(*) FILTER (WHERE market_cap IS NULL) AS n4 FROM batch GROUP BY date, ticker) k"""
     )
     q["initial_constituents"] = ix1 + f"SELECT {CONS_COLS} FROM cons WHERE prev_date IS NULL"
     q["constituents"] = ix1 + f"SELECT {CONS_COLS} FROM cons"
@@ -462,6 +475,17 @@ UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
     q["table_upsert"] = q["upsert_bars"]
     q["performance_extended"] = q["performance"]
+    later = f"date >= {d(R.EXTEND_FROM)}"
+    q["run_manifest"] = ix1 + "UNION ALL ".join(
+        f"""SELECT CAST({k} AS BIGINT) AS seq, '{kind}' AS kind, CAST({N} AS BIGINT) AS n, min(date) AS first_date, max(date) AS last_date, count(*) AS n_constituents,
+  (SELECT count(*) FROM log WHERE {part}) AS n_log, (SELECT count(*) FROM perf WHERE {upto}) AS n_performance
+FROM cons WHERE {part}
+"""
+        for k, kind, part, upto in ((1, "build", f"NOT {later}", f"NOT {later}"), (2, "extend", later, "true"))
+    )
+    corrected = f"""bars AS (
+  SELECT date, ticker, open, high, low, CASE WHEN {later} THEN high ELSE close END AS close, volume, market_cap FROM bars0)"""
+    q["performance_recomputed"] = with_(f1_bars("bars0"), corrected, *index_ctes()) + f"SELECT {PERF_COLS} FROM perf"
     # The reference values what it holds: a name back-filled later has no bars before it was landed.
     landed = f"""bars AS (
   SELECT * FROM bars0 WHERE date >= {d(R.EXTEND_FROM)}

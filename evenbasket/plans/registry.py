@@ -26,13 +26,13 @@ from ..operators.report import export_report_text, index_report
 from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
-from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE
-from ..session import scratch_path
+from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES
+from ..session import reliable_checkpoint, scratch_path
 from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars, supplier_universe, user_day_bars
 from ..sources.landing import read_json_days, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
-from .build import build_index_tables, build_legacy_tables, extend_index_tables, stored_report
+from .build import build_index_tables, build_legacy_tables, extend_index_tables, recompute_index_tables, stored_report
 
 # Fixed query parameters.
 N_MEMBERS = 20
@@ -67,6 +67,11 @@ def f2_index(spark: SparkSession, sf: str, n: int = N_MEMBERS):
     return equal_weight_index(f2(spark, sf), n=n, materialize=True)
 
 
+def kept_bars(bars: DataFrame) -> DataFrame:
+    """Bars written once, for queries that read them several times besides the index."""
+    return reliable_checkpoint(bars, "bars", large=True)
+
+
 # -- output shaping ----------------------------------------------------------
 
 def bars_out(df: DataFrame) -> DataFrame:
@@ -216,20 +221,36 @@ def q_upsert_bars(spark, sf):
     return bars_out(upsert(bars, upsert_batch(bars), order="_seq"))
 
 
+def quality_batch(bars: DataFrame) -> DataFrame:
+    """The bars, and those from UPSERT_FROM on once more with unknown, zero or no-number closes and unknown market caps."""
+    close = F.when(F.col("volume") % 3 == 0, F.lit(0.0)).when(F.col("volume") % 3 == 1, F.lit(float("nan")))
+    again = bars.where(F.col("date") >= F.lit(UPSERT_FROM).cast("date"))
+    return bars.unionByName(again.withColumn("close", close).withColumn("market_cap", F.when(F.col("volume") % 2 == 0, F.col("market_cap"))))
+
+
+def q_quality_observed(spark, sf):
+    """What a keyed upsert measured of its batch while it was written: no job of its own."""
+    store = _store(spark)
+    store.upsert("stock_data", quality_batch(f2(spark, sf)), keys=["date", "ticker"])
+    names = ["n_rows", "n_keys", "n_duplicate_keys", "n_null_keys", "n_null_close", "n_nan_close", "n_nonpositive_close", "n_null_market_cap"]
+    seen = store.observed["stock_data"]
+    return spark.createDataFrame([tuple(seen[k] for k in names)], ", ".join(f"{k} long" for k in names))  # one row of counts
+
+
 def q_upsert_by_date(spark, sf):
-    bars = f2(spark, sf)
-    existing = equal_weight_index(bars, n=N_MEMBERS).performance().where(
+    bars = kept_bars(f2(spark, sf))
+    existing = equal_weight_index(bars, n=N_MEMBERS, materialize="derived").performance().where(
         F.col("date") <= F.lit(BY_DATE_EXISTING_TO).cast("date")
     )
-    batch = equal_weight_index(bars, n=N_MEMBERS // 2).performance().where(
+    batch = equal_weight_index(bars, n=N_MEMBERS // 2, materialize="derived").performance().where(
         F.col("date") >= F.lit(BY_DATE_SPLIT).cast("date")
     )
     return perf_out(upsert(existing, batch, keys=["date"]))
 
 
 def q_delete_by_key(spark, sf):
-    bars = f1(spark, sf)
-    removed = equal_weight_index(bars, n=N_MEMBERS).rebalancing_log().where(F.col("action_type") == ACTION_REMOVE)
+    bars = kept_bars(f1(spark, sf))
+    removed = equal_weight_index(bars, n=N_MEMBERS, materialize="derived").rebalancing_log().where(F.col("action_type") == ACTION_REMOVE)
     return bars_out(delete_by_key(bars, removed))
 
 
@@ -383,10 +404,8 @@ def q_change_counts(spark, sf):
 
 
 def q_summary_metrics_simple(spark, sf):
-    bars = f1(spark, sf)
-    out = V1.simple_metrics(
-        V1.price_average_index(bars, N_MEMBERS), V1.composition_changes(bars, N_MEMBERS, align="trading")
-    )
+    v1 = V1.PriceAverageIndex(f1(spark, sf), N_MEMBERS, align="trading")
+    out = V1.simple_metrics(v1.performance(), v1.changes())
     return out.select(
         F.round("cumulative_return", 10).alias("cumulative_return"),
         F.round("avg_daily_return", 10).alias("avg_daily_return"),
@@ -511,6 +530,34 @@ def q_performance_extended(spark, sf):
     return perf_out(_extended_store(spark, sf).read("performance"))
 
 
+def q_run_manifest(spark, sf):
+    """The runs that make up a store's state after building and continuing: dates and row counts by run."""
+    store = _store(spark)
+    bars = f1(spark, sf)
+    cut = F.lit(EXTEND_FROM).cast("date")
+    store.overwrite("stock_data", bars.where(F.col("date") < cut))
+    build_index_tables(store, n=N_MEMBERS)
+    store.upsert("stock_data", bars.where(F.col("date") >= cut), keys=["date", "ticker"])
+    states = [store.pinned().manifest]
+    extend_index_tables(store)
+    states.append(store.pinned().manifest)
+    rows = [(m["seq"], m["kind"], m["parameters"]["n"], min(d), max(d), *(m["rows"][t] for t in RUN_TABLES)) for m in states if (d := m["dates"][m["run"]]["constituents"])]
+    made = spark.createDataFrame(rows, "seq long, kind string, n long, first_date string, last_date string, n_constituents long, n_log long, n_performance long")
+    return made.withColumns({c: F.to_date(c) for c in ("first_date", "last_date")})
+
+
+def q_performance_recomputed(spark, sf):
+    """Closes from EXTEND_FROM on are corrected after the index was built; it is computed anew from that date."""
+    store = _store(spark)
+    bars = f1(spark, sf)
+    store.overwrite("stock_data", bars)
+    build_index_tables(store, n=N_MEMBERS)
+    fixed = bars.where(F.col("date") >= F.lit(EXTEND_FROM).cast("date")).withColumn("close", F.col("high"))
+    store.upsert("stock_data", fixed, keys=["date", "ticker"])
+    recompute_index_tables(store, EXTEND_FROM)
+    return perf_out(store.read("performance"))
+
+
 WORKFLOW_NOTIONAL = 5_000_000.0
 
 

@@ -123,3 +123,6 @@ TABLES = {
     "index_composition_log": (COMPOSITION_LOG, []),
     "index_performance": (INDEX_PERFORMANCE, []),
 }
+
+#: Tables that a run of the index writes together (sources/runs.py).
+RUN_TABLES = ["constituents", "rebalancing_log", "performance"]

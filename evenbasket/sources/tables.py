@@ -1,5 +1,9 @@
 """Table store: DDL, appends, keyed upserts and exports for the index tables.
 
+Every write measures what it writes (rows, dates, doubtful prices) by an
+observation on the written frame itself, so nothing is evaluated a second time;
+``TableStore.observed`` has the last write's figures by table.
+
 Tables are parquet folders under one root (a shared folder on a cluster),
 partitioned by ``date`` where they are (date, ticker) grain, and registered in
 the session catalog under a namespace so SQL can reach them.
@@ -7,17 +11,20 @@ the session catalog under a namespace so SQL can reach them.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import upsert
-from ..schemas import TABLES
+from ..operators.quality import price_counts
+from ..operators.upsert import last_rows, replace_keys
+from ..schemas import RUN_TABLES, TABLES
 from ..session import scratch_path
+from .runs import Snapshot
 
 
 def _for_write(df: DataFrame, parts: Sequence[str]) -> DataFrame:
@@ -37,6 +44,7 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.namespace = namespace
+        self.observed: dict[str, dict] = {}
 
     # -- DDL -------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -46,14 +54,18 @@ class TableStore:
         """CREATE DATABASE / TABLE IF NOT EXISTS for the known tables."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.namespace}`")
         for name in names or TABLES:
-            schema, parts = TABLES[name]
-            self._mkdirs(self.path(name))  # an empty table reads as zero rows
-            part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{self.namespace}`.`{name}` ({ddl_columns(schema)}) "
-                f"USING parquet{part} LOCATION '{self.path(name)}'"
-            )
-            self.sync(name)  # partitions that the folder has already
+            if not self.exists(name):
+                self._create(name)
+                self.sync(name)  # partitions that the folder has already
+
+    def _create(self, name: str) -> None:
+        schema, parts = TABLES[name]
+        self.make_folder(self.path(name))  # an empty table reads as zero rows
+        part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS `{self.namespace}`.`{name}` ({ddl_columns(schema)}) "
+            f"USING parquet{part} LOCATION '{self.path(name)}'"
+        )
 
     def exists(self, name: str | None = None) -> bool:
         if name is None:
@@ -68,103 +80,133 @@ class TableStore:
             self.spark.sql(f"DROP TABLE IF EXISTS `{self.namespace}`.`{name}`")
         # The tables have a LOCATION, so the catalog leaves their folders.
         for table in TABLES if name is None else [name]:
-            fs, path = self._fs_path(self.path(table))
-            fs.delete(path, True)
+            self.remove_path(self.path(table))
+            if table in RUN_TABLES:
+                self.remove_path(self.runs_path(table))
+        if name is None:
+            self.remove_path(f"{self.root}/manifest")
 
     # -- reads / writes ------------------------------------------------------
     def read(self, name: str) -> DataFrame:
+        """Rows of a table. An index table is read as of the last published run; to read several
+        as of the same one, use ``pinned().read``. Partitions of other tables come from the catalog,
+        so nothing is listed but what a query asks for."""
+        if name in RUN_TABLES and (now := self.pinned()).manifest:
+            return now.read(name)
         schema, _ = TABLES[name]
+        if self.exists(name):
+            return self.spark.table(f"`{self.namespace}`.`{name}`").select(*schema.fieldNames())
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
 
-    def _partitions(self, name: str) -> list[str]:
-        return TABLES[name][1]
+    def pinned(self) -> Snapshot:
+        """The state that the last published run left."""
+        files = self.manifest_files()
+        return Snapshot(self, json.loads(self.file_text(files[-1])) if files else None)
+
+    def write_files(self, df: DataFrame, name: str, path: str, dynamic: bool = False, mode: str = "overwrite", measure: dict[str, Column] | None = None) -> dict:
+        """Write rows of a table to a folder, and return what was measured on the way: n_rows, the dates of a
+        partitioned table (one value a date), and ``measure``. The measuring stands directly before the writer,
+        in the last stage, whose tasks count once however often they are tried."""
+        _, parts = TABLES[name]
+        seen = Observation()
+        figures = {"n_rows": F.count(F.lit(1)), **({"dates": F.collect_set(parts[0])} if parts else {}), **(measure or {})}
+        w = _for_write(df, parts).observe(seen, *[c.alias(k) for k, c in figures.items()]).write.mode(mode)
+        if dynamic:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        (w.partitionBy(*parts) if parts else w).parquet(path)
+        return dict(seen.get)
+
+    def _put(self, name: str, df: DataFrame, **how) -> dict:
+        if name in RUN_TABLES and self.manifest_files():
+            raise ValueError(f"{name} is written by runs (see sources/runs.py)")
+        cols = TABLES[name][0].fieldNames()
+        self.observed[name] = seen = self.write_files(df.select(*cols), name, self.path(name), measure=self._measures(name), **how)
+        return seen
+
+    @staticmethod
+    def _measures(name: str) -> dict[str, Column]:
+        return price_counts() if name == "stock_data" else {}
 
     def append(self, name: str, df: DataFrame) -> None:
-        schema, parts = TABLES[name]
-        w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("append")
-        (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
-        self.refresh(name, df)
+        self.refresh(name, self._put(name, df, mode="append").get("dates"))
 
     def overwrite(self, name: str, df: DataFrame) -> None:
         """Replace the whole table (idempotent full recompute)."""
-        schema, parts = TABLES[name]
-        w = _for_write(df.select(*schema.fieldNames()), parts).write.mode("overwrite")
-        (w.partitionBy(*parts) if parts else w).parquet(self.path(name))
+        self._put(name, df)
         self.sync(name)
 
     def put_partitions(self, name: str, df: DataFrame) -> None:
         """Replace exactly the partitions present in ``df`` (dynamic overwrite);
         re-running with the same rows gives the same table."""
-        schema, parts = TABLES[name]
-        if not parts:
+        if not TABLES[name][1]:
             raise ValueError(f"{name} is not partitioned")
-        (
-            _for_write(df.select(*schema.fieldNames()), parts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .parquet(self.path(name))
-        )
-        self.refresh(name, df)
+        self.refresh(name, self._put(name, df, dynamic=True)["dates"])
 
     def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], order: str | None = None, keep_stage: bool = False) -> str:
         """Keyed upsert into a stored table; returns the staging path used (deleted after the swap unless ``keep_stage``).
 
-        The batch is staged first, so it is evaluated once; a NULL in a key is
-        refused. Only the partitions the batch touches are read (semi join on
-        the partition column, pruned at the scan); the merged partitions are
-        staged in the checkpoint folder, then swapped in with a dynamic
+        The batch is reduced to its winning rows and staged first, so it is
+        evaluated once; what it holds (rows, duplicate and NULL keys, doubtful
+        prices, over all its rows) is measured on the way (``observed``), and a
+        NULL in a key is refused. Only the partitions the batch touches are read
+        (their dates are known then, so the scan is pruned); the merged partitions
+        are staged in the checkpoint folder, then swapped in with a dynamic
         partition overwrite. A failed swap names the staged copy, from which
         ``swap_in`` completes it. Tables without partitions are rewritten whole
         from the staged copy.
         """
+        if name in RUN_TABLES and self.manifest_files():
+            raise ValueError(f"{name} is written by runs (see sources/runs.py)")
         schema, parts = TABLES[name]
         cols = schema.fieldNames()
         given = scratch_path(self.spark, f"batch-{name}-{uuid.uuid4().hex}")
-        batch.select(*cols, *([order] if order else [])).write.parquet(given)
-        batch = self.spark.read.parquet(given)
+        counts = {"n_rows": F.count(F.lit(1)), **self._measures(name)}
+        reduced = last_rows(batch, cols, keys, order, {f"_{k}": c for k, c in counts.items()})
         null_key = reduce(or_, [F.col(k).isNull() for k in keys])
-        if not batch.where(null_key).isEmpty():
-            self._remove(given)
+        figures = {
+            **{k: F.coalesce(F.sum(f"_{k}"), F.lit(0)) for k in counts},
+            "n_keys": F.count(F.lit(1)),
+            "n_duplicate_keys": F.count_if(F.col("_n_rows") > 1),
+            "n_null_keys": F.coalesce(F.sum(F.when(null_key, F.col("_n_rows"))), F.lit(0)),
+            **({"dates": F.collect_set(parts[0])} if parts else {}),
+        }
+        seen = Observation()
+        reduced.observe(seen, *[c.alias(k) for k, c in figures.items()]).select(*cols).write.parquet(given)
+        measured = dict(seen.get)
+        if measured["n_null_keys"]:
+            self.remove_path(given)
             raise ValueError(f"{name}: the batch has NULL in its key ({', '.join(keys)})")
+        new = self.spark.read.schema(schema).parquet(given)
         current = self.read(name)
         if parts:
-            touched = batch.select(*parts).distinct()
-            current = current.join(touched, list(parts), "left_semi")
-        merged = upsert(current, batch, keys, order)
+            current = current.where(F.col(parts[0]).isin(measured["dates"]))
+        merged = replace_keys(current, new, keys)
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
-        w = _for_write(merged.select(*cols), parts).write.mode("overwrite")
-        (w.partitionBy(*parts) if parts else w).parquet(stage)
-        self._remove(given)
+        self.write_files(merged.select(*cols), name, stage)
+        self.remove_path(given)
+        self.observed[name] = measured
         try:
-            self.swap_in(name, stage)
+            self.swap_in(name, stage, measured.get("dates"))
         except Exception as error:
             error.add_note(f"the merged rows are staged in {stage}; swap_in({name!r}, that path) completes the upsert")
             raise
         if not keep_stage:
-            self._remove(stage)
+            self.remove_path(stage)
         return stage
 
-    def swap_in(self, name: str, stage: str) -> None:
+    def swap_in(self, name: str, stage: str, dates: list | None = None) -> None:
         """Move a staged merge into the table: the touched partitions of a
         partitioned table (dynamic overwrite), or the whole table otherwise.
         Idempotent, so it also completes an upsert whose swap failed."""
         schema, parts = TABLES[name]
         staged = self.spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
-        if parts:
-            (
-                _for_write(staged, parts)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts)
-                .parquet(self.path(name))
-            )
-        else:
-            staged.write.mode("overwrite").parquet(self.path(name))
-        self.refresh(name, staged)
+        seen = self.write_files(staged, name, self.path(name), dynamic=bool(parts))
+        self.refresh(name, dates or seen.get("dates"))
 
     def delete(self, name: str, doomed: DataFrame, keys: Sequence[str]) -> None:
         """DELETE rows whose key is in ``doomed``; rewrites only the touched partitions."""
+        if name in RUN_TABLES and self.manifest_files():
+            raise ValueError(f"{name} is written by runs (see sources/runs.py)")
         schema, parts = TABLES[name]
         cols = schema.fieldNames()
         current = self.read(name)
@@ -172,27 +214,57 @@ class TableStore:
         scope = current.join(touched, list(parts), "left_semi") if parts else current
         kept = scope.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
         stage = scratch_path(self.spark, f"stage-{name}-{uuid.uuid4().hex}")
-        w = _for_write(kept.select(*cols), parts).write.mode("overwrite")
-        (w.partitionBy(*parts) if parts else w).parquet(stage)
+        left = self.write_files(kept.select(*cols), name, stage).get("dates")
         staged = self.spark.read.schema(schema).parquet(stage).select(*cols)
         if parts:
-            # partitions emptied by the delete are rewritten as empty
-            emptied = touched.join(staged.select(*parts).distinct(), list(parts), "left_anti")
-            for row in emptied.collect():  # partition values only: at most the touched dates
-                self._remove(f"{self.path(name)}/" + "/".join(f"{p}={row[p]}" for p in parts))
+            # partitions emptied by the delete are removed
+            for row in touched.where(~F.col(parts[0]).isin(left)).collect():  # partition values only: at most the touched dates
+                self.remove_path(f"{self.path(name)}/" + "/".join(f"{p}={row[p]}" for p in parts))
                 if self.exists(name):
-                    self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` DROP IF EXISTS {self._spec(row, parts)}")
-            (
-                _for_write(staged, parts)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts)
-                .parquet(self.path(name))
-            )
-        else:
-            staged.write.mode("overwrite").parquet(self.path(name))
+                    self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` DROP IF EXISTS {self._spec(row[parts[0]], parts)}")
+        self.write_files(staged, name, self.path(name), dynamic=bool(parts))
         self.refresh(name)
-        self._remove(stage)
+        self.remove_path(stage)
+
+    # -- files ---------------------------------------------------------------
+    def runs_path(self, name: str) -> str:
+        return f"{self.root}/runs/{name}"
+
+    def manifest_files(self) -> list[str]:
+        """Published states, the last one at the end."""
+        return [f"{self.root}/manifest/{f}" for f in sorted(self.list_folder(f"{self.root}/manifest")) if f.endswith(".json")]
+
+    def list_folder(self, path: str) -> list[str]:
+        fs, p = self._fs_path(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+    def file_text(self, path: str) -> str:
+        fs, p = self._fs_path(path)
+        stream = fs.open(p)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put_new_file(self, path: str, text: str) -> None:
+        """Write a small file and move it into place at once; refused if there is one already."""
+        fs, target = self._fs_path(path)
+        fs.mkdirs(target.getParent())
+        _, part = self._fs_path(f"{self.root}/manifest/_{uuid.uuid4().hex}")
+        stream = fs.create(part)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        sc = self.spark.sparkContext
+        files = sc._jvm.org.apache.hadoop.fs
+        try:  # without the option to overwrite
+            files.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), fs.makeQualified(target), sc._gateway.new_array(files.Options.Rename, 0))
+        except Exception as error:
+            fs.delete(part, False)
+            if fs.exists(target):
+                raise RuntimeError(f"{path} exists: another run was published meanwhile; run again") from error
+            raise
 
     def _fs_path(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -200,35 +272,56 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(conf), p
 
-    def _mkdirs(self, path: str) -> None:
+    def make_folder(self, path: str) -> None:
         fs, p = self._fs_path(path)
         fs.mkdirs(p)
 
-    def _remove(self, path: str) -> None:
+    def remove_path(self, path: str) -> None:
         fs, p = self._fs_path(path)
         fs.delete(p, True)
 
     @staticmethod
-    def _spec(row, parts: Sequence[str]) -> str:
-        return "PARTITION (" + ", ".join(f"`{p}` = '{row[p]}'" for p in parts) + ")"
+    def _spec(value, parts: Sequence[str]) -> str:
+        return f"PARTITION (`{parts[0]}` = '{value}')"
 
+    # -- catalog ---------------------------------------------------------------
     def sync(self, name: str) -> None:
-        """Register exactly the partitions that the table's folder has (lists the whole folder)."""
-        if self.exists(name):
-            full = f"`{self.namespace}`.`{name}`"
+        """Make the catalog's partitions those of the last published run, or those that the table's folder has (lists the whole folder)."""
+        if name in RUN_TABLES and (now := self.pinned()).manifest:
+            self.register(name, now)
+        elif self.exists(name):
             if TABLES[name][1]:
-                self.spark.sql(f"MSCK REPAIR TABLE {full} SYNC PARTITIONS")
+                self.spark.sql(f"MSCK REPAIR TABLE `{self.namespace}`.`{name}` SYNC PARTITIONS")
             self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
 
-    def refresh(self, name: str, written: DataFrame | None = None) -> None:
-        """Register the partitions of the ``written`` rows; nothing else is listed."""
+    def register(self, name: str, now: Snapshot, before: Snapshot | None = None) -> None:
+        """Point the catalog's table at the folders of a state (only those that changed since ``before``)."""
+        if not self.exists(name):
+            return
+        full, parts = f"`{self.namespace}`.`{name}`", TABLES[name][1]
+        if not parts:
+            self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{self.runs_path(name)}/run={now.manifest['run']}'")
+        else:
+            old, new = before.dates(name) if before and before.manifest else {}, now.dates(name)
+            if not old:  # nothing known of the catalog's partitions
+                self.spark.sql(f"DROP TABLE {full}")
+                self._create(name)
+            gone = [self._spec(d, parts) for d, place in old.items() if new.get(d) != place]
+            come = [f"{self._spec(d, parts)} LOCATION '{place}'" for d, place in new.items() if old.get(d) != place]
+            for k in range(0, len(gone), 500):
+                self.spark.sql(f"ALTER TABLE {full} DROP IF EXISTS {', '.join(gone[k : k + 500])}")
+            for k in range(0, len(come), 500):
+                self.spark.sql(f"ALTER TABLE {full} ADD IF NOT EXISTS {' '.join(come[k : k + 500])}")
+        self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
+
+    def refresh(self, name: str, dates: Sequence | None = None) -> None:
+        """Register the partitions of the written ``dates``; nothing else is listed."""
         if not self.exists(name):
             return
         parts = TABLES[name][1]
-        if parts and written is not None:
-            specs = [self._spec(row, parts) for row in written.select(*parts).distinct().collect()]  # dates written
-            for k in range(0, len(specs), 500):
-                self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` ADD IF NOT EXISTS {' '.join(specs[k : k + 500])}")
+        specs = [self._spec(d, parts) for d in dates or []] if parts else []
+        for k in range(0, len(specs), 500):
+            self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` ADD IF NOT EXISTS {' '.join(specs[k : k + 500])}")
         self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
 
 

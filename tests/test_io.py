@@ -12,6 +12,7 @@ from evenbasket.plans.build import build_index_tables, build_legacy_tables, dail
 from evenbasket.plans.registry import upsert_batch
 from evenbasket.sources.bars import daily_bars, monthly_bars, supplier_universe, read_table
 from evenbasket.sources.landing import read_json_days, read_universe, read_wide_bars, write_json_days
+from evenbasket.sources.runs import Run
 from evenbasket.sources.tables import TableStore, export_csv, read_csv_export
 from evenbasket.schemas import PERFORMANCE
 from evenbasket.streaming.ingest import ingest_available
@@ -160,7 +161,7 @@ def test_extend_equals_full_rebuild(spark, tmp_path, split):
     if split == "2001-10-01":
         # a previous attempt died after writing the new holdings: the re-run must not duplicate them
         first = equal_weight_index(bars, n=5).constituents().where(F.col("date") >= split)
-        store.put_partitions("constituents", first)
+        Run(store, "extend", store.pinned().parameters, split).write("constituents", first)
     assert extend_index_tables(store, n=5) is not None
     assert extend_index_tables(store, n=5) is None  # nothing new the second time
     full = equal_weight_index(bars, n=5)
