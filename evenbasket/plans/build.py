@@ -6,14 +6,20 @@ sources/runs.py): readers see the state before until all three are there.
 
 from __future__ import annotations
 
+import datetime as dt
+from bisect import bisect_right
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.calendar import date_grain
 from ..operators.equal_weight import EqualWeightIndex, equal_weight_index
-from ..operators.price_average import composition_changes, price_average_index
+from ..operators.price_average import PriceAverageIndex
 from ..operators.report import index_report, ranked_holdings
 from ..operators.upsert import refresh_batch
 from ..schemas import BASE_INDEX_VALUE, CARRY_DAYS, DEFAULT_MEMBERS, DROP, INITIAL_NOTIONAL, STOCK_DATA_KEY, TRAILING_DAYS
+from ..session import reliable_checkpoint
 from ..sources.runs import Run
 from ..sources.tables import TableStore
 
@@ -141,8 +147,48 @@ def build_legacy_tables(
 ) -> None:
     """The v1 tables: price-average index and composition log over the trailing window."""
     bars = store.read("stock_data") if bars is None else bars
-    store.overwrite("index_performance", price_average_index(bars, n, days))
-    store.overwrite("index_composition_log", composition_changes(bars, n, align, days))
+    index = PriceAverageIndex(bars, n, align, days)
+    store.overwrite("index_performance", index.performance())
+    store.overwrite("index_composition_log", index.changes())
+
+
+def refresh_legacy_tables(
+    store: TableStore,
+    touched: Sequence,
+    n: int = DEFAULT_MEMBERS,
+    days: int | None = TRAILING_DAYS,
+    align: str = "calendar",
+) -> list[str]:
+    """Bring the v1 tables up to date after bars of the ``touched`` dates changed (came, were corrected or went); the dates whose log was computed anew.
+
+    A date's members depend on its own bars alone, and its log on them and on the
+    date compared with it. So only the touched dates and their successors are
+    computed, from the bars of these dates and of those before them; the result is
+    that of a rebuild. Dates that fell out of the trailing window go. The dates come from
+    the catalog's partitions, not from bars. (A date on which nothing can be held has no
+    row and is computed each time.)
+    """
+    dates = store.dates("stock_data")
+    day = {d: dt.date.fromisoformat(d) for d in [*dates, *map(str, touched)]}
+    least = str(day[dates[-1]] - dt.timedelta(days=days)) if dates and days is not None else ""
+    window = [d for d in dates if d >= least]
+    if align == "trading":
+        before, after = dict(zip(dates[1:], dates, strict=False)), lambda d: next((x for x in dates[bisect_right(dates, d) :]), None)
+    else:
+        before, after = {d: str(day[d] - dt.timedelta(days=1)) for d in dates}, lambda d: str(day[d] + dt.timedelta(days=1))
+    own = {str(d) for d in touched}
+    known = {str(r[0]) for r in store.read("index_performance").select("date").collect()}  # a row per date
+    # A window whose last dates went reaches farther back: dates without a row are computed too.
+    wanted = sorted((own | {x for d in own if (x := after(d))} | (set(window) - known)) & set(window))
+    bars = store.read("stock_data").where(F.col("date").isin([day.get(d) or dt.date.fromisoformat(d) for d in {*wanted, *(before.get(d) for d in wanted)} - {None}]))
+    index = PriceAverageIndex(bars, n, align)
+    only = store.spark.createDataFrame([(day[d],) for d in wanted], "date date")
+    stored = store.read("index_performance").where(F.col("date").isin([day[d] for d in window]) & ~F.col("date").isin([day[d] for d in wanted]))
+    performance = reliable_checkpoint(stored.unionByName(index.performance().join(date_grain(only), "date", "left_semi")))  # a row per date
+    gone = [d for d in store.dates("index_composition_log") if d not in window]
+    store.replace_dates("index_composition_log", index.changes(only), sorted({*wanted, *gone, *(own - set(window))}))
+    store.overwrite("index_performance", performance)
+    return wanted
 
 
 def daily_refresh(store: TableStore, landed: DataFrame, universe: DataFrame, as_of: str) -> str:

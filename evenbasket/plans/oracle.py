@@ -475,6 +475,33 @@ UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
     q["table_upsert"] = q["upsert_bars"]
     q["performance_extended"] = q["performance"]
+    q["payload_quarantine"] = (
+        with_(f2_bars())
+        + """SELECT ticker, date, open, close, market_cap, NULL::VARCHAR AS reason FROM bars WHERE volume % 6 < 3
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CASE WHEN volume % 6 = 3 THEN 'not JSON' WHEN volume % 6 = 5 THEN 'no records'
+  WHEN volume % 12 = 4 THEN 'no ticker' ELSE 'no date' END FROM bars WHERE volume % 6 >= 3"""
+    )
+    window = f"date BETWEEN {d(R.SQL_AS_OF)} - INTERVAL {R.SQL_DAYS} DAY AND {d(R.SQL_AS_OF)}"
+    q["sql_index_metrics"] = (
+        ix1
+        + f"""SELECT {rnd('(arg_max(index_value, date) / arg_min(index_value, date) - 1) * 100', 8)} AS cumulative_return,
+  {rnd('avg(daily_return) * 100', 8)} AS avg_daily_return, (SELECT count(DISTINCT date) FROM log) AS change_days,
+  (SELECT count(DISTINCT date) FROM log WHERE action_type IN ('ADD', 'REMOVE')) AS composition_change_days
+FROM perf WHERE {window}"""
+    )
+    q["sql_performance_window"] = (
+        ix1
+        + f"""SELECT date, {sig('index_value')} AS index_value, {rnd('daily_return', 10)} AS daily_return,
+  date IN (SELECT date FROM log) AS is_change_day FROM perf WHERE {window}"""
+    )
+    q["sql_composition_on"] = ix1 + f"SELECT ticker, weight, price, {sig('notional')} AS notional FROM cons WHERE date = DATE '1998-03-01'"
+    q["sql_changes_between"] = ix1 + f"SELECT {LOG_COLS} FROM log WHERE date BETWEEN DATE '1997-11-01' AND DATE '1998-02-01'"
+    touched = "date IN (" + ", ".join(map(d, R.LEGACY_TOUCHED)) + ")"
+    changed = f"""bars AS (
+  SELECT date, ticker, open, high, low, CASE WHEN {touched} THEN low ELSE close END AS close, volume,
+    CASE WHEN {touched} THEN CAST(1e9 AS DOUBLE) / market_cap ELSE market_cap END AS market_cap FROM bars0)"""
+    q["legacy_refreshed_log"] = with_(f1_bars("bars0"), changed, *v1_changes("trading")) + "SELECT * FROM changes"
+    q["legacy_refreshed_index"] = with_(f1_bars("bars0"), changed, *members()) + f"SELECT date, {sig('avg(price)')} AS index_value FROM members GROUP BY date"
     later = f"date >= {d(R.EXTEND_FROM)}"
     q["run_manifest"] = ix1 + "UNION ALL ".join(
         f"""SELECT CAST({k} AS BIGINT) AS seq, '{kind}' AS kind, CAST({N} AS BIGINT) AS n, min(date) AS first_date, max(date) AS last_date, count(*) AS n_constituents,

@@ -29,10 +29,11 @@ from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
 from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars, supplier_universe, user_day_bars
-from ..sources.landing import read_json_days, write_json_days
+from ..sources.landing import land_payloads, read_json_days, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
-from .build import build_index_tables, build_legacy_tables, extend_index_tables, recompute_index_tables, stored_report
+from .build import build_index_tables, build_legacy_tables, extend_index_tables, recompute_index_tables, refresh_legacy_tables, stored_report
+from .sql import register_functions
 
 # Fixed query parameters.
 N_MEMBERS = 20
@@ -489,6 +490,89 @@ def q_json_landing(spark, sf):
     return read_json_days(spark, path)
 
 
+def payload_lines(bars: DataFrame) -> DataFrame:
+    """Each bar as a vendor response of one of six shapes by its volume: three good ones, a broken line, a record that can't be used, and no record."""
+    day = F.date_format("date", "yyyy-MM-dd").alias("date")
+    record = F.struct("ticker", day, "open", "close", "market_cap")
+    numbered = F.struct(F.col("open").cast("string").alias("1. open"), F.col("close").cast("string").alias("4. close"), F.col("market_cap").alias("Market_Cap"))
+    bad = F.struct(F.when(F.col("volume") % 12 != 4, F.col("ticker")).alias("ticker"), F.lit("2024-13-01").alias("date"), "open", "close")
+    whole = F.to_json(F.struct(F.array(record).alias("results")))
+    line = (
+        F.when(F.col("volume") % 6 == 0, whole)
+        .when(F.col("volume") % 6 == 1, F.to_json(F.struct(record.alias("results"))))
+        .when(F.col("volume") % 6 == 2, F.to_json(F.struct("ticker", F.create_map(F.date_format("date", "yyyy-MM-dd"), numbered).alias("series"))))
+        .when(F.col("volume") % 6 == 3, F.substring(whole, 1, 40))
+        .when(F.col("volume") % 6 == 4, F.to_json(F.struct(F.array(bad).alias("results"))))
+        .otherwise(F.lit('{"results": []}'))
+    )
+    return bars.select(line.alias("value"))
+
+
+def q_payload_quarantine(spark, sf):
+    """Landed responses of all shapes: every line is a bar or a refused row with its reason."""
+    path = _scratch(spark, "payloads")
+    payload_lines(f2(spark, sf)).write.text(path)
+    bars, refused = land_payloads(spark, path)
+    names = ["ticker", "date", "open", "close", "market_cap"]
+    lost = [F.lit(None).cast(t).alias(c) for c, t in zip(names, ("string", "date", "double", "double", "double"), strict=True)]
+    return bars.select(*names, F.lit(None).cast("string").alias("reason")).unionByName(refused.select(*lost, "reason"))
+
+
+SQL_AS_OF, SQL_DAYS = "1998-06-15", 120
+
+
+def _sql_store(spark, sf):
+    store = _extended_store(spark, sf)
+    register_functions(store)
+    return store
+
+
+def q_sql_index_metrics(spark, sf):
+    _sql_store(spark, sf)
+    out = spark.sql(f"SELECT * FROM index_metrics(DATE'{SQL_AS_OF}', {SQL_DAYS})")
+    return out.select(F.round("cumulative_return", 8).alias("cumulative_return"), F.round("avg_daily_return", 8).alias("avg_daily_return"), "change_days", "composition_change_days")
+
+
+def q_sql_performance_window(spark, sf):
+    _sql_store(spark, sf)
+    out = spark.sql(f"SELECT * FROM performance_window(DATE'{SQL_AS_OF}', {SQL_DAYS})")
+    return out.select("date", round_sig("index_value").alias("index_value"), F.round("daily_return", 10).alias("daily_return"), "is_change_day")
+
+
+def q_sql_composition_on(spark, sf):
+    _sql_store(spark, sf)
+    out = spark.sql("SELECT * FROM composition_on(DATE'1998-03-01')")
+    return out.select("ticker", "weight", "price", round_sig("notional").alias("notional"))
+
+
+def q_sql_changes_between(spark, sf):
+    _sql_store(spark, sf)
+    return log_out(spark.sql("SELECT * FROM changes_between(DATE'1997-11-01', DATE'1998-02-01')"))
+
+
+LEGACY_TOUCHED = ["1996-03-01", "1998-12-01"]
+
+
+def _legacy_refreshed(spark, sf):
+    """The v1 tables, brought up to date after the bars of two dates changed."""
+    store = _store(spark)
+    store.overwrite("stock_data", f1(spark, sf))
+    build_legacy_tables(store, n=N_MEMBERS, days=None, align="trading")
+    touched = F.col("date").isin([F.lit(d).cast("date") for d in LEGACY_TOUCHED])
+    changed = store.read("stock_data").where(touched).withColumns({"market_cap": 1e9 / F.col("market_cap"), "close": F.col("low")})
+    store.upsert("stock_data", changed, keys=["date", "ticker"])
+    refresh_legacy_tables(store, store.observed["stock_data"]["dates"], n=N_MEMBERS, days=None, align="trading")
+    return store
+
+
+def q_legacy_refreshed_log(spark, sf):
+    return _legacy_refreshed(spark, sf).read("index_composition_log")
+
+
+def q_legacy_refreshed_index(spark, sf):
+    return _legacy_refreshed(spark, sf).read("index_performance").select("date", round_sig("index_value").alias("index_value"))
+
+
 def _store(spark):
     store = TableStore(spark, _scratch(spark, "store"), f"eb_{uuid.uuid4().hex[:12]}")
     store.create_all()

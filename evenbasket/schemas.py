@@ -120,7 +120,7 @@ TABLES = {
     "constituents": (CONSTITUENTS, ["date"]),
     "performance": (PERFORMANCE, []),
     "rebalancing_log": (REBALANCING_LOG, ["date"]),
-    "index_composition_log": (COMPOSITION_LOG, []),
+    "index_composition_log": (COMPOSITION_LOG, ["date"]),
     "index_performance": (INDEX_PERFORMANCE, []),
 }
 

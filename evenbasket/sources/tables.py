@@ -98,6 +98,14 @@ class TableStore:
             return self.spark.table(f"`{self.namespace}`.`{name}`").select(*schema.fieldNames())
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
 
+    def dates(self, name: str) -> list[str]:
+        """The dates that a partitioned table has, in order, from its partitions (no rows are read)."""
+        part = TABLES[name][1][0]
+        if name in RUN_TABLES and (now := self.pinned()).manifest:
+            return sorted(now.dates(name))
+        folders = [r[0] for r in self.spark.sql(f"SHOW PARTITIONS `{self.namespace}`.`{name}`").collect()] if self.exists(name) else self.list_folder(self.path(name))
+        return sorted(f.removeprefix(f"{part}=") for f in folders if f.startswith(f"{part}="))
+
     def pinned(self) -> Snapshot:
         """The state that the last published run left."""
         files = self.manifest_files()
@@ -142,6 +150,22 @@ class TableStore:
             raise ValueError(f"{name} is not partitioned")
         self.refresh(name, self._put(name, df, dynamic=True)["dates"])
 
+    def replace_dates(self, name: str, df: DataFrame, dates: Sequence[str]) -> None:
+        """Make ``df`` all the rows that a partitioned table has on ``dates``; its rows are of these dates, and dates without any go."""
+        written = {str(d) for d in self._put(name, df, dynamic=True)["dates"]}
+        self.refresh(name, sorted(written))
+        self._drop_dates(name, [d for d in dates if d not in written])
+
+    def _drop_dates(self, name: str, dates: Sequence) -> None:
+        parts = TABLES[name][1]
+        for day in dates:
+            self.remove_path(f"{self.path(name)}/{parts[0]}={day}")
+        specs = [self._spec(d, parts) for d in dates]
+        if self.exists(name):
+            for k in range(0, len(specs), 500):
+                self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` DROP IF EXISTS {', '.join(specs[k : k + 500])}")
+            self.spark.catalog.refreshTable(f"{self.namespace}.{name}")
+
     def upsert(self, name: str, batch: DataFrame, keys: Sequence[str], order: str | None = None, keep_stage: bool = False) -> str:
         """Keyed upsert into a stored table; returns the staging path used (deleted after the swap unless ``keep_stage``).
 
@@ -218,10 +242,7 @@ class TableStore:
         staged = self.spark.read.schema(schema).parquet(stage).select(*cols)
         if parts:
             # partitions emptied by the delete are removed
-            for row in touched.where(~F.col(parts[0]).isin(left)).collect():  # partition values only: at most the touched dates
-                self.remove_path(f"{self.path(name)}/" + "/".join(f"{p}={row[p]}" for p in parts))
-                if self.exists(name):
-                    self.spark.sql(f"ALTER TABLE `{self.namespace}`.`{name}` DROP IF EXISTS {self._spec(row[parts[0]], parts)}")
+            self._drop_dates(name, [r[0] for r in touched.where(~F.col(parts[0]).isin(left)).collect()])  # at most the touched dates
         self.write_files(staged, name, self.path(name), dynamic=bool(parts))
         self.refresh(name)
         self.remove_path(stage)
