@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from evenbasket.llm import packing, quality, toxicity  # noqa: E402
+from evenbasket.llm import packing, quality, quality_rules, toxicity  # noqa: E402
 from evenbasket.llm.language_model import learn_weights, score_documents, unpack_sorted, pack_sorted  # noqa: E402
 from evenbasket.llm.pii import find_spans, sanitise, span_list  # noqa: E402
 from evenbasket.llm.quality_rules import judge_quality  # noqa: E402
@@ -87,9 +87,10 @@ def test_sanitise_keeps_rows_columns_and_nulls(spark, tmp_path):
 def test_statistics_match(spark, tmp_path):
     rnd = random.Random(2)
     rows = list(enumerate(brute.TEXTS + [" ".join(rnd.choice("abc") for _ in range(rnd.randint(1, 80))) for _ in range(200)]))
-    docs = stored(brute.documents(spark, [*rows, (None, None)]).drop("n_words", "kept"), tmp_path)
+    docs = stored(brute.documents(spark, [*rows, (None, None)]), tmp_path)
     text = dict(rows) | {None: None}
-    got = judge_quality(docs, ["doc_id"]).collect()
+    got = judge_quality(docs, ["doc_id", "kept", "n_words", "rule"]).collect()
+    assert got[0].__fields__[:3] == ["doc_id", "rule", "n_words"]
     assert len(got) == len(rows) + 1
     for x in got:
         n, *_, repeats = want = brute.statistics(text[x.doc_id])
@@ -101,12 +102,103 @@ def test_outliers_go_and_clean_texts_stay(spark, tmp_path):
     rnd = random.Random(4)
     clean = [(i, " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(rnd.randint(60, 400)))) for i in range(400)]
     junk = [(1000 + i, " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) + "$$$" for _ in range(100))) for i in range(40)]
-    kept = {x.doc_id for x in judge_quality(stored(brute.documents(spark, clean + junk), tmp_path).drop("kept", "n_words"), ["doc_id"]).where("kept").collect()}
+    kept = {x.doc_id for x in judge_quality(stored(brute.documents(spark, clean + junk), tmp_path), ["doc_id"]).where("kept").collect()}
     assert kept == {i for i, _ in clean}
 
 
 def test_quality_rules_on_an_empty_table(spark):
-    assert judge_quality(brute.documents(spark, []).drop("kept", "n_words"), ["doc_id"]).count() == 0
+    assert judge_quality(brute.documents(spark, []), ["doc_id", "kept"]).count() == 0
+
+
+def plain_mcd(x):
+    """Squared distances from the estimate of least determinant, by concentration steps in NumPy."""
+    floors = np.diag([v**2 for v in quality_rules.FLOORS.values()])
+    quantile = lambda v, q: np.sort(v)[max(math.ceil(q * len(v)) - 1, 0)]
+    far = lambda m, c: np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+    middle = np.array([quantile(v, 0.5) for v in x.T])
+    spread = np.diag([(1.4826 * quantile(abs(v - m), 0.5)) ** 2 for v, m in zip(x.T, middle, strict=True)]) + floors
+    starts = [(middle, spread), (np.array([quantile(v, 0.25) for v in x.T]), spread), (x.mean(0), np.cov(x.T, bias=True) + floors)]
+
+    def step(m, c):
+        d = far(m, c)
+        near = x[d <= quantile(d, quality_rules.SUPPORT)]
+        return near.mean(0), np.cov(near.T, bias=True) + floors
+
+    for _ in range(quality_rules.FIRST_STEPS):
+        starts = [step(*s) for s in starts]
+    m, c = min(starts, key=lambda s: np.linalg.slogdet(s[1])[1])
+    while True:
+        after = step(m, c)
+        if not np.linalg.slogdet(after[1])[1] < np.linalg.slogdet(c)[1] - quality_rules.FALL:
+            d = far(m, c)
+            return d / max(quantile(d, 0.5) / quality_rules.MEDIAN_CHI2, 1.0)
+        m, c = after
+
+
+def plain_vector(r):
+    rate = lambda a, b: math.asin(math.sqrt(min(1.0, a / b)))
+    return [math.log(r.word_chars / r.n_words), rate(r.n_symbols, r.word_chars), rate(r.n_dup_lines, r.n_lines + 10), rate(r.n_repeat_words, r.n_words), math.log(r.n_words)]
+
+
+def odd_texts(n, seed, first=0):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9))) + rnd.choice(["", "", "", "$", ""])
+    out = []
+    for i in range(n):
+        words = [word() + "$$$" * (i % 25 == 24) for _ in range(rnd.randint(60, 300))]
+        for _ in range(rnd.randrange(4)):
+            k = rnd.randrange(len(words) - 4)
+            words += words[k : k + 4]
+        out.append((first + i, "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9)) + "\nagain" * rnd.choice([0, 0, 0, 2, 9])))
+    return out
+
+
+@pytest.mark.parametrize("seed, lang", [(1, "en"), (2, None)])
+def test_distances_are_those_of_a_plain_estimate(spark, tmp_path, seed, lang):
+    rows = odd_texts(260, seed)
+    docs = stored(brute.documents(spark, rows).withColumn("lang", F.lit(lang).cast("string")), tmp_path)
+    got = judge_quality(docs, ["doc_id"]).where("NOT base_failed").collect()
+    want = plain_mcd(np.array([plain_vector(r) for r in got]))
+    assert np.allclose([r.distance for r in got], want, rtol=1e-6)
+    assert 0 < sum(not r.kept for r in got) < 60 and all(r.kept == (r.distance <= quality_rules.CUTOFF) for r in got)
+
+
+def test_small_groups_are_judged_by_their_language(spark, tmp_path):
+    """A group of one text, of 199 and of 201: no size makes a difference by itself."""
+    rows = odd_texts(400, 5)
+    docs = brute.documents(spark, rows).withColumn("lang", F.lit("en"))
+    found = []
+    for n in (1, 199, 201, 400):
+        own = docs.withColumn("source", F.when(F.col("doc_id") < n, "a").otherwise("b"))
+        found.append({r.doc_id: r.distance for r in judge_quality(stored(own, tmp_path / str(n)), ["doc_id"]).where("NOT base_failed").collect()})
+    near = [abs(found[1][i] - found[2][i]) / (1 + found[2][i]) for i in found[1]]
+    assert max(near) < 0.2 and found[0].keys() == found[3].keys()
+    assert abs(found[0][0] - found[3][0]) < 0.1 * (1 + found[3][0])
+
+
+def test_mostly_repeated_lines_go_and_clean_texts_stay(spark, tmp_path):
+    """A text of 230 lines, 199 of them copies of an earlier one, with 200 of its 440 words repeated."""
+    rnd = random.Random(6)
+    words = iter(f"w{k:06d}{'x' * rnd.randrange(5)}" for k in range(10**6))
+    take = lambda n: " ".join(next(words) for _ in range(n))
+    clean = [(i, "\n".join(take(rnd.randint(5, 12)) for _ in range(rnd.randint(8, 40)))) for i in range(300)]
+    junk = [(1000, "\n".join([take(8) for _ in range(30)] + ["same"] * 200))]
+    long = [(1001, "\n".join(take(12) for _ in range(2500))), (1002, "\n".join([take(10) for _ in range(20)] + ["one line twice"] * 2))]
+    kept = {r.doc_id for r in judge_quality(stored(brute.documents(spark, clean + junk + long), tmp_path), ["doc_id"]).where("kept").collect()}
+    assert kept == {i for i, _ in clean + long}
+
+
+def test_many_groups_are_joined_in_slices(spark, tmp_path, monkeypatch):
+    docs = stored(brute.documents(spark, odd_texts(120, 7)).withColumn("source", F.when(F.col("doc_id") < 20, F.col("doc_id").cast("string"))), tmp_path)
+    want = {r.doc_id: r.distance for r in judge_quality(docs, ["doc_id"]).collect()}
+    monkeypatch.setattr(quality_rules, "BROADCAST_GROUPS", 3)
+    got = {r.doc_id: r.distance for r in judge_quality(docs, ["doc_id"]).collect()}
+    assert got == {i: d if d is None else pytest.approx(d, rel=1e-9) for i, d in want.items()}
+
+
+def test_chi_squared_quantiles():
+    for beyond, degrees, x in ((0.5, 5, 4.35146), (0.05, 5, 11.0705), (1e-5, 5, 30.8562), (0.01, 1, 6.6349), (0.05, 9, 16.919)):
+        assert quality_rules.chi_squared_quantile(beyond, degrees) == pytest.approx(x, rel=1e-4)
 
 
 @pytest.fixture(scope="module")
