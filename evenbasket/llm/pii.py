@@ -1,17 +1,22 @@
 """Personal data and what gives it away. DataFrame functions only.
 
 Patterns find the protected entities (email, ip, card, phone). Words around
-their mentions may reveal them as well: over the corpus, a term t discloses an
-entity e as far as it raises the odds of e, measured by the pointwise mutual
-information of the two in shares of e's own information:
-
-    disclosure = PMI(e; t) / IC(e) = 1 + log P(e | t) / IC(e),   IC(e) = -log P(e)
-
-P(e | t) counts different contexts (copies of a passage are one) and is
-smoothed towards P(e), so a single context is weak evidence and not none.
-Spellings of one entity are one, and an email's domain is an entity of its own
-that all its addresses mention. Terms that disclose enough are generalised to a mark or removed in the documents that mention
-the entity.
+their mentions may reveal them as well. What a term t leaves unknown of an entity
+e is the information that is still in e for one who has read t,
+
+    rest(e | t) = -log2 P(e | t)    bits,
+
+and what it gives away is the pointwise mutual information, log2 P(e | t) / P(e).
+A term discloses an entity if it gives away at least ``GAIN`` bits and leaves at
+most ``GENERALISE`` of them; if it leaves at most ``REMOVE``, it is removed, else
+generalised to a mark, in the documents that mention the entity. The measure does
+not depend on the size of the corpus: a word that stands by one entity only,
+in one context, leaves one bit with any number of documents.
+
+P(e | t) counts different contexts (copies of a passage are one) against the other
+documents that have t, and is smoothed by one context of P(e), so a single
+context is weak evidence and not none. Spellings of one entity are one, and an
+email's domain is an entity of its own that all its addresses mention.
 """
 
 from __future__ import annotations
@@ -34,8 +39,12 @@ TERM = "term"
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", TERM: "[TERM]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
-#: Characters of context on each side, weight of the prior P(e) in contexts, and disclosures from which a term is generalised or removed.
-CONTEXT, PRIOR, GENERALISE, REMOVE = 80, 1.0, 0.9, 0.98
+#: Characters of context on each side, and weight of the prior P(e) in contexts.
+CONTEXT, PRIOR = 80, 1.0
+#: Bits that a term gives away at least, and bits that it leaves at most, to be generalised and to be removed.
+GAIN, GENERALISE, REMOVE = 1.0, 1.0, 0.415  # 0.415 bits: P(e | t) of three in four
+#: Slices in which the mentions of one entity are joined with its terms; a mail provider may have a third of them.
+SLICES = 16
 #: Terms are runs of at least three letters, lower-cased.
 TERM_PATTERN = r"\p{L}{3,}"
 
@@ -114,24 +123,25 @@ def _key(doc_id: str, text: str) -> list[Column]:
 
 
 def disclosing_terms(mentions: DataFrame, documents: DataFrame, scratch: Scratch, text: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of the terms that disclose an entity; mentions (__id, __key, entity, context, terms)."""
+    """(entity, term, rest) of the terms that disclose an entity, rest in bits; mentions (__id, __key, entity, context, terms)."""
     total = documents.count()
     pairs = mentions.select("__id", "__key", "entity", "context", F.explode("terms").alias("term"))
-    near = pairs.groupBy("entity", "term", "__id", "__key").agg(F.min("context").alias("least"), F.max("context").alias("most"))
-    both = near.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("least").alias("contexts"))
-    found = scratch.keep(both)
-    if found.isEmpty():
-        return found.select("entity", "term", F.lit(0.0).alias("disclosure"))
+    near = pairs.groupBy("entity", "term", "__id", "__key").agg(F.min("context").alias("least"))
+    found = scratch.keep(near.groupBy("entity", "term").agg(F.count("*").alias("both"), F.count_distinct("least").alias("contexts")))
     terms = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), F.lit(TERM_PATTERN), F.lit(0)))
     # Counted in full, then joined: a join of all words would make a row for each occurrence of a frequent term.
     seen = documents.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("seen"))
-    mentioned = mentions.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("mentioned"))
-    known = found.join(seen, "term").join(mentioned, "entity")
-    least = F.least(F.lit(1.0), F.col("mentioned") / F.lit(float(max(total, 2))))
     elsewhere = F.greatest(F.col("seen") - F.col("both"), F.lit(0))
-    share = (F.col("contexts") + PRIOR * least) / (F.col("contexts") + elsewhere + PRIOR)
-    disclosure = F.when(least < 1, 1 - F.log(share) / F.log(least)).otherwise(F.lit(0.0))
-    return scratch.keep(known.select("entity", "term", disclosure.alias("disclosure")).where(F.col("disclosure") >= GENERALISE))
+    known = found.join(seen, "term").select("entity", "term", "contexts", elsewhere.alias("elsewhere"))
+    # However frequent the entity is, P(e | t) is at most that of a prior of 1; most terms of a frequent entity go here.
+    known = known.where((F.col("contexts") + PRIOR) / (F.col("contexts") + F.col("elsewhere") + PRIOR) >= 2.0**-GENERALISE)
+    mentioned = mentions.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("mentioned"))
+    usual = F.least(F.lit(1.0), F.col("mentioned") / F.lit(float(max(total, 2))))
+    share = (F.col("contexts") + PRIOR * usual) / (F.col("contexts") + F.col("elsewhere") + PRIOR)
+    judged = known.join(mentioned, "entity").select("entity", "term", (-F.log2(share)).alias("rest"), F.log2(share / usual).alias("gain"))
+    kept = scratch.keep(judged.where((F.col("rest") <= GENERALISE) & (F.col("gain") >= GAIN)).drop("gain"))
+    scratch.drop(found)
+    return kept
 
 
 def entities_of(span: Column) -> Column:
@@ -170,9 +180,14 @@ def _analyse(documents: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     if terms.isEmpty():
         return spans, None
     entities = spans.where(F.size("__base") > 0).select("__id", "__key", F.explode(F.array_distinct(F.flatten(F.transform("__base", entities_of)))).alias("entity"))
-    of_doc = entities.join(terms, "entity").groupBy("__id", "__key", "term").agg(F.max("disclosure").alias("disclosure"))
-    of_doc = of_doc.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("term")).alias("__terms"), F.sort_array(F.collect_list(F.when(F.col("disclosure") >= REMOVE, F.col("term")))).alias("__removed"))
-    return spans, scratch.keep(of_doc)
+    # An entity's documents are dealt into slices, and its terms are repeated for each.
+    entities = entities.withColumn("slice", F.pmod(F.xxhash64("__id", "__key"), F.lit(SLICES).cast("long")))
+    dealt = terms.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    of_doc = entities.join(dealt, ["entity", "slice"]).groupBy("__id", "__key", "term").agg(F.min("rest").alias("rest"))
+    of_doc = of_doc.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("term")).alias("__terms"), F.sort_array(F.collect_list(F.when(F.col("rest") <= REMOVE, F.col("term")))).alias("__removed"))
+    kept = scratch.keep(of_doc)
+    scratch.drop(terms)
+    return spans, kept
 
 
 def with_term_spans(rows: DataFrame) -> DataFrame:
@@ -192,8 +207,10 @@ def span_list(spans: Column) -> Column:
 def find_spans(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, base (spans of the patterns) and terms (spans that the corpus adds) of each row.
 
-    A null or empty text has none. Rows that repeat are found alike and count
-    once for the terms if they share id and text. Other columns are not read.
+    A null or empty text has none; an empty table gives no rows. Texts are read
+    whole, whatever their length. Rows that repeat are found alike and count once
+    for the terms if they share id and text. Other columns, whatever their names,
+    are not read.
     """
     scratch = Scratch(documents.sparkSession, "pii")
     spans, terms = _analyse(documents, scratch, doc_id, text)
@@ -218,9 +235,16 @@ def _redacted() -> Column:
 
 
 def sanitise(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``documents`` with the spans in ``text`` replaced by marks; terms that disclose nearly all are removed. Null texts stay null."""
+    """``documents`` with the spans in ``text`` replaced by marks; terms that disclose nearly all are removed.
+
+    Null texts stay null, empty ones empty; rows, their number and all other
+    columns stay as they are, and an empty table stays empty. Long texts are
+    read whole. Columns named ``__text``, ``__base`` and the like are the
+    operator's own and must not be in the table.
+    """
     scratch = Scratch(documents.sparkSession, "pii")
-    _, terms = _analyse(documents, scratch, doc_id, text)
+    found, terms = _analyse(documents, scratch, doc_id, text)
+    scratch.drop(found)
     rows = documents
     if terms is None:
         rows = rows.withColumns({"__terms": F.lit(None).cast("array<string>"), "__removed": F.lit(None).cast("array<string>")})

@@ -220,10 +220,10 @@ def minimum_covariance_determinant(rows: DataFrame, scratch: Scratch) -> DataFra
     return final
 
 
-def _drawn_to(own: DataFrame, pool: DataFrame, on: list[str]) -> DataFrame:
+def _drawn_to(own: DataFrame, pool: DataFrame, on: list[str], pool_is_one: bool = False) -> DataFrame:
     """Estimates drawn towards the pool's by the rows they rest on. Two centres apart widen the scatter as mixed groups do."""
     above = pool.select(*on, *[F.col(c).alias(f"p_{c}") for c in (*_CENTRE, *_SCATTER)])
-    both = own.join(above, on) if on else own.join(F.broadcast(above))  # one row, for all texts
+    both = own.join(F.broadcast(above) if pool_is_one else above, on)
     w = F.col("n") / (F.col("n") + PRIOR_ROWS)
     apart = lambda i: F.col(f"m_{i}") - F.col(f"p_m_{i}")
     centre = {c: w * F.col(c) + (1 - w) * F.col(f"p_{c}") for c in _CENTRE}
@@ -264,7 +264,8 @@ def _judge(judged: DataFrame, keep: list[str], cutoff: float, scratch: Scratch)
     vectors = rows.select(*DIMS, F.explode(levels).alias("grp"))
     estimates = minimum_covariance_determinant(vectors, scratch)
     by_level = [estimates.where(F.col("grp.level") == k).withColumns({"__lang": F.col("grp.lang"), "__source": F.col("grp.source")}).drop("grp") for k in range(3)]
-    langs = _drawn_to(by_level[1].drop("__source"), by_level[0], [])
+    # All texts are one group, whose key is the empty source of the languages' groups.
+    langs = _drawn_to(by_level[1], by_level[0].drop("__lang"), ["__source"], True).drop("__source")
     groups = scratch.keep(_factor(_drawn_to(by_level[2], langs, ["__lang"])).select("__lang", "__source", *_CENTRE, *_FACTOR))
     scratch.drop(estimates)
     scored = _distance(of_groups(judged, groups, ["__lang", "__source"], "left"))

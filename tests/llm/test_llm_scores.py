@@ -2,22 +2,26 @@
 
 import math
 import random
+import re
 import sys
 import zlib
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from evenbasket.llm import packing, quality, quality_rules, toxicity  # noqa: E402
+from evenbasket.llm import packing, pii, quality, quality_rules, toxicity  # noqa: E402
 from evenbasket.llm.language_model import learn_weights, score_documents, unpack_sorted, pack_sorted  # noqa: E402
 from evenbasket.llm.pii import find_spans, sanitise, span_list  # noqa: E402
 from evenbasket.llm.quality_rules import judge_quality  # noqa: E402
 from evenbasket.llm.queries import remainder  # noqa: E402
+from evenbasket.llm.tables import Scratch  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -72,8 +76,79 @@ def test_terms_of_rare_entities(spark, tmp_path):
 
 
 def test_copies_are_one_context(spark, tmp_path):
-    rows = [(i, "Quixotic plans were sent to boss@corp.example.com by night") for i in range(20)] + [(100 + i, "the garden and the river") for i in range(50)]
-    assert not any(x.terms for x in find_spans(stored(brute.documents(spark, rows), tmp_path)).collect())
+    """Twenty copies tell no more than one text (a mark); eight different texts do (removed)."""
+    rnd = random.Random(9)
+    filler = ["table", "chair", "window", "garden", "river"]
+    some = lambda: " ".join(rnd.choices(filler, k=20))
+    rows = [(100 + i, some()) for i in range(50)]
+    copies = [(i, f"{filler[0]} Quixotic boss@corp.example.com {filler[1]}") for i in range(20)]
+    texts = [(i, f"{some()} Quixotic boss@corp.example.com {some()}") for i in range(8)]
+    for own, want in ((copies[:1], "[TERM]"), (copies, "[TERM]"), (texts, "")):
+        clean = {x.doc_id: x.text for x in sanitise(stored(brute.documents(spark, own + rows), tmp_path / str(len(own)))).collect()}
+        assert all(f" {want} [EMAIL] " in clean[i] and "Quixotic" not in clean[i] for i, _ in own)
+
+
+def plain_disclosures(rows):
+    """(entity, term) -> bits that the term leaves, of the terms that disclose an entity."""
+    sign = lambda s: (xxhash.xxh64(s.encode(), seed=42).intdigest() + 2**63) % 2**64 - 2**63
+    words = lambda t: set(re.findall(r"[^\W\d_]{3,}", t.lower()))
+    near, mentioned, seen = defaultdict(dict), defaultdict(set), Counter()
+    for i, text in rows:
+        text = text or ""
+        seen.update(words(text))
+        for span in filter(None, brute.pii(text).split(",")):
+            kind, a, b = span.split(":")
+            a, b = int(a), int(b)
+            value = text[a:b].lower()
+            own = re.sub("[^0-9]", "", value) if kind in ("card", "phone") else re.sub("(?<![0-9])0+(?=[0-9])", "", value) if kind == "ip" else value
+            around = text[max(a - pii.CONTEXT, 0) : a] + " " + text[b : b + pii.CONTEXT]
+            for entity in [f"{kind}:{own}"] + [f"email:domain:{value.split('@')[-1]}"] * (kind == "email"):
+                entity = entity.replace("email:domain:", "domain:")
+                mentioned[entity].add(around)
+                for term in words(around):
+                    doc = near[entity, term]
+                    doc[i, text] = min(doc.get((i, text), 2**63), sign(around))
+    out = {}
+    for (entity, term), docs in near.items():
+        contexts, usual = len(set(docs.values())), min(1, len(mentioned[entity]) / max(len(rows), 2))
+        share = (contexts + pii.PRIOR * usual) / (contexts + max(seen[term] - len(docs), 0) + pii.PRIOR)
+        if -math.log2(share) <= pii.GENERALISE and math.log2(share / usual) >= pii.GAIN:
+            out[entity, term] = -math.log2(share)
+    return out
+
+
+def corpus_with_entities(n, seed):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abcdefghijklm", k=1 + int(rnd.paretovariate(0.9)) % 5))
+    entity = lambda: rnd.choice([f"u{rnd.randrange(9)}@mail.example.com", f"U{rnd.randrange(9)}@b{rnd.randrange(3)}.example.org", "+49 30 123 4567", "+49-30-1234567", "10.0.0.7", "010.0.0.7", "4111 1111 1111 1111"])
+    text = lambda: " ".join(entity() if rnd.random() < 0.04 else word() for _ in range(rnd.randrange(70)))
+    rows = [(i, text()) for i in range(n)]
+    return rows + [(i, t) for i, t in rows[:5]] + [(9000 + i, rows[0][1]) for i in range(5)] + [(9900, None), (9901, "")]
+
+
+@pytest.mark.parametrize("n", [16, 300])
+def test_disclosures_match_a_plain_count(spark, tmp_path, n):
+    rows = corpus_with_entities(n, n)
+    docs = stored(brute.documents(spark, rows), tmp_path)
+    based = pii.with_base_spans(docs.select(*pii._key("doc_id", "text"), F.col("text").alias("t")), "t")
+    got = pii.disclosing_terms(pii.mentions_of(based), docs, Scratch(spark, "test")).collect()
+    want = plain_disclosures(rows)
+    assert len(got) == len(want) > 10 and {(r.entity, r.term) for r in got} == set(want)
+    assert all(r.rest == pytest.approx(want[r.entity, r.term], abs=1e-9) for r in got)
+
+
+def test_disclosure_does_not_depend_on_the_size_of_the_corpus(spark, tmp_path):
+    """The same mentions among 20 and among 3,000 other documents, and a word that stands elsewhere too."""
+    some = ["Quixotic plans a@x.example.com table chair", "river Quixotic b@x.example.com window"]
+    for n in (20, 3000):
+        rows = list(enumerate(some)) + [(100 + i, "table chair river window" + " plans plans" * (i % 2)) for i in range(n)]
+        got = {r.doc_id: [t.value for t in r.terms] for r in find_spans(stored(brute.documents(spark, rows), tmp_path / str(n))).collect()}
+        assert got[0] == got[1] == ["Quixotic"] and not any(got[i] for i, _ in rows[2:])
+
+
+def test_sanitising_an_empty_table(spark):
+    docs = brute.documents(spark, [])
+    assert sanitise(docs).columns == docs.columns and sanitise(docs).count() == 0 and find_spans(docs).count() == 0
 
 
 def test_sanitise_keeps_rows_columns_and_nulls(spark, tmp_path):
