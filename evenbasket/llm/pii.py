@@ -43,7 +43,7 @@ _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 CONTEXT, PRIOR = 80, 1.0
 #: Bits that a term gives away at least, and bits that it leaves at most, to be generalised and to be removed.
 GAIN, GENERALISE, REMOVE = 1.0, 1.0, 0.415  # 0.415 bits: P(e | t) of three in four
-#: Slices in which the mentions of one entity are joined with its terms; a mail provider may have a third of them.
+#: Slices in which the documents of one term are joined with what it discloses; a third of them may have it.
 SLICES = 16
 #: Terms are runs of at least three letters, lower-cased.
 TERM_PATTERN = r"\p{L}{3,}"
@@ -179,11 +179,18 @@ def _analyse(documents: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     terms = disclosing_terms(mentions_of(spans), documents, scratch, text)
     if terms.isEmpty():
         return spans, None
-    entities = spans.where(F.size("__base") > 0).select("__id", "__key", F.explode(F.array_distinct(F.flatten(F.transform("__base", entities_of)))).alias("entity"))
-    # An entity's documents are dealt into slices, and its terms are repeated for each.
-    entities = entities.withColumn("slice", F.pmod(F.xxhash64("__id", "__key"), F.lit(SLICES).cast("long")))
+    mentioning = spans.where(F.size("__base") > 0)
+    entities = mentioning.select("__id", "__key", F.explode(F.array_distinct(F.flatten(F.transform("__base", entities_of)))).alias("entity")).distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.lower("__text"), F.lit(TERM_PATTERN), F.lit(0)))
+    own = mentioning.select("__id", "__key", F.explode(words).alias("term")).distinct()
+    # By term, as a term discloses few entities, while an entity may have many terms and many documents. A term's documents
+    # are dealt into slices, for each of which its entities are repeated.
+    own = own.withColumn("slice", F.pmod(F.xxhash64("__id", "__key"), F.lit(SLICES).cast("long")))
     dealt = terms.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
-    of_doc = entities.join(dealt, ["entity", "slice"]).groupBy("__id", "__key", "term").agg(F.min("rest").alias("rest"))
+    found = own.join(dealt, ["term", "slice"]).select(F.col("__id").alias("i"), F.col("__key").alias("k"), F.col("entity").alias("e"), "term", "rest")
+    same = F.col("i").eqNullSafe(F.col("__id")) & (F.col("k") == F.col("__key")) & (F.col("e") == F.col("entity"))
+    found = found.join(entities, same, "left_semi").select(F.col("i").alias("__id"), F.col("k").alias("__key"), "term", "rest")
+    of_doc = found.groupBy("__id", "__key", "term").agg(F.min("rest").alias("rest"))
     of_doc = of_doc.groupBy("__id", "__key").agg(F.sort_array(F.collect_list("term")).alias("__terms"), F.sort_array(F.collect_list(F.when(F.col("rest") <= REMOVE, F.col("term")))).alias("__removed"))
     kept = scratch.keep(of_doc)
     scratch.drop(terms)

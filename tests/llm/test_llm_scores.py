@@ -110,6 +110,8 @@ def plain_disclosures(rows):
                     doc[i, text] = min(doc.get((i, text), 2**63), sign(around))
     out = {}
     for (entity, term), docs in near.items():
+        if not seen[term]:
+            continue  # cut off at the edge of a context, and no word of any text
         contexts, usual = len(set(docs.values())), min(1, len(mentioned[entity]) / max(len(rows), 2))
         share = (contexts + pii.PRIOR * usual) / (contexts + max(seen[term] - len(docs), 0) + pii.PRIOR)
         if -math.log2(share) <= pii.GENERALISE and math.log2(share / usual) >= pii.GAIN:
