@@ -187,6 +187,7 @@ def _analyse(documents: DataFrame, scratch: Scratch, doc_id: str, text: str) ->
     # are dealt into slices, for each of which its entities are repeated.
     own = own.withColumn("slice", F.pmod(F.xxhash64("__id", "__key"), F.lit(SLICES).cast("long")))
     dealt = terms.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    dealt = dealt.hint("merge")  # the repeated rows are many more than the table's size lets expect: no broadcast
     found = own.join(dealt, ["term", "slice"]).select(F.col("__id").alias("i"), F.col("__key").alias("k"), F.col("entity").alias("e"), "term", "rest")
     same = F.col("i").eqNullSafe(F.col("__id")) & (F.col("k") == F.col("__key")) & (F.col("e") == F.col("entity"))
     found = found.join(entities, same, "left_semi").select(F.col("i").alias("__id"), F.col("k").alias("__key"), "term", "rest")

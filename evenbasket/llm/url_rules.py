@@ -1,24 +1,28 @@
 """URL block and allow rules by a sort-merge range join. DataFrame functions only.
 
 A rule (host, path) fits its host, all subdomains, and paths that start with its
-own. In the canonical key, a host's labels stand in reverse and the path behind
-them, so a rule is a prefix, and a prefix an interval of sorted keys. Intervals
-of one host level are nested or apart. One sorted sweep over the keys of urls
-and the ends of intervals carries the stack of active rules: each end row holds
-the rule on top of the stack after it, so a url's rule is the last one seen.
-
-Sweeps are dealt by host level and, because a host may hold most urls, by a
-number of slices in which the (few) rules are repeated. Each different url is
-judged once.
+own. In a canonical key a host's labels stand in reverse, each closed by a dot,
+so a host with its subdomains is a prefix, and a prefix is an interval of sorted
+keys. Intervals of prefixes are nested or apart. A sorted sweep over the keys of
+urls and the beginnings of intervals keeps the stack of nested rules: at depth d
+stands the last interval of that depth that has begun, and a url finds itself
+inside those whose key its own starts with (the others are over).
+
+Two such sweeps judge a url: over hosts, which gives the rule hosts that it
+belongs to, and over rule host and path in one key, for these rule hosts alone.
+
+Urls are dealt into slices by a hash, because one host may have most of them; the
+rules are repeated for each slice. Each different url is judged once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-#: Slices of the urls of one host level.
-SLICES = 256
+#: Different urls in a slice (about), and the most slices in which rules are repeated.
+SLICE_URLS, MOST_SLICES = 200_000, 4096
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,54 +37,67 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def reversed_host(host: Column) -> Column:
-    return F.array_join(F.reverse(F.split(host, r"\.", -1)), ".")
+def host_key(host: Column) -> Column:
+    """Labels in reverse, each closed by a dot, as hexadecimal bytes."""
+    return F.hex(F.concat(F.array_join(F.reverse(F.split(host, r"\.", -1)), "."), F.lit(".")))
 
 
-def _interval_ends(rules: DataFrame) -> DataFrame:
-    """Rows (level, at, kind, top): where a rule's interval opens or closes, and the rule on top of the stack from there on.
+def path_key(of_host: Column, path: Column) -> Column:
+    """A rule host's key and a path; the separator stands in neither."""
+    return F.concat(of_host, F.lit("|"), F.hex(path))
 
-    Keys are compared as hexadecimal UTF-8 bytes: 'G' stands above every digit,
-    so key + 'G' closes exactly what starts with the key. A rule's parent is
-    the longest other rule of its level whose path its own starts with.
+
+def _begun(rules: DataFrame, part: Column) -> DataFrame:
+    """``rules`` (with distinct keys ``at``) and the depth at which their intervals are nested: one more than are open where one begins.
+
+    Keys are hexadecimal, and 'G' stands above every digit, so key + 'G' is where an
+    interval ends. No interval of one ``part`` holds one of another.
     """
-    own = rules.select(reversed_host(F.col("host")).alias("level"), F.hex("path").alias("at"), F.struct(F.length(F.concat("host", "path")).alias("size"), "host", "path", "verdict").alias("rule"))
-    starts = F.transform(F.sequence(F.lit(0), F.length("path") - 1), lambda k: F.hex(F.substring("path", F.lit(1), k)))
-    above = rules.where("path <> ''").select(reversed_host(F.col("host")).alias("level"), F.hex("path").alias("at"), F.explode(starts).alias("above"))
-    parent = above.join(own.select("level", F.col("at").alias("above"), F.col("rule").alias("parent")), ["level", "above"])
-    parent = parent.groupBy("level", "at").agg(F.max_by("parent", F.length("above")).alias("parent"))
-    nested = own.join(parent, ["level", "at"], "left")
-    opens = nested.select("level", "at", F.lit(0).alias("kind"), F.struct(F.col("rule").alias("rule")).alias("top"))
-    closes = nested.select("level", F.concat("at", F.lit("G")).alias("at"), F.lit(0).alias("kind"), F.struct(F.col("parent").alias("rule")).alias("top"))
-    return opens.union(closes)
-
-
-def apply_rules(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", slices: int = SLICES) -> DataFrame:
+    of = rules.withColumns({"__part": part, "__row": F.struct(*rules.columns), "__step": F.lit(1)})
+    ends = of.select("__part", F.concat("at", F.lit("G")).alias("at"), F.lit(None).cast(of.schema["__row"].dataType).alias("__row"), F.lit(-1).alias("__step"))
+    events = of.select("__part", "at", "__row", "__step").unionByName(ends)
+    open_ = F.sum("__step").over(Window.partitionBy("__part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    return events.withColumn("depth", open_).where("__step = 1").select("__row.*", F.col("depth").cast("int").alias("depth"))
+
+
+def _sweep(points: DataFrame, begun: DataFrame, what: list[str], slices: int) -> DataFrame:
+    """``points`` (slice, at, ...) with ``active``: the intervals around each, outermost first, with their columns ``what``."""
+    deepest = begun.agg(F.max("depth")).first()[0] or 0  # one number
+    dealt = begun.select("at", "depth", F.struct("at", *what).alias("rule"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
+    events = points.select("slice", "at", F.struct(*points.columns).alias("point")).unionByName(dealt, allowMissingColumns=True)
+    # At the same key, intervals begin before points.
+    sweep = Window.partitionBy("slice").orderBy("at", F.col("point").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    stack = F.array(*[F.last(F.when(F.col("depth") == d, F.col("rule")), ignorenulls=True).over(sweep) for d in range(1, deepest + 1)])
+    swept = events.withColumn("stack", stack if deepest else F.lit(None).cast(ArrayType(dealt.schema["rule"].dataType))).where(F.col("point").isNotNull())
+    inside = F.filter("stack", lambda r: r.isNotNull() & F.col("at").startswith(r["at"]))
+    return swept.select("point.*", inside.alias("active"))
+
+
+def apply_rules(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", slice_urls: int = SLICE_URLS) -> DataFrame:
     """``pages`` with host, path, rule and verdict (columns of these names are replaced).
 
     ``rules`` has host, path and verdict ('block' or 'allow'). The longest rule
     (host and path together; the longer host, if equal) that fits wins; of two
     rules with one host and path, 'block'. Rows of ``rules`` with a null are
     left out. Without a fitting rule, ``rule`` is null and the verdict
-    ``default``. A null url, or one without '://', has empty host and path.
-    Repeated rows stay; an empty table of rules gives all pages the default.
+    ``default``. A null url, or one without '://', has empty host and path; urls
+    of any length are read whole. Repeated rows stay; an empty table of rules
+    gives all pages the default, and an empty table of pages stays empty.
     """
     given = rules.select(F.translate("host", _UPPER, _LOWER).alias("host"), "path", "verdict").dropna()
     given = given.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    longest = given.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 0  # one number
-
     judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(F.col(f"`{url}`")), "path": url_path(F.col(f"`{url}`"))})
     distinct = judged.select("host", "path").where("host <> ''").distinct()
-    labels = F.reverse(F.split("host", r"\.", -1))
-    levels = F.transform(F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(max(longest, 1)))), lambda k: F.array_join(F.slice("labels", F.lit(1), k), "."))
-    keys = distinct.withColumn("labels", labels).select("host", "path", F.explode(levels).alias("level"))
-    keys = keys.join(given.select(reversed_host(F.col("host")).alias("level")).distinct(), "level", "left_semi")
-    points = keys.select("level", F.pmod(F.xxhash64("host", "path"), F.lit(slices)).alias("slice"), F.hex("path").alias("at"), F.lit(1).alias("kind"), "host", "path")
-
-    ends = _interval_ends(given).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
-    events = points.unionByName(ends, allowMissingColumns=True)
-    sweep = Window.partitionBy("level", "slice").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    swept = events.withColumn("seen", F.last("top", ignorenulls=True).over(sweep)).where("kind = 1")
-    best = swept.where("seen.rule IS NOT NULL").groupBy(F.col("host").alias("__host"), F.col("path").alias("__path")).agg(F.max(F.struct("seen.rule.size", F.length("seen.rule.host").alias("of_host"), "seen.rule.host", "seen.rule.path", "seen.rule.verdict")).alias("best"))
+    slices = max(1, min(MOST_SLICES, -(-distinct.count() // slice_urls)))
+    points = distinct.select(F.pmod(F.xxhash64("host", "path"), F.lit(slices).cast("long")).alias("slice"), host_key(F.col("host")).alias("at"), "host", "path")
+
+    hosts = _begun(given.select(host_key(F.col("host")).alias("at"), F.col("host").alias("of_host")).distinct(), F.substring_index(F.lower("of_host"), ".", -1))
+    of_hosts = _sweep(points, hosts, ["of_host"], slices).select("slice", "host", "path", F.explode("active").alias("a"))
+    inner = of_hosts.select("slice", path_key(F.col("a.at"), F.col("path")).alias("at"), "host", "path", "a.of_host")
+    paths = _begun(given.select(path_key(host_key(F.col("host")), F.col("path")).alias("at"), F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict"), F.col("rule_host"))
+    longest = F.element_at("active", -1)  # the innermost interval has the longest path
+    fits = _sweep(inner, paths, ["rule_host", "rule_path", "verdict"], slices).where(F.size("active") > 0).select("host", "path", longest.alias("r"))
+    best = F.max_by("r", F.struct(F.length("r.rule_host") + F.length("r.rule_path"), F.length("r.rule_host"))).alias("best")
+    best = fits.groupBy(F.col("host").alias("__host"), F.col("path").alias("__path")).agg(best)
     out = judged.join(best, (F.col("host") == F.col("__host")) & (F.col("path") == F.col("__path")), "left")
-    return out.withColumns({"rule": F.concat("best.host", "best.path"), "verdict": F.coalesce("best.verdict", F.lit(default))}).drop("__host", "__path", "best")
+    return out.withColumns({"rule": F.concat("best.rule_host", "best.rule_path"), "verdict": F.coalesce("best.verdict", F.lit(default))}).drop("__host", "__path", "best")

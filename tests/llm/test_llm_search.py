@@ -176,3 +176,24 @@ def test_chat_of_an_empty_table(spark):
 def test_queries_are_registered():
     assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
     assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("slice_urls", [7, 1000])
+def test_deeply_nested_rules_match_a_scan_of_all(spark, slice_urls):
+    """Hosts nested up to five deep and paths within paths, over few letters, in one slice and in many."""
+    rnd = random.Random(slice_urls)
+    host = lambda n: ".".join(rnd.choice(["a", "b", "ab", "|", "c-d"]) for _ in range(n))
+    path = lambda n: "".join(rnd.choice(["/", "x", "é", "/y"]) for _ in range(n))
+    rules = [(host(rnd.randint(1, 5)), path(rnd.randrange(5)), rnd.choice(["block", "allow"])) for _ in range(150)]
+    hosts = [host(rnd.randint(1, 6)) for _ in range(60)] + [f"{host(2)}.{h}" for h, _, _ in rules[:40]]
+    urls = [(k, f"http://{rnd.choice(hosts)}/{path(rnd.randrange(6))}") for k in range(300)]
+    got = apply_rules(spark.createDataFrame(urls, "page_id long, url string"), spark.createDataFrame(rules, "host string, path string, verdict string"), slice_urls=slice_urls)
+    best = {}
+    for h, p, v in rules:
+        best[h, p] = max(v, best.get((h, p), v))
+    for r in got.collect():
+        fits = [(len(h + p), len(h), h + p, v) for (h, p), v in best.items() if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        want = max(fits, default=(0, 0, None, "allow"))
+        assert (r.rule, r.verdict) == want[2:] or [x[:2] for x in fits].count(want[:2]) > 1, (r, want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") >= 2 and "last(" in plan
