@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenbasket.llm.tables import Scratch, add_columns, ship_package
+from evenbasket.llm.tables import Scratch, add_columns, drawn_texts, ship_package
 from evenbasket.llm.tokens import NOT_SPACE, Words, chunks, mix, split_words
 
 BITS = 18
@@ -115,8 +115,8 @@ def _vectors():
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = []
     for batch in batches:
-        for key, y, at, x in zip(*(batch.column(k) for k in range(4)), strict=True):
-            rows.append((key.as_py(), y.as_py(), at.values.to_numpy(), x.values.to_numpy()))
+        for order, own, y, at, x in zip(*(batch.column(k) for k in range(5)), strict=True):
+            rows.append(((order.as_py(), own.as_py()), y.as_py(), at.values.to_numpy(), x.values.to_numpy()))
     rows.sort(key=lambda r: r[0])
     size = 1 << BITS
     model = FollowTheLeader(size)
@@ -130,7 +130,10 @@ def train(documents: DataFrame, labels: DataFrame, target: str, learns, doc_id:
     """Weights of the hashed n-grams (the last is the bias), learned where ``learns`` (a boolean column of ``documents``) holds.
 
     Rows with a null id, a null label or no label teach nothing; an id with
-    several labels has the largest. Without any labelled row all weights are 0.
+    several labels has the largest, and one with several texts teaches a few of
+    them, once each (``drawn_texts``). Equal hashes of ids are ordered by id. Without
+    any labelled row, as with an empty table, all weights are 0. Other columns,
+    whatever their names, are not read.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "quality-sample")
@@ -138,7 +141,7 @@ def train(documents: DataFrame, labels: DataFrame, target: str, learns, doc_id:
     source = documents.where(learns).select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__t"))
     labelled = label.join(source.select("__id").distinct(), "__id").withColumn("__order", F.xxhash64(F.col("__id").cast("string")))
     drawn = scratch.keep(labelled.orderBy("__order", "__id").limit(sample_rows))
-    vectors = add_columns(source.join(F.broadcast(drawn), "__id"), "__t", ["__order", "__y"], "slots array<int>, x array<float>", _vectors)
+    vectors = add_columns(drawn_texts(source, drawn), "__t", ["__order", "__h", "__y"], "slots array<int>, x array<float>", _vectors)
     blob = vectors.repartition(1).mapInArrow(_train, "weights binary").first()
     return np.frombuffer(bytes(blob[0]), "<f4").astype(np.float64) if blob is not None else np.zeros((1 << BITS) + 1)
 
@@ -165,8 +168,14 @@ def _scorer(shared):
 
 
 def score_quality(documents: DataFrame, weights: np.ndarray, keep: list[str], text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """``keep`` columns with score (0 to 1) and predicted (score >= threshold). A null or empty text has the bias alone."""
+    """``keep`` columns with score (0 to 1) and predicted (score >= threshold). A null or empty text has the bias alone.
+
+    Texts are read whole, whatever their length; equal texts get equal scores, and
+    an empty table gives no rows. A kept column with the name of a made one is
+    left out.
+    """
     ship_package(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(weights)  # 2**BITS numbers at any input size
+    keep = [c for c in keep if c.lower() != "predicted"]
     scored = add_columns(documents, text, keep, "score double", _scorer(shared))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

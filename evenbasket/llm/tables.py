@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -26,12 +26,11 @@ def add_columns(df: DataFrame, text: str, keep: list[str], added: str, make: Cal
     """``keep`` columns of ``df`` and columns that a function derives from the ``text`` column.
 
     ``make`` runs once a task and returns a function from an Arrow string array
-    to the added columns (``added`` is their DDL). One pass, no shuffle.
+    to the added columns (``added`` is their DDL). A kept column with the name of
+    an added one is left out. One pass, no shuffle.
     """
     extra = StructType.fromDDL(added)
-    clash = set(keep) & set(extra.names)
-    if clash:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
+    keep = [c for c in keep if c.lower() not in {n.lower() for n in extra.names}]
     ship_package(df.sparkSession)
     source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
     out = StructType(source.schema.fields[:-1] + extra.fields)
@@ -76,6 +75,22 @@ def derive_columns(df: DataFrame, text: str, keep: list[str], added: str, make:
     return source.mapInArrow(run, out)
 
 
+#: Different texts of one id that a labelled sample takes.
+TEXTS_OF_ID = 4
+
+
+def drawn_texts(source: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Rows (__id, __t) of ``source`` with the columns of ``drawn`` (a bounded sample of ids), and __h, the text's hash.
+
+    An id may repeat: it gives at most ``TEXTS_OF_ID`` different texts, those of
+    least hash, once each, so the rows are bounded by the sample's size.
+    """
+    hashed = source.join(F.broadcast(drawn), "__id").withColumn("__h", F.xxhash64(F.coalesce("__t", F.lit(""))))
+    first = Window.partitionBy("__id").orderBy("__h")
+    chosen = hashed.select("__id", "__h").distinct().withColumn("__k", F.row_number().over(first)).where(F.col("__k") <= TEXTS_OF_ID)
+    return hashed.join(F.broadcast(chosen.select("__id", "__h")), ["__id", "__h"]).dropDuplicates(["__id", "__h"])
+
+
 class Scratch:
     """Parquet tables between the steps of one run, in the session's shared checkpoint folder."""
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenbasket.llm.tables import Scratch, add_columns, ship_package
+from evenbasket.llm.tables import Scratch, add_columns, drawn_texts, ship_package
 
 #: Labelled rows from which arcs are learned, drawn by a hash of the id.
 SAMPLE_ROWS = 8_000
@@ -231,7 +231,9 @@ def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id
     Chernoff's bound over all candidates, chance gives with probability
     ``FALSE_ARCS`` at most; its weight is the smoothed log-odds against the
     base rate. Rows without label (or with a null one) teach nothing; an id
-    with several labels has the largest.
+    with several labels has the largest, and one with several texts teaches a few of
+    them, once each (``drawn_texts``). An empty table teaches nothing. Other
+    columns, whatever their names, are not read.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark, "toxicity")
@@ -244,7 +246,7 @@ def learn(documents: DataFrame, labels: DataFrame, learns, doc_id: str = "doc_id
         return Model({}, -2.0)
 
     words = F.regexp_extract_all(F.lower(F.coalesce("__t", F.lit(""))), F.lit(r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"), F.lit(0))
-    rows = source.join(F.broadcast(drawn.select("__id", "y")), "__id").select("y", words.alias("words"))
+    rows = drawn_texts(source, drawn.select("__id", "y")).select("y", words.alias("words"))
     rows = scratch.keep(rows.select("y", F.array_distinct("words").alias("words"), copy_group(F.col("words")).alias("group")))
     shared = rows.groupBy("group").agg(F.count("*").alias("size")).where("size > 1").select("group", F.lit(True).alias("copied"))
     marked = rows.join(F.broadcast(shared), "group", "left").select("y", "words", F.when(F.col("copied"), F.col("group")).alias("group"))
@@ -291,9 +293,12 @@ def score_toxicity(documents: DataFrame, model: Model, keep: list[str], text: st
     """``keep`` columns with score (0 to 1), n_clauses (matched ones) and predicted (score >= threshold).
 
     One pass, no shuffle. A text without a match (null and empty ones too) has
-    the base rate as its score.
+    the base rate as its score. Texts are read whole, whatever their length; equal
+    texts get equal scores, and an empty table gives no rows. A kept column with
+    the name of a made one is left out.
     """
     ship_package(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast({"arcs": model.arcs, "bias": model.bias})  # at most MOST_ARCS arcs
+    keep = [c for c in keep if c.lower() != "predicted"]
     scored = add_columns(documents, text, keep, "score double, n_clauses int", _scorer(shared))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-#: Different urls in a slice (about), and the most slices in which rules are repeated.
-SLICE_URLS, MOST_SLICES = 200_000, 4096
+#: Different urls in a slice, at least (and no fewer than there are rules), and the most slices in which rules are repeated.
+SLICE_URLS, MOST_SLICES = 1000, 1 << 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,7 +88,7 @@ def apply_rules(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
     given = given.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(F.col(f"`{url}`")), "path": url_path(F.col(f"`{url}`"))})
     distinct = judged.select("host", "path").where("host <> ''").distinct()
-    slices = max(1, min(MOST_SLICES, -(-distinct.count() // slice_urls)))
+    slices = max(1, min(MOST_SLICES, -(-distinct.count() // max(slice_urls, given.count()))))
     points = distinct.select(F.pmod(F.xxhash64("host", "path"), F.lit(slices).cast("long")).alias("slice"), host_key(F.col("host")).alias("at"), "host", "path")
 
     hosts = _begun(given.select(host_key(F.col("host")).alias("at"), F.col("host").alias("of_host")).distinct(), F.substring_index(F.lower("of_host"), ".", -1))

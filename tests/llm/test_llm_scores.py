@@ -21,7 +21,7 @@ from evenbasket.llm.language_model import learn_weights, score_documents, unpack
 from evenbasket.llm.pii import find_spans, sanitise, span_list  # noqa: E402
 from evenbasket.llm.quality_rules import judge_quality  # noqa: E402
 from evenbasket.llm.queries import remainder  # noqa: E402
-from evenbasket.llm.tables import Scratch  # noqa: E402
+from evenbasket.llm.tables import TEXTS_OF_ID, Scratch, drawn_texts  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -374,15 +374,51 @@ def test_quality_on_held_out_rows(spark):
 
 
 def test_quality_of_odd_rows(spark):
-    docs = brute.documents(spark).drop("score")
+    docs = brute.documents(spark).withColumn("predicted", F.lit("own"))
     labels = spark.createDataFrame([(0, 1), (0, 0), (1, 0), (2, None), (None, 1), (10, 0)], "doc_id long, quality int")
     weights = quality.train(docs, labels, "quality", F.lit(True))
-    got = quality.score_quality(docs, weights, ["doc_id"]).collect()
+    got = quality.score_quality(docs, weights, ["doc_id", "score", "predicted", "lang"]).collect()
+    assert got[0].__fields__ == ["doc_id", "lang", "score", "predicted"]
     assert len(got) == docs.count() and all(0 <= x.score <= 1 for x in got)
     untrained = quality.train(docs, labels.limit(0), "quality", F.lit(True))
     assert not untrained.any() and quality.score_quality(docs.limit(0), untrained, ["doc_id"]).count() == 0
 
 
+def test_an_id_that_repeats_teaches_a_few_texts(spark):
+    """One id with 3,000 rows of 500 texts: as many rows as any other id's few, the same ones each time."""
+    rows = [(1, f"text number {k % 500}") for k in range(3000)] + [(2, "one"), (2, "one"), (3, None), (3, ""), (4, "not drawn")]
+    source = brute.documents(spark, rows).select(F.col("doc_id").alias("__id"), F.col("text").alias("__t"))
+    drawn = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "__id long, __y int")
+    got = [sorted((r["__id"], r["__t"] or "", r["__y"]) for r in drawn_texts(source.repartition(n), drawn).collect()) for n in (1, 7)]
+    assert got[0] == got[1] and [sum(r[0] == i for r in got[0]) for i in (1, 2, 3, 4)] == [TEXTS_OF_ID, 1, 1, 0]
+
+
+def test_updates_follow_the_regularised_leader():
+    """Weights are those that minimise the sum of linearised losses, proximal terms and both penalties, one coordinate at a time."""
+    rnd = np.random.default_rng(3)
+    size = 6
+    model, seen = quality.FollowTheLeader(size), []
+    weights = np.zeros(size + 1)
+    for _ in range(60):
+        at = np.append(np.sort(rnd.choice(size, 3, replace=False)), size)
+        x, y = np.append(rnd.random(3), 1.0), int(rnd.integers(2))
+        p = 1 / (1 + math.exp(-float(weights[at] @ x)))
+        seen.append((at, (p - y) * x, weights.copy()))
+        model.learn(at, x, y)
+        for i in range(size + 1):
+            steps = [(g[at.tolist().index(i)], w[i]) for at, g, w in seen if i in at]
+            if steps:
+                g2 = np.cumsum([g * g for g, _ in steps])
+                sigma = np.diff(np.sqrt(np.append(0, g2))) / quality.ALPHA
+                linear = sum(g for g, _ in steps) - sum(s * w for s, (_, w) in zip(sigma, steps, strict=True))
+                curve = quality.BETA / quality.ALPHA + quality.L2 + sigma.sum()
+                l1 = 0 if i == size else quality.L1
+                loss = lambda w, a=linear, b=curve, c=l1: a * w + b * w * w / 2 + c * abs(w)
+                weights[i] = 0 if abs(linear) <= l1 else -(linear - math.copysign(l1, linear)) / curve
+                assert all(loss(weights[i]) <= loss(weights[i] + d) for d in (-1e-3, 1e-3, -weights[i]))
+        assert np.allclose(model.weights(np.arange(size + 1)), weights)
+
+
 MODEL = toxicity.Model({"idiot$": 6.0, "stup": 6.0}, -2.0)
 
 
@@ -450,7 +486,9 @@ def test_copies_teach_once(spark, tmp_path):
 
 
 def test_toxicity_of_odd_rows(spark):
-    docs = brute.documents(spark).drop("score")
+    docs = brute.documents(spark, [*enumerate(brute.TEXTS), (None, None), (77, "you are nice. " * 30_000 + "really")])
     none = toxicity.learn(docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
-    got = toxicity.score_toxicity(docs, none, ["doc_id"]).collect()
+    got = toxicity.score_toxicity(docs, none, ["doc_id", "score", "rule"]).collect()
+    assert got[0].__fields__ == ["doc_id", "rule", "score", "n_clauses", "predicted"]
+    assert toxicity.score_toxicity(docs.limit(0), none, ["doc_id"]).count() == 0
     assert len(got) == docs.count() and all(x.predicted == 0 for x in got)
