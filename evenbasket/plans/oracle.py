@@ -475,6 +475,28 @@ UNION ALL SELECT 'Top 100 Stocks: ' || coalesce(lst, '') FROM report"""
     q["json_landing"] = with_(f2_bars()) + "SELECT ticker, date, open, close, market_cap FROM bars"
     q["table_upsert"] = q["upsert_bars"]
     q["performance_extended"] = q["performance"]
+    q["universe_file"] = """SELECT DISTINCT printf('S%06d', s_suppkey) AS "Symbol" FROM supplier"""
+    q["guarded_dates"] = (
+        with_(f1_bars("bars0", "l_partkey", "P"), "bars AS (SELECT date, ticker, CASE WHEN month(date) <> 6 THEN close END AS close, market_cap FROM bars0)", *members())
+        + """SELECT d.date, count(m.ticker) AS n_members, count(m.ticker) > 0 AS has_members
+FROM (SELECT DISTINCT date FROM bars) d LEFT JOIN members m ON m.date = d.date GROUP BY d.date"""
+    )
+    q["store_inventory"] = """SELECT name AS table_name, name <> 'rebalancing_log' AS is_there, CAST(n AS BIGINT) AS n_columns,
+  name = 'stock_data' AND (SELECT count(*) FROM events) > 0 AS has_rows
+FROM (VALUES ('stock_data', 8), ('constituents', 6), ('performance', 4), ('rebalancing_log', 0), ('index_composition_log', 3), ('index_performance', 2)) AS t(name, n)"""
+    dates = "count(*) AS n_rows, count(DISTINCT date) AS n_dates, min(date) AS first_date, max(date) AS last_date"
+    total = lambda x: f"{sig(x, digits=7)} AS total"
+    q["stored_tables"] = with_(f1_bars(), *index_ctes(), *v1_changes("trading"), "v1 AS (SELECT date, avg(price) AS index_value FROM members GROUP BY date)") + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {dates}, {total(x)} FROM {src}"
+        for name, src, x in (
+            ("stock_data", "bars", "CAST(sum(volume) AS DOUBLE)"),
+            ("constituents", "cons", "sum(weight)"),
+            ("performance", "perf", "sum(daily_return)"),
+            ("rebalancing_log", "log", "sum(price)"),
+            ("index_composition_log", "changes", "sum(CASE action WHEN 'added' THEN CAST(1 AS DOUBLE) ELSE -1 END)"),
+            ("index_performance", "v1", "sum(index_value)"),
+        )
+    )
     q["payload_quarantine"] = (
         with_(f2_bars())
         + """SELECT ticker, date, open, close, market_cap, NULL::VARCHAR AS reason FROM bars WHERE volume % 6 < 3

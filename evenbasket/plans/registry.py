@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,10 +27,10 @@ from ..operators.report import export_report_text, index_report
 from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
-from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES
+from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES, TABLES
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars, supplier_universe, user_day_bars
-from ..sources.landing import land_payloads, read_json_days, write_json_days
+from ..sources.landing import land_payloads, read_json_days, read_universe, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
 from .build import build_index_tables, build_legacy_tables, extend_index_tables, recompute_index_tables, refresh_legacy_tables, stored_report
@@ -154,6 +155,44 @@ def q_top_n_per_date(spark, sf):
     return select_members(f1(spark, sf), N_MEMBERS)
 
 
+def q_universe_file(spark, sf):
+    """The universe list as a landed CSV with other columns, blanks and repeated symbols, read back."""
+    path = _scratch(spark, "universe")
+    symbols = supplier_universe(read_table(spark, sf, "supplier"))
+    lines = symbols.select(F.concat(F.lit(" "), "Symbol").alias("Symbol"), F.length("Symbol").alias("Weight"))
+    lines.unionByName(lines).unionByName(lines.limit(1).withColumn("Symbol", F.lit(None).cast("string"))).write.option("header", True).csv(path)
+    return read_universe(spark, path)
+
+
+def q_guarded_dates(spark, sf):
+    """Dates on which anything can be held: a date with bars but no priced name selects nothing, and is no error."""
+    bars = _part_bars(spark, sf)
+    empty = F.month("date") == 6
+    members = select_members(bars.withColumn("close", F.when(~empty, F.col("close"))), N_MEMBERS)
+    held = members.groupBy("date").agg(F.count(F.lit(1)).alias("n_members"))
+    return trading_calendar(bars).join(held, "date", "left").select("date", F.coalesce("n_members", F.lit(0)).alias("n_members"), F.col("n_members").isNotNull().alias("has_members"))
+
+
+def q_store_inventory(spark, sf):
+    """What a store has after bars were landed and one table dropped: whether each table exists, its columns, and whether it has rows."""
+    store = _store(spark)
+    store.overwrite("stock_data", f2(spark, sf))
+    store.drop("rebalancing_log")
+    rows = [(name, store.exists(name), len(spark.table(f"`{store.namespace}`.`{name}`").columns) if store.exists(name) else 0, store.exists(name) and not store.read(name).isEmpty()) for name in TABLES]
+    return spark.createDataFrame(rows, "table_name string, is_there boolean, n_columns long, has_rows boolean")  # a row per table
+
+
+def q_stored_tables(spark, sf):
+    """Key figures of every table that the jobs write, read back: rows, dates, and a sum of its numbers."""
+    store = _store(spark)
+    store.overwrite("stock_data", f1(spark, sf))
+    build_index_tables(store, n=N_MEMBERS)
+    build_legacy_tables(store, n=N_MEMBERS, days=None, align="trading")
+    figures = {"stock_data": F.sum("volume").cast("double"), "constituents": F.sum("weight"), "performance": F.sum("daily_return"), "rebalancing_log": F.sum("price"), "index_composition_log": F.sum(F.when(F.col("action") == "added", 1.0).otherwise(-1.0)), "index_performance": F.sum("index_value")}
+    made = [store.read(name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("date").alias("n_dates"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), round_sig(total, digits=7).alias("total")) for name, total in figures.items()]
+    return reduce(DataFrame.unionByName, made)
+
+
 # -- ticker sets ---------------------------------------------------------------
 
 def q_universe_semi(spark, sf):
