@@ -3,7 +3,9 @@
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+
+import xxhash
 
 TEXTS = [
     "One two three four five six seven eight nine ten eleven twelve.",
@@ -76,6 +78,62 @@ def pii(text):
     return ",".join(out)
 
 
+def entities(text):
+    """(start, end, entities) of each base span."""
+    out = []
+    for span in filter(None, pii(text).split(",")):
+        kind, a, b = span.split(":")
+        a, b = int(a), int(b)
+        value = text[a:b].lower()
+        own = re.sub("[^0-9]", "", value) if kind in ("card", "phone") else re.sub("(?<![0-9])0+(?=[0-9])", "", value) if kind == "ip" else value
+        out.append((a, b, [f"{kind}:{own}"] + [f"domain:{value.split('@')[-1]}"] * (kind == "email")))
+    return out
+
+
+def terms(text):
+    return set(re.findall(r"[^\W\d_]{3,}", text.lower()))
+
+
+def disclosures(rows, reach=80, prior=1.0, gain=1.0, most=1.0):
+    """(entity, term) -> bits that the term leaves, of the terms that disclose an entity."""
+    sign = lambda s: (xxhash.xxh64(s.encode(), seed=42).intdigest() + 2**63) % 2**64 - 2**63
+    near, mentioned, seen = defaultdict(dict), defaultdict(set), Counter()
+    for i, text in rows:
+        text = text or ""
+        seen.update(terms(text))
+        for a, b, own in entities(text):
+            around = text[max(a - reach, 0) : a] + " " + text[b : b + reach]
+            for entity in own:
+                mentioned[entity].add(around)
+                for term in terms(around):
+                    doc = near[entity, term]
+                    doc[i, text] = min(doc.get((i, text), 2**63), sign(around))
+    out = {}
+    for (entity, term), docs in near.items():
+        if not seen[term]:
+            continue  # cut off at the edge of a context, and no word of any text
+        contexts, usual = len(set(docs.values())), min(1, len(mentioned[entity]) / max(len(rows), 2))
+        share = (contexts + prior * usual) / (contexts + max(seen[term] - len(docs), 0) + prior)
+        if -math.log2(share) <= most and math.log2(share / usual) >= gain:
+            out[entity, term] = -math.log2(share)
+    return out
+
+
+def redacted(text, found, removed=0.415):
+    """``text`` with marks for its base spans and for the terms that disclose (by ``disclosures``) what it mentions."""
+    base = [(int(a), int(b), f"[{kind.upper()}]") for kind, a, b in (x.split(":") for x in pii(text).split(",") if x)]
+    own = {e for _, _, es in entities(text) for e in es}
+    rest = {}
+    for (entity, term), bits in found.items():
+        if entity in own:
+            rest[term] = min(bits, rest.get(term, bits))
+    words = [(m.start(), m.end(), "" if rest[m[0].lower()] <= removed else "[TERM]") for m in re.finditer(r"[^\W\d_]+", text) if m[0].lower() in rest]
+    spans = base + [w for w in words if not any(a < w[1] and w[0] < b for a, b, _ in base)]
+    for a, b, mark in sorted(spans, reverse=True):
+        text = text[:a] + mark + text[b:]
+    return text
+
+
 def statistics(text):
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = text or ""

@@ -2,15 +2,12 @@
 
 import math
 import random
-import re
 import sys
 import zlib
-from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -88,37 +85,6 @@ def test_copies_are_one_context(spark, tmp_path):
         assert all(f" {want} [EMAIL] " in clean[i] and "Quixotic" not in clean[i] for i, _ in own)
 
 
-def plain_disclosures(rows):
-    """(entity, term) -> bits that the term leaves, of the terms that disclose an entity."""
-    sign = lambda s: (xxhash.xxh64(s.encode(), seed=42).intdigest() + 2**63) % 2**64 - 2**63
-    words = lambda t: set(re.findall(r"[^\W\d_]{3,}", t.lower()))
-    near, mentioned, seen = defaultdict(dict), defaultdict(set), Counter()
-    for i, text in rows:
-        text = text or ""
-        seen.update(words(text))
-        for span in filter(None, brute.pii(text).split(",")):
-            kind, a, b = span.split(":")
-            a, b = int(a), int(b)
-            value = text[a:b].lower()
-            own = re.sub("[^0-9]", "", value) if kind in ("card", "phone") else re.sub("(?<![0-9])0+(?=[0-9])", "", value) if kind == "ip" else value
-            around = text[max(a - pii.CONTEXT, 0) : a] + " " + text[b : b + pii.CONTEXT]
-            for entity in [f"{kind}:{own}"] + [f"email:domain:{value.split('@')[-1]}"] * (kind == "email"):
-                entity = entity.replace("email:domain:", "domain:")
-                mentioned[entity].add(around)
-                for term in words(around):
-                    doc = near[entity, term]
-                    doc[i, text] = min(doc.get((i, text), 2**63), sign(around))
-    out = {}
-    for (entity, term), docs in near.items():
-        if not seen[term]:
-            continue  # cut off at the edge of a context, and no word of any text
-        contexts, usual = len(set(docs.values())), min(1, len(mentioned[entity]) / max(len(rows), 2))
-        share = (contexts + pii.PRIOR * usual) / (contexts + max(seen[term] - len(docs), 0) + pii.PRIOR)
-        if -math.log2(share) <= pii.GENERALISE and math.log2(share / usual) >= pii.GAIN:
-            out[entity, term] = -math.log2(share)
-    return out
-
-
 def corpus_with_entities(n, seed):
     rnd = random.Random(seed)
     word = lambda: "".join(rnd.choices("abcdefghijklm", k=1 + int(rnd.paretovariate(0.9)) % 5))
@@ -134,7 +100,7 @@ def test_disclosures_match_a_plain_count(spark, tmp_path, n):
     docs = stored(brute.documents(spark, rows), tmp_path)
     based = pii.with_base_spans(docs.select(*pii._key("doc_id", "text"), F.col("text").alias("t")), "t")
     got = pii.disclosing_terms(pii.mentions_of(based), docs, Scratch(spark, "test")).collect()
-    want = plain_disclosures(rows)
+    want = brute.disclosures(rows)
     assert len(got) == len(want) > 10 and {(r.entity, r.term) for r in got} == set(want)
     assert all(r.rest == pytest.approx(want[r.entity, r.term], abs=1e-9) for r in got)
 
