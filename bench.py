@@ -22,6 +22,7 @@ from evenbasket.operators.equal_weight import equal_weight_index  # noqa: E402
 from evenbasket.operators.quality import quality_report  # noqa: E402
 from evenbasket.operators.selection import select_members  # noqa: E402
 from evenbasket.operators.upsert import upsert  # noqa: E402
+from evenbasket.plans import registry as R  # noqa: E402
 from evenbasket.plans.registry import upsert_batch  # noqa: E402
 from evenbasket.session import checkpoint_dir, local_session  # noqa: E402
 from evenbasket.sources.bars import daily_bars, monthly_bars  # noqa: E402
@@ -48,6 +49,12 @@ def build_queries(sf: str):
         "composition_changes_monthly": lambda s: V1.composition_changes(monthly_bars(s, sf), N, align="trading"),
         "upsert_bars_daily": lambda s: (lambda b: upsert(b, upsert_batch(b), order="_seq"))(daily_bars(s, sf)),
         "quality_report_daily": lambda s: quality_report(daily_bars(s, sf)),
+        # jobs over stored tables, with the registered queries' 20 members
+        "delete_by_key_monthly": lambda s: R.q_delete_by_key(s, sf),
+        "table_upsert_daily": lambda s: R.q_table_upsert(s, sf),
+        "performance_extended_monthly": lambda s: R.q_performance_extended(s, sf),
+        "daily_workflow_monthly": lambda s: R.q_daily_workflow_extended(s, sf),
+        "performance_carry_sparse": lambda s: R.q_performance_carry(s, sf),
     }
 
 
