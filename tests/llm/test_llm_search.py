@@ -174,7 +174,7 @@ def test_chat_of_an_empty_table(spark):
 
 
 def test_queries_are_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
