@@ -301,6 +301,8 @@ EXCEPT SELECT ticker FROM pbars WHERE date < {d(R.STORED_BEFORE)}"""
     )
     q["long_to_tidy"] = TIDY_SQL
     q["normalize_bars"] = TIDY_SQL
+    q["vendor_bundles"] = TIDY_SQL + " WHERE close IS NOT NULL"
+    q["vendor_bundles_range"] = q["vendor_bundles"] + f" AND date BETWEEN {d(R.BUNDLE_RANGE[0])} AND {d(R.BUNDLE_RANGE[1])}"
     q["upsert_bars"] = upsert_sql()
     q["upsert_by_date"] = (
         with_(f2_bars(), *index_ctes(N, "bars", "a_"), *index_ctes(N // 2, "bars", "b_"))

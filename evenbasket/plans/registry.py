@@ -30,6 +30,7 @@ from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
 from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES, TABLES
 from ..session import reliable_checkpoint, scratch_path
 from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars, supplier_universe, user_day_bars
+from ..sources.bundles import read_bundles
 from ..sources.landing import land_payloads, read_json_days, read_universe, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
 from ..streaming.ingest import ingest_available
@@ -48,6 +49,8 @@ REFRESH_AS_OF = "2001-11-01"
 UPSERT_FROM = "2024-01-25"
 UPSERT_LAST = "2024-01-30"
 BY_DATE_SPLIT = "2024-01-15"
+BUNDLES = 5
+BUNDLE_RANGE = ("1996-03-01", "1997-09-01")
 BY_DATE_EXISTING_TO = "2024-01-20"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,6 +241,25 @@ def q_normalize_bars(spark, sf):
     return bars_out(normalize_bars(_wide(spark, sf)))
 
 
+def _bundles(spark, sf):
+    """Landed bundles of F1 bars: a folder of wide files for each group of suppliers, with tickers of its own."""
+    root, bars = _scratch(spark, "bundles"), f1(spark, sf)
+    for k in range(BUNDLES):
+        part = bars.where(F.pmod(F.substring("ticker", -1, 1).cast("int"), F.lit(BUNDLES)) == k)
+        bars_to_wide(part).write.option("header", True).csv(f"{root}/bundle={k}")
+    return root
+
+
+def q_vendor_bundles(spark, sf):
+    """All bars of bundles with tickers of their own, by each file's header; cells that a wide file lacks are no bars."""
+    return bars_out(read_bundles(spark, _bundles(spark, sf)).where("close IS NOT NULL"))
+
+
+def q_vendor_bundles_range(spark, sf):
+    """The bundles' bars of a date range: lines of other dates are left in the files."""
+    return bars_out(read_bundles(spark, _bundles(spark, sf), *BUNDLE_RANGE).where("close IS NOT NULL"))
+
+
 # -- upsert family ---------------------------------------------------------------
 
 def upsert_batch(bars: DataFrame) -> DataFrame:

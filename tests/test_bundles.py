@@ -1,0 +1,106 @@
+"""Vendor bundles: files with headers of their own, splits, pushed filters, odd cells."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from conftest import D, SF_SMALL
+from evenbasket.operators.reshape import bars_to_wide, normalize_bars
+from evenbasket.sources.bars import monthly_bars
+from evenbasket.sources.bundles import day_of, read_bundles
+from evenbasket.sources.landing import read_wide_csv
+
+COLS = ["date", "ticker", "open", "high", "low", "close", "volume", "market_cap"]
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(COLS).collect()), key=str)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    root = tmp_path / "bundles"
+    (root / "sub").mkdir(parents=True)
+    (root / "a.csv").write_text(
+        "Date,Open|A,High|A,Low|A,Close|A,Volume|A,Adj Close|A,Close|B,Volume|B\n"
+        "2025-01-02,1,2,0.5,1.5,10,9,7,2.5\n"
+        "\n"
+        "2025-1-3 00:00:00,x,NaN,,1.25\n"
+        "no date,1,1,1,1,1\n"
+    )
+    (root / "sub" / "b.csv").write_text("﻿Date,Volume|C,Close|C\n2025-01-02,4,2\n2025-01-06,4,3\n", encoding="utf-8")
+    (root / "empty.csv").write_text("")
+    (root / "header.csv").write_text("Date,Close|Z\n")
+    (root / "_SUCCESS").write_text("")
+    return str(root)
+
+
+def test_each_file_is_read_by_its_own_header(spark, folder):
+    got = {(r.date, r.ticker): r for r in read_bundles(spark, folder).collect()}
+    assert len(got) == 8
+    a = got[D(2025, 1, 2), "A"]
+    assert tuple(a) == (D(2025, 1, 2), "A", 1.0, 2.0, 0.5, 1.5, 10, 15.0)
+    assert tuple(got[D(2025, 1, 2), "B"]) == (D(2025, 1, 2), "B", None, None, None, 7.0, 2, 17.5)
+    assert tuple(got[D(2025, 1, 3), "A"]) == (D(2025, 1, 3), "A", None, None, None, 1.25, None, None)
+    assert got[D(2025, 1, 3), "B"].close is None and got[None, "A"].close == 1.0
+    assert (got[D(2025, 1, 6), "C"].close, got[D(2025, 1, 2), "C"].market_cap) == (3.0, 8.0)
+
+
+@pytest.mark.parametrize("split", [1, 37, 1 << 20])
+def test_splits_lose_and_repeat_no_line(spark, folder, split):
+    assert rows(read_bundles(spark, folder, split_bytes=split)) == rows(read_bundles(spark, folder))
+
+
+def test_same_bars_as_the_wide_frame(spark, tmp_path):
+    bars = monthly_bars(spark, SF_SMALL)
+    path = str(tmp_path / "wide")
+    bars_to_wide(bars).coalesce(1).write.option("header", True).csv(path)
+    want = rows(normalize_bars(read_wide_csv(spark, path)))
+    assert rows(read_bundles(spark, path)) == want
+    assert rows(read_bundles(spark, path, split_bytes=4096)) == want
+
+
+def test_dates_and_tickers_are_chosen_in_the_files(spark, folder):
+    all_rows = read_bundles(spark, folder)
+    some = read_bundles(spark, folder, "2025-01-03", D(2025, 2, 1), ["C", "nobody"])
+    assert [(r.date, r.ticker) for r in some.collect()] == [(D(2025, 1, 6), "C")]
+    assert some.rdd.getNumPartitions() == 1 < all_rows.rdd.getNumPartitions()
+    assert read_bundles(spark, folder, tickers=["nobody"]).count() == read_bundles(spark, folder, tickers=[]).count() == 0
+    for first, last in [(None, D(2025, 1, 2)), ("2025-01-03", None), ("2025-01-02", "2025-01-03"), ("2026-01-01", None)]:
+        want = all_rows.where((F.col("date") >= F.lit(first or "1900-01-01").cast("date")) & (F.col("date") <= F.lit(last or "2100-01-01").cast("date")))
+        assert rows(read_bundles(spark, folder, first, last)) == rows(want)
+
+
+def test_a_frame_is_the_same_before_and_after_a_filter(spark, folder):
+    frame = read_bundles(spark, folder)
+    assert frame.where("ticker = 'C'").count() == 2
+    assert frame.count() == 8
+    assert frame.where("ticker = 'C'").join(frame, "date").where("date = DATE'2025-01-02'").count() == 3
+
+
+def test_days():
+    assert day_of("2025-01-02") == day_of(" 2025-1-2T10:00 ") == D(2025, 1, 2)
+    assert day_of("2025-02-30") is None and day_of("20250102") is None and day_of("") is None
+
+
+@pytest.mark.parametrize("header", ["Date,Close", "Date,Close|A,Close|A"])
+def test_odd_headers_are_refused(spark, tmp_path, header):
+    (tmp_path / "x.csv").write_text(f"{header}\n2025-01-02,1,2\n")
+    with pytest.raises(PySparkException, match="column"):
+        read_bundles(spark, str(tmp_path)).collect()
+
+
+def test_no_files_and_no_folder(spark, tmp_path):
+    assert read_bundles(spark, str(tmp_path)).count() == 0
+    with pytest.raises(PySparkException, match="FileNotFound"):
+        read_bundles(spark, str(tmp_path / "none")).collect()
+
+
+def test_bars_reach_the_store(spark, folder, tmp_path):
+    from evenbasket.sources.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path / "store"), "bundles_store")
+    store.create_all()
+    store.upsert("stock_data", read_bundles(spark, folder).where(F.col("close").isNotNull() & F.col("date").isNotNull()), keys=["date", "ticker"])
+    assert store.read("stock_data").count() == 5
+    store.drop()
