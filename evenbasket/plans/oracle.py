@@ -546,6 +546,12 @@ FROM cons WHERE {part}
     q["daily_workflow_log"] = workflow + f"SELECT {LOG_COLS} FROM log"
     q["daily_workflow_constituents"] = workflow + f"SELECT {CONS_COLS} FROM cons"
     q["stream_upsert"] = q["upsert_bars"]
+    closed = f"date < (SELECT max(date) FROM bars) - INTERVAL {R.EVENT_TIME_DELAY} DAY"
+    q["stream_event_time"] = (
+        with_(f2_bars())
+        + f"""SELECT date, ticker, open, high, low, CASE WHEN {closed} THEN close ELSE low END AS close, volume, market_cap, NULL::VARCHAR AS reason FROM bars
+UNION ALL SELECT date, ticker, open, high, low, low, volume, market_cap, 'late' FROM bars WHERE {closed}"""
+    )
     q["ddl_lifecycle"] = (
         with_(f1_bars(), *index_ctes(), *v1_changes("trading"))
         + """SELECT 'constituents' AS table_name, count(*) AS row_count FROM cons

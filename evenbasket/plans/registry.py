@@ -33,7 +33,7 @@ from ..sources.bars import read_table, supplier_day_prices, supplier_month_bars,
 from ..sources.bundles import read_bundles
 from ..sources.landing import land_payloads, read_json_days, read_universe, write_json_days
 from ..sources.tables import TableStore, export_csv, read_csv_export
-from ..streaming.ingest import ingest_available
+from ..streaming.ingest import ingest_available, ingest_event_time, read_refused
 from .build import build_index_tables, build_legacy_tables, extend_index_tables, recompute_index_tables, refresh_legacy_tables, stored_report
 from .sql import register_functions
 
@@ -49,6 +49,7 @@ REFRESH_AS_OF = "2001-11-01"
 UPSERT_FROM = "2024-01-25"
 UPSERT_LAST = "2024-01-30"
 BY_DATE_SPLIT = "2024-01-15"
+EVENT_TIME_CUT, EVENT_TIME_AGAIN, EVENT_TIME_DELAY = "2024-01-15", 3, 10
 BUNDLES = 5
 BUNDLE_RANGE = ("1996-03-01", "1997-09-01")
 BY_DATE_EXISTING_TO = "2024-01-20"
@@ -758,5 +759,25 @@ def q_stream_upsert(spark, sf):
     return bars_out(store.read("stock_data"))
 
 
+def q_stream_event_time(spark, sf):
+    """Three landings under a watermark: bars up to a date, then the rest with the first ones' last days again, then all
+    bars re-priced at the day's low: dates since the watermark are corrected, corrections of older ones are refused."""
+    store, landing = _store(spark), _scratch(spark, "landing")
+    ckpt, refused = _scratch(spark, "stream-ckpt"), _scratch(spark, "refused")
+    bars = f2(spark, sf).withColumn("seq", F.lit(0).cast("bigint"))
+    cut = F.lit(EVENT_TIME_CUT).cast("date")
+    drops = [
+        bars.where(F.col("date") <= cut),
+        bars.where(F.col("date") > F.date_sub(cut, EVENT_TIME_AGAIN)),
+        bars.withColumn("close", F.col("low")).withColumn("seq", F.lit(1).cast("bigint")),
+    ]
+    for k, drop in enumerate(drops):
+        drop.write.parquet(f"{landing}/drop={k}")
+        ingest_event_time(spark, f"{landing}/*", store, ckpt, refused, delay=f"{EVENT_TIME_DELAY} days")
+    stored = bars_out(store.read("stock_data")).withColumn("reason", F.lit(None).cast("string"))
+    late = read_refused(spark, refused)
+    return stored.unionByName(late.select(*stored.columns))
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

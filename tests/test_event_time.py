@@ -1,0 +1,104 @@
+"""Event-time ingest: late rows, replays, rows without a key, restarts."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import D
+from evenbasket.schemas import STOCK_DATA
+from evenbasket.sources.tables import TableStore
+from evenbasket.streaming.ingest import LATE, NO_KEY, ingest_event_time, read_refused
+
+
+class Landing:
+    def __init__(self, spark, tmp_path, delay="5 days"):
+        self.spark, self.root, self.delay, self.n = spark, tmp_path, delay, 0
+        self.store = TableStore(spark, str(tmp_path / "store"), f"event_time_{tmp_path.name}".replace("-", "_"))
+        self.store.create_all()
+
+    def land(self, rows, run=True):
+        """(date, ticker, close, volume, seq) rows as one more file; then ingest."""
+        df = self.spark.createDataFrame([(d, t, None, c, c, c, v, None, s) for d, t, c, v, s in rows], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STOCK_DATA.fields) + ", seq long")
+        df.coalesce(1).write.parquet(str(self.root / "landing" / f"drop{self.n}"))
+        self.n += 1
+        if run:
+            self.run()
+
+    def run(self, **how):
+        ingest_event_time(self.spark, str(self.root / "landing") + "/*", self.store, str(self.root / "ckpt"), str(self.root / "refused"), self.delay, **how)
+
+    def stored(self):
+        return sorted((r.date, r.ticker, r.close, r.volume) for r in self.store.read("stock_data").collect())
+
+    def refused(self):
+        return sorted(((r.date, r.ticker, r.close, r.seq, r.reason) for r in read_refused(self.spark, str(self.root / "refused")).collect()), key=str)
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    made = Landing(spark, tmp_path)
+    yield made
+    made.store.drop()
+
+
+def test_a_replay_is_dropped_and_a_late_correction_refused(landing):
+    first = [(D(2025, 1, 1), "A", 1.0, 10, 0), (D(2025, 1, 10), "A", 2.0, 20, 0), (D(2025, 1, 10), "B", 3.0, 30, 0)]
+    landing.land(first)  # no watermark yet: nothing is late
+    assert landing.stored() == [r[:4] for r in first] and landing.refused() == []
+    landing.land(first)  # the old row is behind the watermark (01-05), the others are known
+    assert landing.store.observed["stock_data"]["n_rows"] == 0
+    assert landing.refused() == [(D(2025, 1, 1), "A", 1.0, 0, LATE)]
+    landing.land([(D(2025, 1, 5), "A", 5.0, 1, 0), (D(2025, 1, 4), "A", 4.0, 1, 0), (D(2025, 1, 10), "B", 3.5, 30, 1)])
+    assert landing.stored() == [(D(2025, 1, 1), "A", 1.0, 10), (D(2025, 1, 5), "A", 5.0, 1), (D(2025, 1, 10), "A", 2.0, 20), (D(2025, 1, 10), "B", 3.5, 30)]
+    assert landing.refused() == [(D(2025, 1, 1), "A", 1.0, 0, LATE), (D(2025, 1, 4), "A", 4.0, 0, LATE)]
+
+
+def test_micro_batches_of_one_run(landing):
+    import time
+
+    for day, close in [(10, 1.0), (10, 1.0), (20, 2.0), (14, 9.0), (15, 3.0)]:
+        landing.land([(D(2025, 1, day), "A", close, 1, 0)], run=False)
+        time.sleep(1.1)  # distinct modification times: arrival order
+    landing.run(max_files=1)
+    assert landing.stored() == [(D(2025, 1, 10), "A", 1.0, 1), (D(2025, 1, 15), "A", 3.0, 1), (D(2025, 1, 20), "A", 2.0, 1)]
+    assert landing.refused() == [(D(2025, 1, 14), "A", 9.0, 0, LATE)]
+
+
+def test_copies_in_one_landing_and_rows_without_a_key(landing):
+    row = (D(2025, 1, 10), "A", 2.0, 20, 0)
+    landing.land([row] * 50 + [(None, "A", 1.0, 1, 0)] * 2 + [(D(2025, 1, 10), None, 1.0, 1, 0), (None, None, None, None, None)])
+    assert landing.stored() == [row[:4]] and landing.store.observed["stock_data"]["n_rows"] == 1
+    assert [r[4] for r in landing.refused()] == [NO_KEY] * 4
+    assert {r[3] for r in landing.refused()} == {0}  # a missing seq counts as 0
+
+
+def test_values_come_back_as_they_were(landing):
+    odd = [
+        (D(2025, 1, 1), 'q"uo,te\n\\ é😀', float("inf"), (1 << 62) + 1, 0),
+        (D(2025, 1, 1), "", -0.0, None, (1 << 60) + 7),
+        (D(2025, 1, 1), "t", 0.1 + 0.2, -1, 0),
+        (D(2025, 1, 1), "u", 5e-324, 0, 0),
+    ]
+    # an empty ticker is a key like any other here; the store takes it
+    landing.land(odd)
+    assert sorted(map(repr, landing.stored())) == sorted(repr(r[:4]) for r in odd)
+    landing.land([(D(2025, 1, 2), "n", float("nan"), 1, 0)])
+    assert landing.store.read("stock_data").where(F.isnan("close")).count() == 1
+
+
+def test_an_empty_landing(landing):
+    landing.land([])
+    assert landing.stored() == [] and landing.refused() == []
+
+
+def test_session_time_zone_does_not_move_the_watermark(spark, landing):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        landing.land([(D(2025, 1, 10), "A", 1.0, 1, 0)])
+        landing.land([(D(2025, 1, 10) - dt.timedelta(days=k), "A", float(k), 1, 1) for k in (5, 6)])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert landing.stored() == [(D(2025, 1, 5), "A", 5.0, 1), (D(2025, 1, 10), "A", 1.0, 1)]
+    assert [r[:3] for r in landing.refused()] == [(D(2025, 1, 4), "A", 6.0)]
