@@ -47,6 +47,9 @@ class Near(NamedTuple):
 #: A pair at similarity 0.80 shares no bucket with a probability of 2.8e-7, and the sketch loses it with less than 1e-7.
 NEAR_80 = Near(80, 21, 38, 5)
 
+#: A key of more rows than HOT_ROWS, and more than one in HOT_KEYS of all rows, is hot: there are fewer than HOT_KEYS of them.
+HOT_ROWS, HOT_KEYS = 1000, 50_000
+
 _RNG = np.random.default_rng(8128)
 _MULTIPLIER = _RNG.integers(0, 2**31, SAMPLES, np.uint32) * np.uint32(2) + np.uint32(1)
 _FLIP = _RNG.integers(0, 2**32, SAMPLES, np.uint32)
@@ -144,6 +147,24 @@ def _confirmer(near: Near):
     return confirm
 
 
+def _with_totals(rows: DataFrame, totals: DataFrame, key: str, size: str, spread: str) -> DataFrame:
+    """``rows`` with the columns of ``totals``, a written table of one row a key (NULL for a key that isn't there).
+
+    ``size`` of ``totals`` is how many of ``rows`` have the key. Hot keys are joined by broadcast, fewer than HOT_KEYS of
+    them, and their rows go through the other keys' shuffle dealt by ``spread``, so no task gets a key's rows whole.
+    """
+    floor = max(HOT_ROWS, (totals.agg(F.sum(size)).first()[0] or 0) // HOT_KEYS)
+    names = [c for c in totals.columns if c != key]
+    hot = totals.where(F.col(size) > floor).select(key, *[F.col(c).alias(f"hot_{c}") for c in names])
+    rest = totals.where(F.col(size) <= floor).select(F.col(key).alias("deal"), *[F.col(c).alias(f"rest_{c}") for c in names])
+    marked = rows.join(F.broadcast(hot), key, "left")
+    # a hot row may meet another key by its hash: what it has of its own counts
+    is_hot = F.col(f"hot_{size}").isNotNull()
+    dealt = marked.withColumn("deal", F.when(is_hot, F.xxhash64(spread)).otherwise(F.col(key)))
+    found = [F.when(is_hot, F.col(f"hot_{c}")).otherwise(F.col(f"rest_{c}")).alias(c) for c in names]
+    return dealt.join(rest, "deal", "left").select(*rows.columns, *found)
+
+
 def _links(pairs: DataFrame, classes: DataFrame, sets: DataFrame, scratch: Scratch, near: Near) -> DataFrame:
     """Those of the distinct candidate ``pairs`` (a, b) that are links."""
     sketch = classes.select("cid", "sketch")
@@ -166,7 +187,7 @@ def _shingles(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, cid.as_py())), pa.array(own), pa.array(np.full(n, n))], names=["cid", "shingle", "n"])
 
 
-def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+def _prefixes(sets: DataFrame, scratch: Scratch, threshold: int) -> DataFrame:
     """(cid, key, n, rank): the rarest shingles of each set, as many as two sets at the threshold must have one in common of.
 
     With all sets in one order of shingles, sets of similarity t share one of
@@ -174,30 +195,43 @@ def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
     their own edits there and meet almost nobody. No link is lost by it.
     """
     shingles = sets.mapInArrow(_shingles, "cid long, shingle long, n long")
-    rarity = shingles.groupBy("shingle").agg(F.count("*").alias("df"))
+    rarity = scratch.keep(shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"))
     rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "shingle"))
     first = F.col("n") - F.ceil(F.col("n") * threshold / 100) + 1
-    ranked = shingles.join(rarity, "shingle").withColumn("rank", rank).where(F.col("rank") <= first)
-    return ranked.where("df > 1").select("cid", F.col("shingle").alias("key"), "n", "rank")
+    known = _with_totals(shingles, rarity, "shingle", "df", "cid").withColumn("df", F.coalesce("df", F.lit(1)))
+    ranked = known.withColumn("rank", rank).where(F.col("rank") <= first)
+    prefixes = scratch.keep(ranked.where("df > 1").select("cid", F.col("shingle").alias("key"), "n", "rank"))
+    scratch.drop(rarity)
+    return prefixes
 
 
-def _cross_pairs(members: DataFrame, threshold: int) -> DataFrame:
+def _cross_pairs(members: DataFrame, scratch: Scratch, threshold: int) -> DataFrame:
     """Distinct pairs (a > b) of different labels that share a key; members (cid, key, n, rank, label).
 
     Only what is outside a key's largest label is paired with the rest, so a
     group that is one component already costs nothing. A pair also needs room
     for the overlap of a link behind the ranks of the shared key: the first
     shared one has all of the overlap from there on, and later ones have less.
+    The rows of a key meet in cells of at most about HOT_ROWS by HOT_ROWS.
     """
     sizes = members.groupBy("key", "label").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    open_ = members.join(main.select("key", "main"), "key")
-    left = open_.where("label <> main").select("key", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rank").alias("ra"))
-    right = open_.select("key", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "main")
+    largest = F.max(F.struct("size", "label"))
+    main = sizes.groupBy("key").agg(largest["label"].alias("main"), (F.sum("size") - largest["size"]).alias("others"), F.sum("size").alias("total"))
+    main = scratch.keep(main.where("others > 0"))
+    lots = [F.ceil(F.col(c) / HOT_ROWS).cast("long").alias(f"{c}_lots") for c in ("others", "total")]
+    open_ = _with_totals(members, main, "key", "total", "cid").where("main IS NOT NULL").select("*", *lots)
+    all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    one_of = lambda c: F.pmod(F.xxhash64("cid"), F.col(c))
+    left = open_.where("label <> main").select(
+        "key", F.col("cid").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rank").alias("ra"), one_of("others_lots").alias("x"), all_of("total_lots").alias("y")
+    )
+    right = open_.select("key", F.col("cid").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rank").alias("rb"), "main", all_of("others_lots").alias("x"), one_of("total_lots").alias("y"))
     room = 1 + F.least(F.col("na") - F.col("ra"), F.col("nb") - F.col("rb"))
     alike = (100 + threshold) * room >= threshold * (F.col("na") + F.col("nb"))
-    pairs = left.join(right, "key").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))) & alike)
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = left.join(right, ["key", "x", "y"]).where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))) & alike)
+    pairs = scratch.keep(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    scratch.drop(main)
+    return pairs
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -247,13 +281,14 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes = scratch.keep(grouped.select("fp1", "fp2", "n_shingles", "least_id", "one.*").withColumn("cid", F.monotonically_increasing_id()))
 
     member = classes.select("cid", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    member = scratch.keep(member.join(shared, "band"))
+    shared = scratch.keep(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
+    member = scratch.keep(_with_totals(member, shared, "band", "n", "cid").where("n IS NOT NULL"))
+    scratch.drop(shared)
     # The leader is the member that shares buckets with most others: the text that near copies were made of.
     degree = member.groupBy("cid").agg(F.sum("n").alias("degree"))
-    ranked = member.join(degree, "cid").groupBy("band").agg(F.max(F.struct("degree", "cid"))["cid"].alias("leader"))
-    buckets = scratch.keep(member.join(ranked, "band").select("band", "cid", "leader"))
-    scratch.drop(member)
+    leaders = scratch.keep(member.join(degree, "cid").groupBy("band").agg(F.max(F.struct("degree", "cid"))["cid"].alias("leader"), F.count("*").alias("n")))
+    buckets = scratch.keep(_with_totals(member.drop("n"), leaders, "band", "n", "cid").select("band", "cid", "leader"))
+    scratch.drop(member, leaders)
 
     wanted = classes.join(buckets.select("cid").distinct(), "cid", "left_semi").select("cid", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     texts = source.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key"))).select("cid", "text")
@@ -266,17 +301,22 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     labels = components(links, scratch)
 
     # What the stars leave: members of one bucket in different components.
-    labelled = buckets.join(labels, "cid", "left").select("band", "cid", F.coalesce("label", "cid").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
-    left = scratch.keep(labelled.join(mixed, "band", "left_semi").select("cid", "label").distinct())
-    prefixes = scratch.keep(_prefixes(sets.join(left, "cid", "left_semi"), near.threshold).join(left, "cid"))
-    more = _links(_cross_pairs(prefixes, near.threshold).join(stars, ["a", "b"], "left_anti"), classes, sets, scratch, near)
-    scratch.drop(sets, left, prefixes, stars, buckets)
+    labelled = scratch.keep(buckets.join(labels, "cid", "left").select("band", "cid", F.coalesce("label", "cid").alias("label")))
+    mixed = scratch.keep(labelled.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least <> most"))
+    left = scratch.keep(_with_totals(labelled, mixed, "band", "n", "cid").where("n IS NOT NULL").select("cid", "label").distinct())
+    scratch.drop(buckets, labelled, mixed)
+    prefixes = _prefixes(sets.join(left, "cid", "left_semi"), scratch, near.threshold)
+    pairs = _cross_pairs(prefixes.join(left, "cid"), scratch, near.threshold)
+    scratch.drop(left, prefixes)
+    more = _links(pairs.join(stars, ["a", "b"], "left_anti"), classes, sets, scratch, near)
+    scratch.drop(sets, pairs, stars)
     labels = components(links.union(more), scratch)
+    scratch.drop(links, more)
 
     of_class = classes.join(labels, "cid", "left").select("fp1", "fp2", "n_shingles", "least_id", F.coalesce("label", "cid").alias("label"))
     ids = of_class.groupBy("label").agg(F.min("least_id").alias("component_id"))
     final = scratch.keep(of_class.join(ids, "label").select("fp1", "fp2", "n_shingles", "component_id"))
+    scratch.drop(classes)
     row = signed.select("doc_id", "text_key", "n_shingles", "fp1", "fp2")
     out = row.join(final, ["fp1", "fp2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))

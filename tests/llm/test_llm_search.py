@@ -42,6 +42,36 @@ def test_components_match_all_pairs(spark):
     assert sorted([(x.doc_id, x.n_shingles, x.component_id, x.kept) for x in got], key=key) == sorted(want, key=key)
 
 
+def test_components_with_hot_keys(spark, monkeypatch):
+    """Every key of more than two rows takes the hot path, and pairs meet in cells of two by two."""
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 2)
+    test_components_match_all_pairs(spark)
+
+
+def test_hot_keys_get_their_totals(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 3)
+    keys = [1] * 40 + [2] * 3 + [3] + [None]
+    rows = spark.createDataFrame(list(enumerate(keys)), "cid long, key long")
+    totals = rows.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    got = near_dedup._with_totals(rows, totals, "key", "size", "cid").collect()
+    assert sorted((r.cid, r.size) for r in got) == [(k, keys.count(x) if x in (1, 2) else None) for k, x in enumerate(keys)]
+
+
+def test_cross_pairs_match_all_pairs_of_a_key(spark, monkeypatch):
+    """Cells change nothing: one key shared by a large label and many small ones, another by few."""
+    from evenbasket.llm.tables import Scratch
+
+    members = [(c, 7, 10, 1, 0 if c < 9 else c) for c in range(30)] + [(c, 8, 10, 2, c // 2) for c in range(20, 26)] + [(50, 9, 10, 1, 1)]
+    want = set()
+    for a in members:
+        want |= {(max(a[0], b[0]), min(a[0], b[0])) for b in members if a[1] == b[1] and a[4] != b[4]}
+    df = spark.createDataFrame(members, "cid long, key long, n long, rank int, label long")
+    for cell in (1, 4, 1000):
+        monkeypatch.setattr(near_dedup, "HOT_ROWS", cell)
+        got = near_dedup._cross_pairs(df, Scratch(spark, "pairs"), 80).collect()
+        assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = near_copies()
     stay = drop_near_duplicates(brute.documents(spark, rows)).collect()
