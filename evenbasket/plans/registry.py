@@ -24,7 +24,7 @@ from ..operators.calendar import trading_calendar
 from ..operators.equal_weight import equal_weight_index
 from ..operators.quality import duplicate_keys, quality_report
 from ..operators.report import export_report_text, index_report
-from ..operators.reshape import bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
+from ..operators.reshape import BLOCK_TICKERS, bars_to_wide, long_to_tidy, normalize_bars, wide_to_long
 from ..operators.selection import ranked_on_date, select_members, top_n_on_date
 from ..operators.upsert import delete_by_key, refresh, unseen_tickers, upsert
 from ..schemas import ACTION_ADD, ACTION_REBALANCE, ACTION_REMOVE, CARRY, PERFORMANCE, RUN_TABLES, TABLES
@@ -221,7 +221,7 @@ def q_distinct_tickers(spark, sf):
 # -- reshape -------------------------------------------------------------------
 
 def _wide(spark, sf):
-    return bars_to_wide(f1(spark, sf))
+    return bars_to_wide(kept_bars(f1(spark, sf)), block=BLOCK_TICKERS)
 
 
 def q_wide_to_long(spark, sf):
