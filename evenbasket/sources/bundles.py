@@ -21,12 +21,12 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.columns import round_to_long
-from ..operators.reshape import SEP
+from ..operators.reshape import CELLS, HEADER, SEP
 from ..schemas import VENDOR_FIELDS
 
 FORMAT = "vendor_bundles"
@@ -204,3 +204,22 @@ def read_bundles(
     bars = cells.select("date", "ticker", *[c.alias(f) for f, c in number.items()])
     market_cap = (F.col("close") * F.col("volume")).try_cast("double")
     return bars.select("date", "ticker", "open", "high", "low", "close", round_to_long("volume").alias("volume"), market_cap.alias("market_cap"))
+
+
+def write_bundles(lines: DataFrame, path: str) -> None:
+    """Wide lines (Date, Block, Columns, Cells) as wide CSV files under ``path``, one for each block with its own header.
+
+    A block's lines must have the same columns, as ``bars_to_wide`` makes them. They meet in one task
+    in the order of their dates, and the first brings the header along; a task holds one line at a time. Names and
+    cells are text in quotes where they have a comma or a quote, missing cells are empty.
+    """
+    quote = lambda t: F.when(t.rlike('[,"]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(t, F.lit("")))
+    row = lambda first, rest: F.array_join(F.concat(F.array(first), F.transform(rest, quote)), ",")
+    date = quote(F.coalesce(F.col("Date").cast("string"), F.lit("")))
+    number = F.row_number().over(Window.partitionBy("Block").orderBy("Date"))
+    texts = lines.select("Block", number.alias("_line"), row(F.lit("Date"), F.col(HEADER)).alias("_header"), row(date, F.col(CELLS).cast("array<string>")).alias("_text"))
+    both = F.when(F.col("_line") == 1, F.array("_header", "_text")).otherwise(F.array("_text"))
+    files = texts.select("Block", "_line", F.posexplode(both).alias("_at", "line")).sortWithinPartitions("Block", "_line", "_at")
+    # Whole lines as the one column of a CSV without quotes of its own: the files are found by their ending.
+    plain = {"header": False, "sep": "\u0001", "quote": "", "escapeQuotes": False, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    files.select("Block", "line").write.partitionBy("Block").options(**plain).csv(path)
